@@ -1,0 +1,151 @@
+"""Hourly population: refinement, night population, detection and day patterns."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, functions as F
+
+from ebbflow.contracts import require_choice, require_columns
+from ebbflow.functions import calendar
+from ebbflow.functions.columns import age5_of, age10_of, ratio
+from ebbflow.operators import stats
+
+NIGHT_HOURS = [3, 4, 5]
+
+
+def refine(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
+    """Population per (date, hour, area, age) of the listed areas; names joined last."""
+    require_choice(age, ("age_10", "age_5"), "age")
+    require_columns(
+        raw, ["ETL_YMD", "TIMEZN_CD", "ADMDONG_CD", "SEX_AGE_CD", "POP"], "population feed"
+    )
+    names = areas.select("admdong_cd", "admdong_nm")
+    age_of = age10_of if age == "age_10" else age5_of
+    summed = (
+        raw.select(
+            F.col("ETL_YMD").cast("int").alias("date"),
+            F.col("TIMEZN_CD").cast("int").alias("hour"),
+            F.col("ADMDONG_CD").alias("admdong_cd"),
+            age_of(F.col("SEX_AGE_CD")).alias(age),
+            F.col("POP").alias("pop"),
+        )
+        .join(names.select("admdong_cd"), "admdong_cd", "left_semi")
+        .groupBy("date", "hour", "admdong_cd", age)
+        .agg(F.sum("pop").alias("pop"))
+    )
+    return summed.join(names, "admdong_cd", "left").select(
+        "date", "hour", "admdong_cd", "admdong_nm", age, "pop"
+    )
+
+
+def mean_population_by_age(pop: DataFrame) -> DataFrame:
+    """Mean concurrent population per age: total over 24 hours times the days present."""
+    days = pop.agg(F.count_distinct("date")).scalar()
+    return pop.groupBy("age_10").agg(F.sum("pop").alias("_p")).select(
+        "age_10", ratio(F.col("_p"), days * 24).alias("avg_pop_total")
+    )
+
+
+def hourly_totals(df: DataFrame, value: str, *keys: str, alias: str) -> DataFrame:
+    return df.groupBy(*keys, "hour").agg(F.sum(value).alias(alias))
+
+
+def night_mean(pop: DataFrame) -> DataFrame:
+    """Mean over the night rows present per (area, age)."""
+    return (
+        pop.filter(F.col("hour").isin(NIGHT_HOURS))
+        .groupBy("admdong_cd", "age_10")
+        .agg(F.avg("pop").alias("night_avg"))
+    )
+
+
+def detection(pop: DataFrame, census10: DataFrame, min_census: int = 0) -> DataFrame:
+    """Night population over registered population, where the latter exceeds `min_census`."""
+    registered = census10.select("admdong_cd", "age_10", F.col("pop").alias("census_pop"))
+    return (
+        night_mean(pop)
+        .join(registered.filter(F.col("census_pop") > min_census), ["admdong_cd", "age_10"])
+        .withColumn("detection_rate", ratio(F.col("night_avg"), F.col("census_pop")))
+    )
+
+
+def detection_summary(rates: DataFrame, keys: Sequence[str] = ("age_10",)) -> DataFrame:
+    return stats.summary(
+        rates,
+        keys,
+        "detection_rate",
+        {"median": 0.5, "q10": 0.1, "q25": 0.25, "q75": 0.75, "q90": 0.9},
+        [
+            F.avg("detection_rate").alias("mean"),
+            F.stddev("detection_rate").alias("std"),
+            F.count("*").alias("n_areas"),
+        ],
+    )
+
+
+def day_night(pop: DataFrame, day: int = 13, night: int = 4, noise: float = 10) -> DataFrame:
+    """Mean at a day hour over mean at a night hour, per area and age, in one aggregation."""
+    at = lambda h: F.avg(F.when(F.col("hour") == h, F.col("pop")))
+    return (
+        pop.filter(F.col("hour").isin(day, night))
+        .groupBy("admdong_cd", "age_10")
+        .agg(at(day).alias("day_avg"), at(night).alias("night_avg"))
+        .filter(F.col("night_avg") > noise)
+        .withColumn("day_night_ratio", ratio(F.col("day_avg"), F.col("night_avg")))
+    )
+
+
+def weekday_weekend_gap(
+    pop: DataFrame, hour: int = 9, noise: float = 10, holidays="mobility"
+) -> DataFrame:
+    """Weekday and weekend means at one hour per area and age, and their difference."""
+    part = calendar.week_part(F.col("date"), holidays)
+    mean = lambda p: F.avg(F.when(F.col("_part") == p, F.col("pop"))).alias(p)
+    return (
+        pop.filter(F.col("hour") == hour)
+        .withColumn("_part", part)
+        .groupBy("admdong_cd", "age_10")
+        .agg(mean("weekday"), mean("weekend"))
+        .filter(F.col("weekend") > noise)
+        .withColumn("diff", F.col("weekday") - F.col("weekend"))
+        .withColumn("rel_diff", ratio(F.col("diff"), F.col("weekend")))
+    )
+
+
+def hourly_area_mean(pop: DataFrame) -> DataFrame:
+    """Mean over days of the daily total per (hour, area); only days present count."""
+    daily = pop.groupBy("date", "hour", "admdong_cd").agg(F.sum("pop").alias("pop_day"))
+    return daily.groupBy("hour", "admdong_cd").agg(F.avg("pop_day").alias("pop_avg"))
+
+
+def colour_bounds(df: DataFrame, value: str) -> DataFrame:
+    """5th and 99th percentile of the positive values of an (hour, area) table."""
+    return stats.summary(
+        df.filter(F.col(value) > 0), [], value, {"vmin": 0.05, "vmax": 0.99}
+    )
+
+
+def indicators(pop: DataFrame, od: DataFrame) -> DataFrame:
+    """Per age: mean population, moves per head, hourly variation and day/night median."""
+    avg_pop = mean_population_by_age(pop)
+    moves = od.groupBy("age_10").agg(F.sum("total").alias("total_moves"))
+    cv = lambda value: ratio(F.stddev(value), F.avg(value))
+    pop_cv = hourly_totals(pop, "pop", "age_10", alias="_x").groupBy("age_10").agg(
+        cv("_x").alias("pop_hourly_cv")
+    )
+    move_cv = hourly_totals(od, "total", "age_10", alias="_x").groupBy("age_10").agg(
+        cv("_x").alias("move_hourly_cv")
+    )
+    dn = stats.summary(day_night(pop), ["age_10"], "day_night_ratio", {"_dn": 0.5})
+    joined = avg_pop.join(moves, "age_10")
+    for part in (pop_cv, move_cv, dn):
+        joined = joined.join(part, "age_10")
+    return joined.select(
+        "age_10",
+        F.round("avg_pop_total", 0).alias("avg_pop"),
+        F.round(ratio(F.col("total_moves"), F.col("avg_pop_total")), 2).alias("moves_per_capita"),
+        F.round("pop_hourly_cv", 3).alias("pop_hourly_cv"),
+        F.round("move_hourly_cv", 3).alias("move_hourly_cv"),
+        F.round("_dn", 3).alias("day_night_ratio_median"),
+    )
