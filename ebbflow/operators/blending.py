@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.functions.columns import decade, ratio
+from ebbflow.functions.columns import ratio
+from ebbflow.joins import small
 
 
 def split_decades(pi: DataFrame, census5: DataFrame) -> DataFrame:
@@ -33,7 +34,7 @@ def split_decades(pi: DataFrame, census5: DataFrame) -> DataFrame:
         ]
     )
     shares = halves.select(F.col("admdong_cd").alias("o_admdong_cd"), F.inline(rows))
-    young = pi.filter(F.col("age_7") < 70).join(shares, ["o_admdong_cd", "age_7"])
+    young = pi.filter(F.col("age_7") < 70).join(small(shares), ["o_admdong_cd", "age_7"])
     old = pi.filter(F.col("age_7") >= 70).select(
         "*", F.col("age_7").alias("age_5_start"), F.lit(1.0).alias("share")
     )

@@ -7,19 +7,24 @@ from pyspark.sql import DataFrame, functions as F
 from ebbflow import vocab
 from ebbflow.functions import geometry
 from ebbflow.functions.columns import distance_band, ratio, speed_kmh, straight_distance
+from ebbflow.joins import same_rows, small
 from ebbflow.operators import stats
 
+# Polygon rows carry their vertices (about 1 kB each), so their bound is lower.
+MAX_POLYGON_TILES = 50_000
+
 
 def measure(polygons: DataFrame, key: str) -> DataFrame:
     """Area in square kilometres and centroid of each polygon."""
     ring = F.col("vertices")
     cx, cy = geometry.centroid(ring)
-    return polygons.select(
+    measured = polygons.select(
         key,
         (geometry.area(ring) / 1_000_000).alias("area_km2"),
         cx.alias("ctr_x"),
         cy.alias("ctr_y"),
     )
+    return same_rows(measured, polygons)
 
 
 def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
@@ -35,10 +40,9 @@ def first_per_key(df: DataFrame, key: str, order: list) -> DataFrame:
 def with_straight_distance(od: DataFrame, centroids: DataFrame, minimum: float = 100) -> DataFrame:
     """Crossing trips with the centroid distance and the ratio of the reported one to it.
 
-    The reference points are met once per distinct OD pair, not once per trip row: pair
-    distances are computed on the small area table and joined to the trips.
+    Pairs of areas closer than `minimum` metres are left out.
     """
-    points = centroids.select("admdong_cd", "ctr_x", "ctr_y")
+    points = small(centroids, ["admdong_cd", "ctr_x", "ctr_y"])
     trips = od.filter((F.col("o_admdong_cd") != F.col("d_admdong_cd")) & (F.col("avg_dist") > 0))
     placed = trips.join(points.toDF("o_admdong_cd", "o_x", "o_y"), "o_admdong_cd").join(
         points.toDF("d_admdong_cd", "d_x", "d_y"), "d_admdong_cd"
@@ -54,16 +58,24 @@ def with_straight_distance(od: DataFrame, centroids: DataFrame, minimum: float =
 
 def band_consistency(trips: DataFrame) -> DataFrame:
     """Per distance band: quartiles of the ratio, medians of both distances and rows."""
-    bands = trips.withColumn("dist_bin", distance_band(F.col("straight_dist_m")))
-    n = len(vocab.DISTANCE_BANDS)
-    q = lambda col, probs: stats.exact_quantiles(bands, ["dist_bin"], col, probs, max_groups=n)
-    r = q("ratio", [0.25, 0.5, 0.75]).select(
-        "dist_bin", F.col("p25").alias("ratio_p25"), F.col("p50").alias("ratio_p50"),
-        F.col("p75").alias("ratio_p75"), F.col("n").alias("count"),
+    measures = ["ratio", "avg_dist", "straight_dist_m"]
+    # The three measures become rows of one table, so the trips are read once.
+    rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in measures])
+    band = distance_band(F.col("straight_dist_m"))
+    long = trips.select(band.alias("dist_bin"), F.inline(rows))
+    q = stats.exact_quantiles(
+        long, ["dist_bin", "measure"], "v", [0.25, 0.5, 0.75],
+        max_groups=len(vocab.DISTANCE_BANDS) * len(measures),
+    )
+    of = lambda measure, column: F.max(F.when(F.col("measure") == measure, F.col(column)))
+    return q.groupBy("dist_bin").agg(
+        of("ratio", "p25").alias("ratio_p25"),
+        of("ratio", "p50").alias("ratio_p50"),
+        of("ratio", "p75").alias("ratio_p75"),
+        of("avg_dist", "p50").alias("avg_dist_p50"),
+        of("straight_dist_m", "p50").alias("straight_p50"),
+        of("ratio", "n").alias("count"),
     )
-    a = q("avg_dist", [0.5]).select("dist_bin", F.col("p50").alias("avg_dist_p50"))
-    s = q("straight_dist_m", [0.5]).select("dist_bin", F.col("p50").alias("straight_p50"))
-    return r.join(a, "dist_bin").join(s, "dist_bin")
 
 
 def band_verdict(bands: DataFrame, limit: float = 0.30) -> DataFrame:
@@ -117,7 +129,7 @@ def unit_verdicts(same_area_median: DataFrame, ratio_median: DataFrame, bands: D
 
 def density(hourly: DataFrame, measured: DataFrame) -> DataFrame:
     """People per square kilometre."""
-    return hourly.join(measured.select("admdong_cd", "area_km2"), "admdong_cd").withColumn(
+    return hourly.join(small(measured, ["admdong_cd", "area_km2"]), "admdong_cd").withColumn(
         "density", ratio(F.col("pop_avg"), F.col("area_km2"))
     )
 
@@ -151,8 +163,8 @@ def assign_points(
 
     Both sides are put on a square grid of `tile` metres; a polygon is repeated for each
     tile of its bounding box. Points and polygons meet on the tile, then the exact test
-    runs. The join key is the tile, so a crowded tile is one skewed join partition,
-    which adaptive execution splits (or, with few polygons, no shuffle happens at all).
+    runs. Few polygon tiles are broadcast after a count, so no point is shuffled. With
+    many, a crowded tile is one skewed join partition, which adaptive execution splits.
     """
     at = lambda c: F.floor(c / tile).cast("int")
     ring = F.col("vertices")
@@ -166,4 +178,5 @@ def assign_points(
     ).select(key, "vertices", "_tx", F.explode(F.sequence(at(F.col("_y0")), at(F.col("_y1")))).alias("_ty"))
     placed = points.withColumns({"_tx": at(F.col(x)), "_ty": at(F.col(y))})
     inside = geometry.contains(ring, F.col(x), F.col(y))
+    tiled = small(tiled, max_rows=MAX_POLYGON_TILES)
     return placed.join(tiled, ["_tx", "_ty"]).filter(inside).select(*points.columns, key)

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, functions as F
 from ebbflow.contracts import require_choice, require_columns
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import age5_of, age10_of, ratio
+from ebbflow.joins import small
 from ebbflow.operators import stats
 
 NIGHT_HOURS = [3, 4, 5]
@@ -20,7 +21,8 @@ def refine(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
     require_columns(
         raw, ["ETL_YMD", "TIMEZN_CD", "ADMDONG_CD", "SEX_AGE_CD", "POP"], "population feed"
     )
-    names = areas.select("admdong_cd", "admdong_nm")
+    names = small(areas, ["admdong_cd", "admdong_nm"])
+    codes = small(areas, ["admdong_cd"])
     age_of = age10_of if age == "age_10" else age5_of
     summed = (
         raw.select(
@@ -30,7 +32,7 @@ def refine(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
             age_of(F.col("SEX_AGE_CD")).alias(age),
             F.col("POP").alias("pop"),
         )
-        .join(names.select("admdong_cd"), "admdong_cd", "left_semi")
+        .join(codes, "admdong_cd", "left_semi")
         .groupBy("date", "hour", "admdong_cd", age)
         .agg(F.sum("pop").alias("pop"))
     )

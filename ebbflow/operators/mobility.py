@@ -10,6 +10,7 @@ from ebbflow import vocab
 from ebbflow.contracts import require_choice, require_columns
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import hour_of, ratio, top_code
+from ebbflow.joins import small
 
 RAW_COLUMNS = [
     "ETL_YMD", "TIME_CD", "O_CELL_ID", "D_CELL_ID", "AGE_CD", "PURPOSE",
@@ -20,12 +21,12 @@ RAW_COLUMNS = [
 def place_trips(raw: DataFrame, cells: DataFrame) -> DataFrame:
     """Raw trips with both ends placed in areas; trips with an end outside are dropped.
 
-    The cell table is looked up twice. It is broadcast only if the planner measures it
-    below the threshold; beyond that both lookups are shuffle joins whose skewed
-    partitions (a busy cell) are split at run time.
+    The cell table is looked up twice. It is broadcast if its count is within the bound;
+    beyond that both look-ups are shuffle joins whose skewed partitions (a busy cell) are
+    split at run time.
     """
     require_columns(raw, RAW_COLUMNS, "movement feed")
-    places = cells.select("cell_id", "admdong_cd")
+    places = small(cells, ["cell_id", "admdong_cd"])
     origin = places.toDF("O_CELL_ID", "o_admdong_cd")
     destination = places.toDF("D_CELL_ID", "d_admdong_cd")
     return (
@@ -46,15 +47,16 @@ def place_trips(raw: DataFrame, cells: DataFrame) -> DataFrame:
 
 
 def refine(
-    raw: DataFrame, cells: DataFrame, areas: DataFrame, keep_purpose: bool = False
+    raw: DataFrame, cells: DataFrame, areas: DataFrame | None = None, keep_purpose: bool = False
 ) -> DataFrame:
     """Movement per (date, hour, origin, destination, decade of age [, purpose]).
 
-    One scan, two lookups, one shuffle on the group key behind a map-side combine.
-    Names are attached to the aggregated rows, so they never enter the group key.
+    One scan, two look-ups, one shuffle on the group key behind a map-side combine.
+    With `areas`, names are attached to the aggregated rows; they never enter the key.
     """
     partial = refine_partials(raw, cells, keep_purpose)
-    return finish_partials(partial, areas, combined=True)
+    means = finish_partials(partial, combined=True)
+    return means if areas is None else with_names(means, areas)
 
 
 def refine_partials(raw: DataFrame, cells: DataFrame, keep_purpose: bool = False) -> DataFrame:
@@ -73,24 +75,28 @@ def partial_keys(keep_purpose: bool = False) -> list[str]:
     return keys + ["purpose"] if keep_purpose else keys
 
 
-def finish_partials(partial: DataFrame, areas: DataFrame, combined: bool = False) -> DataFrame:
-    """Turn (merged) sums into means and add the area names."""
+def finish_partials(partial: DataFrame, combined: bool = False) -> DataFrame:
+    """Turn sums into means, merging the sums of several batches first unless `combined`."""
     keys = partial_keys("purpose" in partial.columns)
     if not combined:
         partial = partial.groupBy(*keys).agg(
             *[F.sum(c).alias(c) for c in ("total", "dist_total", "time_total")]
         )
-    means = partial.select(
+    return partial.select(
         *keys,
         "total",
         ratio(F.col("dist_total"), F.col("total")).alias("avg_dist"),
         ratio(F.col("time_total"), F.col("total")).alias("avg_time"),
     )
-    names = areas.select("admdong_cd", "admdong_nm")
-    named = means.join(names.toDF("o_admdong_cd", "o_admdong_nm"), "o_admdong_cd", "left").join(
+
+
+def with_names(od: DataFrame, areas: DataFrame) -> DataFrame:
+    """Refined movement in its published column order, with the names of both areas."""
+    names = small(areas, ["admdong_cd", "admdong_nm"])
+    named = od.join(names.toDF("o_admdong_cd", "o_admdong_nm"), "o_admdong_cd", "left").join(
         names.toDF("d_admdong_cd", "d_admdong_nm"), "d_admdong_cd", "left"
     )
-    extra = ["purpose"] if "purpose" in keys else []
+    extra = ["purpose"] if "purpose" in od.columns else []
     return named.select(
         "date", "hour", "o_admdong_cd", "o_admdong_nm", "d_admdong_cd", "d_admdong_nm",
         "age_10", *extra, "total", "avg_dist", "avg_time",
@@ -106,9 +112,10 @@ def area_index(areas: DataFrame) -> DataFrame:
 
 def flag_mapped(od: DataFrame, index: DataFrame) -> DataFrame:
     """Movement with o_idx, d_idx and is_mapped (both ends are in the area index)."""
-    o = index.select(F.col("admdong_cd").alias("o_admdong_cd"), F.col("area_idx").alias("o_idx"))
-    d = index.select(F.col("admdong_cd").alias("d_admdong_cd"), F.col("area_idx").alias("d_idx"))
-    both = od.join(o, "o_admdong_cd", "left").join(d, "d_admdong_cd", "left")
+    known = small(index, ["admdong_cd", "area_idx"])
+    both = od.join(known.toDF("o_admdong_cd", "o_idx"), "o_admdong_cd", "left").join(
+        known.toDF("d_admdong_cd", "d_idx"), "d_admdong_cd", "left"
+    )
     return both.withColumn("is_mapped", F.col("o_idx").isNotNull() & F.col("d_idx").isNotNull())
 
 
@@ -137,19 +144,24 @@ def day_count(od: DataFrame, daytype: str, holidays="mobility") -> DataFrame:
 
 
 def daily_flow(
-    od: DataFrame, daytype: str = "weekday", holidays="mobility", index: DataFrame | None = None
+    od: DataFrame,
+    daytype: str = "weekday",
+    holidays="mobility",
+    index: DataFrame | None = None,
+    dated: DataFrame | None = None,
 ) -> DataFrame:
     """Mean daily flow pi per (origin, destination, 7 ages, hour), sparse.
 
     Cells without trips are implied zeros. With `index`, rows whose ends are not in the
-    area index are dropped (see `flag_mapped` for the count).
+    area index are dropped (see `flag_mapped` for the count). The days present are counted
+    on `dated` where given: any table with the same dates that is cheaper to read.
     """
-    n_days = day_count(od, daytype, holidays).scalar()
+    n_days = day_count(od if dated is None else dated, daytype, holidays).scalar()
     kept = od.filter(F.col("age_10").isin(vocab.MOBILITY_AGES_RAW))
     if daytype != "all":
         kept = kept.filter(calendar.week_part(F.col("date"), holidays) == daytype)
     if index is not None:
-        known = index.select("admdong_cd")
+        known = small(index, ["admdong_cd"])
         kept = kept.join(known.toDF("o_admdong_cd"), "o_admdong_cd", "left_semi")
         kept = kept.join(known.toDF("d_admdong_cd"), "d_admdong_cd", "left_semi")
     summed = kept.groupBy(
@@ -305,9 +317,11 @@ def destinations_per_origin(od: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def weekday_trips_by_age(od: DataFrame, holidays="mobility") -> DataFrame:
-    """Per age on weekdays: mean trips per day, trips and rows."""
-    n_days = day_count(od, "weekday", holidays).scalar()
+def weekday_trips_by_age(
+    od: DataFrame, holidays="mobility", dated: DataFrame | None = None
+) -> DataFrame:
+    """Per age on weekdays: mean trips per day, trips and rows (`dated` as in `daily_flow`)."""
+    n_days = day_count(od if dated is None else dated, "weekday", holidays).scalar()
     kept = od.filter(calendar.week_part(F.col("date"), holidays) == "weekday")
     return (
         kept.groupBy("age_10")

@@ -19,7 +19,7 @@ from ebbflow.sources import readers
 )
 def both_cells(i: Inputs) -> DataFrame:
     return (
-        mobility.place_trips(i.od_raw, i.cells)
+        i.trips
         .groupBy("o_admdong_cd", "d_admdong_cd", "purpose")
         .agg(F.count("*").alias("n"), F.sum("total").alias("total"))
     )

@@ -12,10 +12,23 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbflow import vocab
+from ebbflow import joins, vocab
 from ebbflow.functions import calendar
 from ebbflow.operators import census, claims, codebook, employment, ili, livepop, mobility
 
+TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": """o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double,
+        o_orderdate timestamp_ntz, o_orderpriority string""",
+    "lineitem": """l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,
+        l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string,
+        l_shipdate timestamp_ntz""",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+}
 CAPITAL = ["00", "01", "02"]
 CLAIM_CODES = list(vocab.CLAIMS_SIDO_NAMES)
 CLAIM_LABELS = list(vocab.CLAIMS_AGE_LABELS)
@@ -40,7 +53,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
 
     # -- area code book and cells ------------------------------------------------------
     @cached_property
@@ -48,7 +61,7 @@ class Inputs:
         region, nation = self.table("region"), self.table("nation")
         sido = F.lpad(F.col("r_regionkey").cast("string"), 2, "0")
         sgg = F.concat(sido, F.lpad(F.col("n_nationkey").cast("string"), 3, "0"))
-        return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
+        book = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
             F.col("n_nationkey").alias("nationkey"),
             sido.alias("sido_cd"),
             F.replace("r_name", F.lit(" "), F.lit("_")).alias("sido_nm"),
@@ -57,22 +70,24 @@ class Inputs:
             F.concat(sgg, F.lit("000")).alias("admdong_cd"),
             F.col("n_name").alias("admdong_nm"),
         )
+        return joins.at_most(book, nation)
 
     @cached_property
     def capital(self) -> DataFrame:
-        return codebook.region(self.areas, CAPITAL)
+        return joins.at_most(codebook.region(self.areas, CAPITAL), self.areas)
 
     @cached_property
     def cells(self) -> DataFrame:
         """Grid cells of the capital region with their area."""
         key = (F.col("p_size") % 25).alias("nationkey")
-        named = self.areas.filter(F.col("sido_cd").isin(CAPITAL))
-        return (
-            self.table("part")
-            .select(F.col("p_partkey").cast("string").alias("cell_id"), key)
+        named = joins.small(self.areas).filter(F.col("sido_cd").isin(CAPITAL))
+        part = self.table("part")
+        cells = (
+            part.select(F.col("p_partkey").cast("string").alias("cell_id"), key)
             .join(named, "nationkey")
             .select("cell_id", "admdong_cd", "admdong_nm")
         )
+        return joins.at_most(cells, part)
 
     # -- movement ----------------------------------------------------------------------
     @cached_property
@@ -93,13 +108,22 @@ class Inputs:
             F.floor(c("l_tax") * 100 + 0.5).cast("double").alias("AVG_TIME"),
         )
 
+    @cached_property
+    def trips(self) -> DataFrame:
+        return mobility.place_trips(self.od_raw, self.cells)
+
+    @cached_property
+    def pi(self) -> DataFrame:
+        """Mean weekday flow."""
+        return mobility.daily_flow(self.od, dated=self.trips)
+
     @cached_property
     def od(self) -> DataFrame:
-        return mobility.refine(self.od_raw, self.cells, self.capital)
+        return mobility.refine(self.od_raw, self.cells)
 
     @cached_property
     def od_purpose(self) -> DataFrame:
-        return mobility.refine(self.od_raw, self.cells, self.capital, keep_purpose=True)
+        return mobility.refine(self.od_raw, self.cells, keep_purpose=True)
 
     # -- hourly population ---------------------------------------------------------------
     @cached_property
@@ -113,7 +137,8 @@ class Inputs:
             F.concat(F.when(c("user_id") % 2 == 0, "M").otherwise("F"), digits).alias("SEX_AGE_CD"),
             F.floor(c("value") * 100).cast("double").alias("POP"),
         )
-        return events.join(self.areas.select("nationkey", "admdong_cd"), "nationkey").select(
+        areas = joins.small(self.areas, ["nationkey", "admdong_cd"])
+        return events.join(areas, "nationkey").select(
             "ETL_YMD", "TIMEZN_CD", F.col("admdong_cd").alias("ADMDONG_CD"), "SEX_AGE_CD", "POP"
         )
 
@@ -131,7 +156,7 @@ class Inputs:
             F.floor(F.abs("c_acctbal")).alias("pop"),
         )
         sums = people.groupBy("nationkey", "age_5_start").agg(F.sum("pop").alias("pop_5"))
-        return sums.join(self.areas, "nationkey").select(
+        return sums.join(joins.small(self.areas), "nationkey").select(
             *census.AREA_KEYS, "age_5_start", "pop_5"
         )
 
@@ -255,9 +280,10 @@ class Inputs:
     @cached_property
     def area_polygons(self) -> DataFrame:
         k = F.col("nationkey")
-        return self._polygons(
+        rings = self._polygons(
             self.areas, "admdong_cd", k % 5 * BLOCK_M, F.floor(k / 5) * BLOCK_M, BLOCK_M, k % 2 == 1
         )
+        return joins.at_most(rings, self.areas)
 
     @cached_property
     def zones(self) -> DataFrame:

@@ -63,7 +63,7 @@ def daytype_counts(i: Inputs) -> DataFrame:
 
 @query("k07_days_present", "SELECT n_days FROM wd_days")
 def days_present(i: Inputs) -> DataFrame:
-    return mobility.day_count(i.od, "weekday")
+    return mobility.day_count(i.trips, "weekday")
 
 
 @query(

@@ -189,7 +189,7 @@ def distance_bands(i: Inputs) -> DataFrame:
        GROUP BY date""",
 )
 def guarded_ratio(i: Inputs) -> DataFrame:
-    trips = mobility.place_trips(i.od_raw, i.cells)
+    trips = i.trips
     return trips.groupBy("date").agg(
         c.ratio(F.sum("avg_dist"), F.sum("avg_time")).alias("metres_per_minute")
     )
@@ -202,7 +202,7 @@ def guarded_ratio(i: Inputs) -> DataFrame:
        FROM (SELECT age_10, AVG_DIST AS d, nullif(AVG_TIME, 0) AS t FROM trips) GROUP BY ALL""",
 )
 def speeds(i: Inputs) -> DataFrame:
-    trips = mobility.place_trips(i.od_raw, i.cells)
+    trips = i.trips
     d, t = F.col("avg_dist"), F.col("avg_time")
     return trips.groupBy("age_10").agg(
         *[F.round(F.avg(c.speed_kmh(d, t, h)), 6).alias(h) for h in vocab.SPEED_HYPOTHESES]
@@ -229,7 +229,7 @@ def straight_distance(i: Inputs) -> DataFrame:
        FROM (SELECT age_10, AVG_TIME AS avg_time, AVG_DIST AS avg_dist FROM trips) GROUP BY ALL""",
 )
 def null_filters(i: Inputs) -> DataFrame:
-    trips = mobility.place_trips(i.od_raw, i.cells)
+    trips = i.trips
     t, d = F.col("avg_time"), F.col("avg_dist")
     return trips.groupBy("age_10").agg(
         F.count(c.none_if_nan(t)).alias("n_known"),

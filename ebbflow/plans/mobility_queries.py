@@ -13,17 +13,17 @@ from ebbflow.plans.catalog import query, rounded
 
 @query("a01_od_month", "SELECT * FROM od")
 def od_month(i: Inputs) -> DataFrame:
-    return i.od
+    return mobility.with_names(i.od, i.capital)
 
 
 @query("a02_od_month_purpose", "SELECT * FROM od_purpose")
 def od_month_purpose(i: Inputs) -> DataFrame:
-    return i.od_purpose
+    return mobility.with_names(i.od_purpose, i.capital)
 
 
 @query("a08_daily_flow", "SELECT * FROM pi")
 def daily_flow(i: Inputs) -> DataFrame:
-    return mobility.daily_flow(i.od)
+    return i.pi
 
 
 @query(
@@ -32,7 +32,9 @@ def daily_flow(i: Inputs) -> DataFrame:
          sum(total) / (SELECT count(DISTINCT date) FROM od) AS pi FROM od WHERE age_10 >= 10 GROUP BY ALL""",
 )
 def daily_flow_all_days(i: Inputs) -> DataFrame:
-    return mobility.daily_flow(i.od, "all", index=mobility.area_index(i.capital))
+    return mobility.daily_flow(
+        i.od, "all", index=mobility.area_index(i.capital), dated=i.trips
+    )
 
 
 @query(
@@ -42,7 +44,7 @@ def daily_flow_all_days(i: Inputs) -> DataFrame:
          round(sum(pi), 6) AS flow FROM pi GROUP BY GROUPING SETS ((age_7), (hour), (o_admdong_cd), ())""",
 )
 def flow_marginals(i: Inputs) -> DataFrame:
-    return rounded(mobility.flow_marginals(mobility.daily_flow(i.od)), "flow")
+    return rounded(mobility.flow_marginals(i.pi), "flow")
 
 
 @query(
@@ -51,7 +53,7 @@ def flow_marginals(i: Inputs) -> DataFrame:
          SELECT o_admdong_cd, sum(pi) AS flow FROM pi GROUP BY ALL)""",
 )
 def outflow_extremes(i: Inputs) -> DataFrame:
-    out = mobility.outflow_extremes(mobility.daily_flow(i.od))
+    out = mobility.outflow_extremes(i.pi)
     return rounded(out, "mean_outflow", "max_outflow")
 
 
@@ -63,7 +65,7 @@ def outflow_extremes(i: Inputs) -> DataFrame:
 )
 def dense_slice(i: Inputs) -> DataFrame:
     index = mobility.area_index(i.capital)
-    return mobility.dense_cells(mobility.dense_rows(mobility.daily_flow(i.od), index, 30, 8), index)
+    return mobility.dense_cells(mobility.dense_rows(i.pi, index, 30, 8), index)
 
 
 @query(
@@ -216,7 +218,7 @@ def distance_profile(i: Inputs) -> DataFrame:
        FROM od_days WHERE day_type = 'weekday' GROUP BY ALL""",
 )
 def weekday_trips(i: Inputs) -> DataFrame:
-    return mobility.weekday_trips_by_age(i.od)
+    return mobility.weekday_trips_by_age(i.od, dated=i.trips)
 
 
 @query(
@@ -433,7 +435,7 @@ def top_net_flow(i: Inputs) -> DataFrame:
        UNION ALL SELECT o_admdong_cd, d_admdong_cd, age_7, hour, round(pi, 6) FROM pi WHERE age_7 >= 70""",
 )
 def split_decades(i: Inputs) -> DataFrame:
-    return rounded(blending.split_decades(mobility.daily_flow(i.od), i.census5), "pi")
+    return rounded(blending.split_decades(i.pi, i.census5), "pi")
 
 
 @query(
@@ -441,7 +443,7 @@ def split_decades(i: Inputs) -> DataFrame:
     "SELECT o_admdong_cd, d_admdong_cd, age_7, hour, round(CASE WHEN age_7 BETWEEN 20 AND 69 THEN pi * (1 / 0.9::DOUBLE) ELSE pi END, 6) AS pi FROM pi",
 )
 def detection_correction(i: Inputs) -> DataFrame:
-    return rounded(blending.correct_detection(mobility.daily_flow(i.od)), "pi")
+    return rounded(blending.correct_detection(i.pi), "pi")
 
 
 @query(
@@ -451,7 +453,7 @@ def detection_correction(i: Inputs) -> DataFrame:
 )
 def median_correction(i: Inputs) -> DataFrame:
     summary = livepop.detection_summary(livepop.detection(i.lp, i.census10, 50))
-    return rounded(blending.correct_by_median(mobility.daily_flow(i.od), summary), "pi")
+    return rounded(blending.correct_by_median(i.pi, summary), "pi")
 
 
 @query(

@@ -50,4 +50,5 @@ def ingest_movement(
 
 def read_movement(spark: SparkSession, output: str, areas: DataFrame) -> DataFrame:
     """The refined movement table: sums of all batches merged, then turned into means."""
-    return mobility.finish_partials(spark.read.parquet(output).drop("batch", "yyyymm"), areas)
+    sums = spark.read.parquet(output).drop("batch", "yyyymm")
+    return mobility.with_names(mobility.finish_partials(sums), areas)
