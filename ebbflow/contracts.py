@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Collection, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 
 def require_columns(df: DataFrame, columns: Iterable[str], what: str) -> None:
@@ -22,3 +22,15 @@ def require_subset(values: Iterable, allowed: Collection, name: str) -> None:
     unknown = sorted(set(values) - set(allowed))
     if unknown:
         raise ValueError(f"{name}: unknown {unknown}; expected a subset of {list(allowed)}")
+
+
+def fail_if_empty(df: DataFrame, source: DataFrame, message: str) -> DataFrame:
+    """`df`, failing when it is computed if `source` has no rows.
+
+    A row-free branch is added by union. An error in a scalar subquery would not do:
+    adaptive execution drops the projection above an empty stage, and the error with it.
+    """
+    n = F.count("*")
+    ok = F.when(n > 0, True).otherwise(F.raise_error(F.lit(message)))
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+    return df.unionByName(source.agg(ok.alias("_ok")).filter(~F.col("_ok")).select(*nothing))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ebbflow import vocab
-from ebbflow.contracts import require_choice
+from ebbflow.contracts import fail_if_empty, require_choice
 from ebbflow.functions.columns import none_if_nan
 
 SLOT_COLUMNS = [f"w{i}" for i in range(vocab.ILI_SLOTS)]
@@ -73,19 +73,15 @@ def series(
 ) -> DataFrame:
     """One season in week order. An unknown season fails when the result is computed."""
     of_season = long.filter(F.col("season") == season)
-    known = of_season.agg(F.count("*").alias("n")).select(
-        F.when(F.col("n") > 0, True).otherwise(
-            F.raise_error(F.lit(f"unknown season: {season}"))
-        )
-    )
-    out = of_season.filter(known.scalar())
+    out = of_season
     if valid_only:
         out = out.filter("is_valid_week")
     if start_week is not None:
         out = out.filter(F.col("week_in_season") >= start_week)
     if end_week is not None:
         out = out.filter(F.col("week_in_season") <= end_week)
-    return out.orderBy("week_in_season")
+    checked = fail_if_empty(out, of_season, f"unknown season: {season}")
+    return checked.orderBy("week_in_season")
 
 
 def season_stats(long: DataFrame, *keys: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ebbflow import vocab
-from ebbflow.contracts import require_choice, require_columns
+from ebbflow.contracts import fail_if_empty, require_choice, require_columns
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import hour_of, ratio, top_code
 from ebbflow.joins import small
@@ -137,10 +137,8 @@ def dates_of(od: DataFrame, daytype: str, holidays="mobility") -> DataFrame:
 
 
 def day_count(od: DataFrame, daytype: str, holidays="mobility") -> DataFrame:
-    """One row `n_days`: days present, not calendar days. Zero days is an error."""
-    n = F.count("*")
-    checked = F.when(n > 0, n).otherwise(F.raise_error(F.lit(f"no {daytype} dates in the data")))
-    return dates_of(od, daytype, holidays).agg(checked.alias("n_days"))
+    """One row `n_days`: days present, not calendar days."""
+    return dates_of(od, daytype, holidays).agg(F.count("*").alias("n_days"))
 
 
 def daily_flow(
@@ -154,9 +152,11 @@ def daily_flow(
 
     Cells without trips are implied zeros. With `index`, rows whose ends are not in the
     area index are dropped (see `flag_mapped` for the count). The days present are counted
-    on `dated` where given: any table with the same dates that is cheaper to read.
+    on `dated` where given: any table with the same dates that is cheaper to read. No such
+    day at all is an error.
     """
-    n_days = day_count(od if dated is None else dated, daytype, holidays).scalar()
+    dated = od if dated is None else dated
+    n_days = day_count(dated, daytype, holidays).scalar()
     kept = od.filter(F.col("age_10").isin(vocab.MOBILITY_AGES_RAW))
     if daytype != "all":
         kept = kept.filter(calendar.week_part(F.col("date"), holidays) == daytype)
@@ -167,9 +167,10 @@ def daily_flow(
     summed = kept.groupBy(
         "o_admdong_cd", "d_admdong_cd", top_code(F.col("age_10"), 70).alias("age_7"), "hour"
     ).agg(F.sum("total").alias("_sum"))
-    return summed.select(
+    pi = summed.select(
         "o_admdong_cd", "d_admdong_cd", "age_7", "hour", ratio(F.col("_sum"), n_days).alias("pi")
     )
+    return fail_if_empty(pi, dates_of(dated, daytype, holidays), f"no {daytype} dates in the data")
 
 
 def flow_marginals(pi: DataFrame) -> DataFrame:
