@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ebbflow import vocab
 from ebbflow.functions.columns import ratio
 from ebbflow.joins import small
 
@@ -53,9 +54,12 @@ def correct_detection(pi: DataFrame, rate: float = 0.9, ages: tuple[int, int] =
 
 def correct_by_median(pi: DataFrame, summary: DataFrame) -> DataFrame:
     """Flow divided by the median detection rate of its age, where there is one."""
-    medians = summary.select(F.col("age_10").alias("age_7"), "median")
+    medians = summary.filter(F.col("age_10").isin(vocab.MOBILITY_AGES)).select(
+        F.col("age_10").alias("age_7"), "median"
+    )
+    # One row per mobility age: seven at most.
     return (
-        pi.join(medians, "age_7", "left")
+        pi.join(F.broadcast(medians), "age_7", "left")
         .withColumn("pi", F.coalesce(ratio(F.col("pi"), F.col("median")), F.col("pi")))
         .drop("median")
     )

@@ -97,7 +97,9 @@ def compare_scenarios(
 
 def daily_series(long: DataFrame, days: DataFrame) -> DataFrame:
     """Matrix of every calendar day: the few day-type matrices met by the day's type."""
-    per_type = long.groupBy("contact_idx", "participant_idx").agg(
+    ages = len(vocab.AGE_LABELS_15)
+    inside = F.col("contact_idx").between(0, ages - 1) & F.col("participant_idx").between(0, ages - 1)
+    per_type = long.filter(inside).groupBy("contact_idx", "participant_idx").agg(
         *[
             F.sum(_weight(F.col("setting"), vocab.SETTING_WEIGHTS[d]) * F.col("value")).alias(d)
             for d in vocab.DAYTYPES
@@ -106,6 +108,7 @@ def daily_series(long: DataFrame, days: DataFrame) -> DataFrame:
     tall = per_type.unpivot(
         ["contact_idx", "participant_idx"], vocab.DAYTYPES, "daytype", "value"
     )
-    return days.join(tall, "daytype").select(
+    # 15 x 15 cells for four day types: 900 rows at most, while the day types are skewed keys.
+    return days.join(F.broadcast(tall), "daytype").select(
         "date", "daytype", "contact_idx", "participant_idx", "value"
     )

@@ -46,6 +46,18 @@ def place_trips(raw: DataFrame, cells: DataFrame) -> DataFrame:
     )
 
 
+def outside_report(raw: DataFrame, cells: DataFrame) -> DataFrame:
+    """Raw trips whose origin or destination is not among the cells, in one scan."""
+    known = small(cells, ["cell_id"]).withColumn("_in", F.lit(True))
+    flagged = raw.join(known.toDF("O_CELL_ID", "_o"), "O_CELL_ID", "left").join(
+        known.toDF("D_CELL_ID", "_d"), "D_CELL_ID", "left"
+    )
+    return flagged.agg(
+        F.count_if(F.col("_o").isNull()).alias("n_origin_outside"),
+        F.count_if(F.col("_d").isNull()).alias("n_destination_outside"),
+    )
+
+
 def refine(
     raw: DataFrame, cells: DataFrame, areas: DataFrame | None = None, keep_purpose: bool = False
 ) -> DataFrame:

@@ -5,9 +5,9 @@ Two families of quantiles live here on purpose:
 * `summary` uses Spark's `percentile`. It keeps one counter per distinct value of a
   group in one task, so it is for tables bounded by the area and age vocabularies
   (area x age tables), never for trip rows.
-* `exact_quantiles` is for trip rows. No group is ever held by one task: values are
-  first combined with their copies, bin totals locate the bin of each wanted rank,
-  and only those bins are ordered, one task per bin.
+* `exact_quantiles` is for trip rows. No group is ever held by one task and the rows are
+  not shuffled: a first read sums narrow bins and locates the bin of each wanted rank, a
+  second read keeps the rows of those bins only, and just they are ordered, bin by bin.
 """
 
 from __future__ import annotations
@@ -18,6 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ebbflow.functions.columns import ratio
+from ebbflow.session import settled
 
 # Bins per e-fold of the value: 0.1 % wide.
 BINS_PER_EFOLD = 1000
@@ -57,6 +58,7 @@ def exact_quantiles(
     weight: str | None = None,
     method: str = "linear",
     max_groups: int | None = None,
+    settle: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group: one row per group, columns p25, p50, ...
 
@@ -65,6 +67,10 @@ def exact_quantiles(
     Also returns n (rows or total weight), min, max and mean (weighted by `weight`).
     `max_groups` is the caller's bound on the number of groups; with it the located
     bins have a known size and may be broadcast, without it the planner joins them.
+
+    The input is read twice and must give the same values both times, as a stored table
+    does. Where values are sums of fractions, whose last bits depend on the order of
+    addition, `settle` writes the few columns to the shared folder first.
     """
     if method not in ("linear", "nearest", "weighted"):
         raise ValueError(f"method must be linear/nearest/weighted, got {method!r}")
@@ -76,11 +82,10 @@ def exact_quantiles(
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
     rows = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_w").isNotNull())
 
-    # Copies of a value meet here, after a map-side combine.
-    values = rows.groupBy(*keys, _bin_of(F.col("_v")).alias("_bin"), "_v").agg(
-        F.sum("_w").alias("_w")
-    )
-    bins = values.groupBy(*keys, "_bin").agg(
+    if settle:
+        rows = settled(rows)
+    rows = rows.withColumn("_bin", _bin_of(F.col("_v")))
+    bins = rows.groupBy(*keys, "_bin").agg(
         F.sum("_w").alias("_bw"),
         F.sum(F.col("_v") * F.col("_w")).alias("_bs"),
         F.min("_v").alias("_lo"),
@@ -116,7 +121,11 @@ def exact_quantiles(
     same = F.col("_bin") == F.col("_k__bin")
     for k in keys:
         same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    hit = values.join(named, same)
+    # Copies of a value are combined before the shuffle.
+    carried = ["_before", "_n", "_s", "_min", "_max"]
+    hit = rows.join(named, same).groupBy(*keys, "_bin", "_v").agg(
+        F.sum("_w").alias("_w"), *[F.max(c).alias(c) for c in carried]
+    )
     inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
     hit = hit.withColumn(
         "_start",
@@ -223,7 +232,7 @@ def histogram(
     width = (F.col("_hi") - F.col("_lo")) / bins
     slot = F.coalesce(F.floor(F.try_divide(F.col("_t") - F.col("_lo"), width)), F.lit(0))
     counted = (
-        data.withColumn("bin", F.least(slot, F.lit(bins - 1)).cast("int"))
+        data.withColumn("bin", F.greatest(F.least(slot, F.lit(bins - 1)), F.lit(0)).cast("int"))
         .groupBy(*keys, "bin", "_lo", "_hi")
         .agg(F.sum("_w").alias("count"))
     )

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow import vocab
-from ebbflow.functions.columns import lookup, ratio
+from ebbflow.functions.columns import lookup
+from ebbflow.joins import small
 from ebbflow.operators import census, employment, geo, livepop, mobility, quality, series
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
@@ -32,7 +32,7 @@ def both_cells(i: Inputs) -> DataFrame:
 )
 def names_after_aggregation(i: Inputs) -> DataFrame:
     sums = i.lp_raw.groupBy(F.col("ADMDONG_CD").alias("admdong_cd")).agg(F.sum("POP").alias("pop"))
-    return sums.join(i.capital.select("admdong_cd", "admdong_nm"), "admdong_cd", "left")
+    return sums.join(small(i.capital, ["admdong_cd", "admdong_nm"]), "admdong_cd", "left")
 
 
 @query("j03_scaffold", "SELECT * FROM census15")
@@ -164,10 +164,7 @@ def area_rates(i: Inputs) -> DataFrame:
          count(*) FILTER (D_CELL_ID NOT IN (SELECT cell_id FROM cells)) AS n_destination_outside FROM od_raw""",
 )
 def outside_region(i: Inputs) -> DataFrame:
-    cells = i.cells.select("cell_id")
-    count = lambda end: i.od_raw.select(end).join(cells.toDF(end), end, "left_anti").agg(F.count("*"))
-    origins = count("O_CELL_ID").toDF("n_origin_outside")
-    return origins.withColumn("n_destination_outside", count("D_CELL_ID").scalar())
+    return mobility.outside_report(i.od_raw, i.cells)
 
 
 @query(

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow import vocab
 from ebbflow.functions import calendar, columns as c
+from ebbflow.joins import small
 from ebbflow.operators import census, claims, codebook, geo, mobility
 from ebbflow.plans.bindings import CAPITAL, Inputs
 from ebbflow.plans.catalog import query, rounded
@@ -23,7 +24,7 @@ def region_filter(i: Inputs) -> DataFrame:
        WHERE O_CELL_ID IN (SELECT cell_id FROM cells) AND D_CELL_ID IN (SELECT cell_id FROM cells) GROUP BY ALL""",
 )
 def both_ends_filter(i: Inputs) -> DataFrame:
-    cells = i.cells.select("cell_id")
+    cells = small(i.cells, ["cell_id"])
     kept = i.od_raw.join(cells.toDF("O_CELL_ID"), "O_CELL_ID", "left_semi").join(
         cells.toDF("D_CELL_ID"), "D_CELL_ID", "left_semi"
     )

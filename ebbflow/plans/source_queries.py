@@ -207,11 +207,20 @@ def pending_months(i: Inputs) -> DataFrame:
         FROM ({SPINE}) s LEFT JOIN months m ON s.yyyymm = m.yyyymm""",
 )
 def ingest_run(i: Inputs) -> DataFrame:
+    """The feed lands as month folders; a run takes the months the output lacks."""
     path = shared_dir(i.spark)
+    landing = f"{path}/landing"
+    sinks.write_months(i.od_raw.withColumn("date", F.col("ETL_YMD")), landing, ["ETL_YMD", "TIME_CD"])
     spine = _spine(i)
     done = spine.filter(F.col("yyyymm").cast("int") % 3 == 0)
+
+    def load(months: list[str]) -> DataFrame:
+        feed = i.spark.read.parquet(landing)
+        return feed.filter(F.col("yyyymm").isin([int(m) for m in months]))
+
     result = ingest.run(
-        i.spark, i.od_raw, lambda raw: mobility.refine(raw, i.cells, i.capital), spine, done,
+        i.spark, load, lambda raw: mobility.refine(raw, i.cells, i.capital), spine, done,
+        readers.files(i.spark, landing, "*.parquet"),
         f"{path}/movement", f"{path}/ledger", "total", MOVEMENT_ORDER,
     )
     return result.drop("error")

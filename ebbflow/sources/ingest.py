@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbflow.functions.columns import month_key
 from ebbflow.operators import series
 from ebbflow.sources import sinks
 
@@ -41,10 +40,11 @@ def pending(expected: DataFrame, done: DataFrame) -> DataFrame:
 
 def run(
     spark: SparkSession,
-    raw: DataFrame,
+    load: Callable[[list[str]], DataFrame],
     refine: Callable[[DataFrame], DataFrame],
     expected: DataFrame,
     done: DataFrame,
+    available: DataFrame,
     output: str,
     ledger: str,
     value: str,
@@ -52,20 +52,17 @@ def run(
 ) -> DataFrame:
     """Ingest the pending months and append to the ledger; returns this run's rows.
 
-    Only the month list (one short text per month) comes to the driver, to prune the scan.
-    The pending months are one job. If that job fails, each month is tried alone so that
-    one bad month is recorded as FAILED and the others are kept.
+    `available` lists the months there is input for (see `readers.files`: a folder listing,
+    not a read) and `load` reads the given months only. Just the month list, one short text
+    per month, comes to the driver. The pending months are one job. If that job fails, each
+    month is tried alone, so that a bad month is recorded as FAILED and the others are kept.
     """
-    raw_months = month_key(F.col("ETL_YMD"))
-    available = raw.select(raw_months.alias("yyyymm")).distinct()
     status = plan(expected, done, available).collect()
     todo = sorted(r.yyyymm for r in status if r.status == "PENDING")
     rows = [(r.yyyymm, r.status, None, None, None) for r in status if r.status != "PENDING"]
 
     def write(months: list[str]) -> None:
-        first = [int(m + "01") for m in months]
-        in_month = F.col("ETL_YMD").between(min(first), max(first) + 30) & raw_months.isin(months)
-        sinks.write_months(refine(raw.filter(in_month)), output, order)
+        sinks.write_months(refine(load(months)), output, order)
 
     failed: dict[str, str] = {}
     if todo:

@@ -2,6 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from ebbflow.functions.columns import month_key
 from ebbflow.operators import mobility, quality, series
 from ebbflow.session import shared_dir
 from ebbflow.sources import ingest, sinks
@@ -19,12 +20,14 @@ def test_run_is_idempotent_and_keeps_a_ledger(spark, raw, cells):  # noqa: F811
     path = shared_dir(spark)
     refine = lambda df: mobility.refine(df, cells)
     expected = months(spark, "202301", "202302")
+    load = lambda ms: raw.filter(month_key(F.col("ETL_YMD")).isin(ms))
     args = (f"{path}/out", f"{path}/ledger", "total", ORDER)
-    first = ingest.run(spark, raw, refine, expected, months(spark).limit(0) if False else expected.limit(0), *args)
+    have = months(spark, "202301")
+    first = ingest.run(spark, load, refine, expected, expected.limit(0), have, *args)
     assert {(r.yyyymm, r.status, r.output_rows, r.total_sum) for r in first.collect()} == {
         ("202301", "OK", 4, 13.0), ("202302", "MISSING_INPUT", None, None)}
     done = spark.read.parquet(args[1]).filter("status = 'OK'").select("yyyymm")
-    again = ingest.run(spark, raw, refine, expected, done, *args)
+    again = ingest.run(spark, load, refine, expected, done, have, *args)
     assert {r.status for r in again.collect()} == {"SKIPPED", "MISSING_INPUT"}
     assert spark.read.parquet(args[0]).count() == 4 and spark.read.parquet(args[1]).count() == 4
 
@@ -33,9 +36,10 @@ def test_a_bad_month_fails_alone(spark, raw, cells):  # noqa: F811
     path = shared_dir(spark)
     bad = raw.limit(1).withColumns({"ETL_YMD": F.lit(20230215), "AGE_CD": F.lit("xx")})
     both = raw.unionByName(bad)
+    two = months(spark, "202301", "202302")
     out = ingest.run(
-        spark, both, lambda df: mobility.refine(df, cells), months(spark, "202301", "202302"),
-        months(spark, "x").limit(0), f"{path}/out", f"{path}/ledger", "total", ORDER)
+        spark, lambda ms: both.filter(month_key(F.col("ETL_YMD")).isin(ms)), lambda df: mobility.refine(df, cells),
+        two, two.limit(0), two, f"{path}/out", f"{path}/ledger", "total", ORDER)
     got = {r.yyyymm: r for r in out.collect()}
     assert got["202301"].status == "OK" and got["202301"].output_rows == 4
     assert got["202302"].status == "FAILED" and got["202302"].error

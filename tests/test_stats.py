@@ -120,3 +120,9 @@ def test_top_per_group_breaks_ties(spark):
     df = spark.createDataFrame([("a", "x", 1.0), ("a", "y", 1.0), ("a", "z", 2.0)], "g string, k string, v double")
     got = stats.top_per_group(df, ["g"], [F.desc("v"), F.col("k")], 2).orderBy("rank")
     assert [r.k for r in got.collect()] == ["z", "x"]
+
+
+def test_settled_input_gives_the_same(spark, skewed):
+    df = make(spark, skewed).filter("g = 'cold'")
+    plain = stats.exact_quantiles(df, [], "v", [0.5], max_groups=1).first()
+    assert stats.exact_quantiles(df, [], "v", [0.5], max_groups=1, settle=True).first() == plain
