@@ -86,6 +86,24 @@ def detection_summary(rates: DataFrame, keys: Sequence[str] = ("age_10",)) -> Da
     )
 
 
+def outlier_areas(
+    rates: DataFrame,
+    high: float = 1.3,
+    low: float = 0.5,
+    ages: Sequence[int] = (20, 30),
+    k: int = 20,
+) -> DataFrame:
+    """The k areas furthest above `high` and below `low`, for the given ages."""
+    rate = F.col("detection_rate")
+    adults = rates.filter(F.col("age_10").isin(list(ages)))
+    ties = ["admdong_cd", "age_10"]
+    above = adults.filter(rate > high).orderBy(rate.desc(), *ties).limit(k)
+    below = adults.filter(rate < low).orderBy(rate, *ties).limit(k)
+    return above.withColumn("side", F.lit("high")).unionByName(
+        below.withColumn("side", F.lit("low"))
+    )
+
+
 def day_night(pop: DataFrame, day: int = 13, night: int = 4, noise: float = 10) -> DataFrame:
     """Mean at a day hour over mean at a night hour, per area and age, in one aggregation."""
     at = lambda h: F.avg(F.when(F.col("hour") == h, F.col("pop")))

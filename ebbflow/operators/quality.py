@@ -42,6 +42,12 @@ def cardinality(column: str, n: int) -> Rule:
     return Rule(f"distinct {column}", F.count_distinct(column), str(n), lambda v: v == n)
 
 
+def allowed(column: str, values: Sequence) -> Rule:
+    """Every value, null included, must be one of a fixed list."""
+    known = F.coalesce(F.col(column).isin(list(values)), F.lit(False))
+    return Rule(f"{column} allowed", F.count_if(~known), "0", lambda v: v == 0)
+
+
 def total_equals(name: str, left: str, right: str, tolerance: float = 0.01) -> Rule:
     gap = F.abs(F.sum(left) - F.sum(right))
     return Rule(name, gap, f"< {tolerance}", lambda v: v < tolerance)

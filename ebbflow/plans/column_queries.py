@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ebbflow import vocab
 from ebbflow.functions import calendar, columns as c
 from ebbflow.joins import small
-from ebbflow.operators import census, claims, codebook, geo, mobility
-from ebbflow.plans.bindings import CAPITAL, Inputs
+from ebbflow.operators import census, claims, codebook, geo
+from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
 
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.functions import calendar
 from ebbflow.functions.columns import lookup, ratio
 from ebbflow.operators import census, geo, livepop, stats
 from ebbflow.plans.bindings import Inputs
@@ -249,9 +248,4 @@ def top_increase(i: Inputs) -> DataFrame:
          AND detection_rate < 0.2 ORDER BY detection_rate, admdong_cd, age_10 LIMIT 20)""",
 )
 def outlier_areas(i: Inputs) -> DataFrame:
-    adults = livepop.detection(i.lp, i.census10, 50).filter(F.col("age_10").isin(20, 30))
-    rate = F.col("detection_rate")
-    high = adults.filter(rate > 0.4).orderBy(rate.desc(), "admdong_cd", "age_10").limit(20)
-    low = adults.filter(rate < 0.2).orderBy(rate, "admdong_cd", "age_10").limit(20)
-    tag = lambda df, side: df.withColumn("side", F.lit(side))
-    return tag(high, "high").unionByName(tag(low, "low"))
+    return livepop.outlier_areas(livepop.detection(i.lp, i.census10, 50), 0.4, 0.2)

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.operators import census, quality, series
+from ebbflow import vocab
+from ebbflow.contracts import require_columns
+from ebbflow.operators import census, claims, quality, series
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query
 from ebbflow.plans.source_queries import SPINE, _spine
@@ -18,6 +20,27 @@ def _row(check: str, metric: str, expected: str, test: str, source: str) -> str:
         CASE WHEN {metric} {test} THEN 'PASS' ELSE 'FAIL' END AS status FROM {source}"""
 
 
+@query(
+    "v01_contract",
+    " UNION ALL ".join(
+        [
+            _row("sex allowed", "count(*) FILTER (sex NOT IN ('M', 'F'))", "0", "= 0", "claims"),
+            _row("age_group allowed", f"count(*) FILTER (age_group NOT IN {tuple(vocab.CLAIMS_AGE_GROUPS)})", "0", "= 0", "claims"),
+            _row("sido_code allowed", "count(*) FILTER (sido_code NOT IN (11, 28, 41))", "0", "= 0", "claims"),
+        ]
+    ),
+)
+def contract(i: Inputs) -> DataFrame:
+    """Columns are checked before the plan is built, values while it runs."""
+    require_columns(i.claims, claims.COLUMNS, "claims")
+    rules = [
+        quality.allowed("sex", list(vocab.CLAIMS_SEXES.values())),
+        quality.allowed("age_group", vocab.CLAIMS_AGE_GROUPS),
+        quality.allowed("sido_code", vocab.CLAIMS_CAPITAL_CODES),
+    ]
+    return quality.report(i.claims, rules)
+
+
 @query(
     "v02_null_counts",
     " UNION ALL ".join(_row(f"nulls in {c}", f"count(*) FILTER ({c} IS NULL)", "0", "= 0", "od") for c in OD_COLUMNS),

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow import vocab
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import month_key
 from ebbflow.operators import census, codebook, employment, ili, livepop, mobility, quality

@@ -74,7 +74,7 @@ def contact_matrix_custom(i: Inputs) -> DataFrame:
 
 @query("a16_orientation", "SELECT setting, participant_idx AS contact_idx, contact_idx AS participant_idx, value FROM contacts")
 def orientation(i: Inputs) -> DataFrame:
-    return contact.swap_orientation(i.contacts_source)
+    return contact.swap_orientation(i.contacts)
 
 
 @query("a16_shape_check", "SELECT setting, count(*) AS n_cells, count(*) = 225 AS is_square FROM contacts GROUP BY ALL")

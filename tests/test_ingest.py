@@ -62,6 +62,15 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, raw, cells, areas
     assert RAW.startswith("ETL_YMD")
 
 
+def test_stream_reads_csv_files(spark, raw, cells, areas):  # noqa: F811
+    path = shared_dir(spark)
+    sinks.write_csv(raw, f"{path}/landing")
+    feed = stream.stream_files(spark, f"{path}/landing", raw.schema, "csv", "*.csv", header=True)
+    stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/mark", keep_purpose=True)
+    got = rows(stream.read_movement(spark, f"{path}/out", areas))
+    assert got == rows(mobility.refine(raw, cells, areas, keep_purpose=True))
+
+
 def test_series_checks(spark):
     data = [(f"2023{m:02d}", float(t), 1) for m, t in enumerate([100, 100, 30, 100, 190, 100, 120], 1)]
     m = spark.createDataFrame(data, "yyyymm string, total double, n_rows bigint")

@@ -80,7 +80,7 @@ def test_ili_bad_season_fails(spark, tmp_path):
 
 def test_ili_files_by_age(spark, tmp_path):
     for suffix in ("0세", "65세이상"):
-        cp949(tmp_path / f"2018-2023_ILI_{suffix}.csv", '"2018-2019절기",1,2\n')
+        cp949(tmp_path / f"seasons_{suffix}.csv", '"2018-2019절기",1,2\n')
     got = readers.ili_by_age_csv(spark, str(tmp_path)).select("age_group").collect()
     assert sorted(r[0] for r in got) == ["0", "65+"]
 
@@ -101,11 +101,11 @@ def test_claims_file(spark, tmp_path):
 
 
 def test_movement_and_population_csv(spark, tmp_path):
-    m = tmp_path / "MSL_202301.csv"
+    m = tmp_path / "movement_202301.csv"
     m.write_text("ETL_YMD,TIME_CD,O_CELL_ID,D_CELL_ID,SEX_CD,AGE_CD,PURPOSE,TOTAL,AVG_DIST,AVG_TIME\n20230101,0830,001,002,M,20,1,2.5,100,7\n")
     row = readers.movement_csv(spark, str(m)).first()
     assert (row.O_CELL_ID, row.PURPOSE, row.TOTAL) == ("001", 1, 2.5)
-    p = tmp_path / "POP_202301.csv"
+    p = tmp_path / "population_202301.csv"
     p.write_text("ETL_YMD,TIMEZN_CD,ADMDONG_CD,SEX_AGE_CD,POP\n20230101,03,01110515,M05,1.5\n")
     assert readers.population_csv(spark, str(p)).first().ADMDONG_CD == "01110515"
     names = {r.yyyymm for r in readers.files(spark, str(tmp_path), "*.csv").collect()}
