@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ebbflow import vocab
-from ebbflow.contracts import require_choice
+from ebbflow.contracts import fail_if_any, require_choice
 from ebbflow.functions.columns import lookup
 
 
@@ -34,6 +34,12 @@ def shape_report(long: DataFrame, size: int = 15) -> DataFrame:
     )
 
 
+def checked(long: DataFrame, size: int = 15) -> DataFrame:
+    """The table, failing when it is computed if a setting is not a full square matrix."""
+    broken = shape_report(long, size).filter(~F.col("is_square"))
+    return fail_if_any(long, broken, f"a contact matrix is not {size} x {size}")
+
+
 def _weight(setting: Column, weights: Mapping[str, float]) -> Column:
     """Weight of a setting; settings that are not named count 0."""
     return lookup(setting, {k: float(v) for k, v in weights.items()}, 0.0)

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.contracts import require_choice, require_columns
 from ebbflow.functions import calendar
-from ebbflow.functions.columns import age5_of, age10_of, ratio
+from ebbflow.functions.columns import age5_of, age10_of, month_key, ratio
 from ebbflow.joins import small
 from ebbflow.operators import stats
 
@@ -21,10 +21,13 @@ def refine(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
     require_columns(
         raw, ["ETL_YMD", "TIMEZN_CD", "ADMDONG_CD", "SEX_AGE_CD", "POP"], "population feed"
     )
-    names = small(areas, ["admdong_cd", "admdong_nm"])
-    codes = small(areas, ["admdong_cd"])
+    return with_names(sums(raw, areas, age), areas, age)
+
+
+def sums(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
+    """The additive part of `refine`."""
     age_of = age10_of if age == "age_10" else age5_of
-    summed = (
+    return (
         raw.select(
             F.col("ETL_YMD").cast("int").alias("date"),
             F.col("TIMEZN_CD").cast("int").alias("hour"),
@@ -32,15 +35,42 @@ def refine(raw: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
             age_of(F.col("SEX_AGE_CD")).alias(age),
             F.col("POP").alias("pop"),
         )
-        .join(codes, "admdong_cd", "left_semi")
+        .join(small(areas, ["admdong_cd"]), "admdong_cd", "left_semi")
         .groupBy("date", "hour", "admdong_cd", age)
         .agg(F.sum("pop").alias("pop"))
     )
+
+
+def with_names(summed: DataFrame, areas: DataFrame, age: str = "age_10") -> DataFrame:
+    names = small(areas, ["admdong_cd", "admdong_nm"])
     return summed.join(names, "admdong_cd", "left").select(
         "date", "hour", "admdong_cd", "admdong_nm", age, "pop"
     )
 
 
+def month_ledger(raw: DataFrame, refined: DataFrame, areas: DataFrame) -> DataFrame:
+    """Per month: rows read, kept and written, areas, and population before and after."""
+    codes = small(areas, ["admdong_cd"]).withColumn("_in", F.lit(True))
+    kept = F.col("_in").isNotNull()
+    before = (
+        raw.withColumn("admdong_cd", F.col("ADMDONG_CD"))
+        .join(codes, "admdong_cd", "left")
+        .groupBy(month_key(F.col("ETL_YMD")).alias("yyyymm"))
+        .agg(
+            F.count("*").alias("input_rows"),
+            F.count_if(kept).alias("filtered_rows"),
+            F.coalesce(F.sum(F.when(kept, F.col("POP"))), F.lit(0.0)).alias("pop_sum_before"),
+        )
+    )
+    after = refined.groupBy(month_key(F.col("date")).alias("yyyymm")).agg(
+        F.count("*").alias("output_rows"),
+        F.count_distinct("admdong_cd").alias("unique_admdongs"),
+        F.sum("pop").alias("pop_sum_after"),
+    )
+    gap = F.abs(F.col("pop_sum_before") - F.coalesce("pop_sum_after", F.lit(0.0)))
+    return before.join(after, "yyyymm", "left").withColumn("pop_diff", gap)
+
+
 def mean_population_by_age(pop: DataFrame) -> DataFrame:
     """Mean concurrent population per age: total over 24 hours times the days present."""
     days = pop.agg(F.count_distinct("date")).scalar()

@@ -8,7 +8,7 @@ numbers in double columns: their sums are exact in any order, hence comparable.
 from __future__ import annotations
 
 import re
-from functools import cached_property
+from functools import cached_property, lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -46,6 +46,12 @@ def _pick(values: list, index) -> "F.Column":
     return F.element_at(F.array(*[F.lit(v) for v in values]), (index + 1).cast("int"))
 
 
+@lru_cache(maxsize=64)
+def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """One handle per table and session, so that a table is counted once (see `joins`)."""
+    return spark.read.schema(TABLES[name]).parquet(f"{folder}/{name}.parquet")
+
+
 class Inputs:
     """Lazy views over one folder of driver tables."""
 
@@ -53,7 +59,7 @@ class Inputs:
         self.spark, self.folder = spark, folder
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.schema(TABLES[name]).parquet(f"{self.folder}/{name}.parquet")
+        return _table(self.spark, self.folder, name)
 
     # -- area code book and cells ------------------------------------------------------
     @cached_property

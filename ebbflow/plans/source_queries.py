@@ -247,6 +247,18 @@ def before_after(i: Inputs) -> DataFrame:
     return quality.before_after_table(i.lp_raw, F.col("ADMDONG_CD") < "03", "POP")
 
 
+@query(
+    "s15_population_ledger",
+    """SELECT b.*, output_rows, unique_admdongs, pop_sum_after, abs(pop_sum_before - pop_sum_after) AS pop_diff FROM (
+         SELECT (ETL_YMD // 100)::VARCHAR AS yyyymm, count(*) AS input_rows, count(*) FILTER (ADMDONG_CD < '03') AS filtered_rows,
+           sum(POP) FILTER (ADMDONG_CD < '03') AS pop_sum_before FROM lp_raw GROUP BY ALL) b
+       JOIN (SELECT (date // 100)::VARCHAR AS yyyymm, count(*) AS output_rows, count(DISTINCT admdong_cd) AS unique_admdongs,
+           sum(pop) AS pop_sum_after FROM lp GROUP BY ALL) USING (yyyymm)""",
+)
+def population_ledger(i: Inputs) -> DataFrame:
+    return livepop.month_ledger(i.lp_raw, i.lp, i.capital)
+
+
 @query("s16_month_spine", SPINE)
 def month_spine(i: Inputs) -> DataFrame:
     return _spine(i)
@@ -263,3 +275,15 @@ def stream_ingest(i: Inputs) -> DataFrame:
         feed = stream.stream_files(i.spark, landing, part.schema, "parquet", "*.parquet")
         stream.ingest_movement(feed, i.cells, output, mark)
     return stream.read_movement(i.spark, output, i.capital)
+
+
+@query("z01_stream_population", "SELECT * FROM lp")
+def stream_population(i: Inputs) -> DataFrame:
+    path = shared_dir(i.spark)
+    landing, output, mark = f"{path}/landing", f"{path}/population", f"{path}/checkpoint"
+    late = F.col("ETL_YMD") >= 20240115
+    for part in (i.lp_raw.filter(~late), i.lp_raw.filter(late)):
+        part.write.mode("append").parquet(landing)
+        feed = stream.stream_files(i.spark, landing, part.schema, "parquet", "*.parquet")
+        stream.ingest_population(feed, i.capital, output, mark)
+    return stream.read_population(i.spark, output, i.capital)

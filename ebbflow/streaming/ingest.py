@@ -1,11 +1,18 @@
-"""Incremental ingest of the movement feed: new files only, exactly once."""
+"""Incremental ingest of the movement and population feeds: new files only, exactly once.
+
+A batch writes its additive sums to folders named by month and batch number. A batch that
+is replayed after a failure overwrites its own folders only, so the result is exactly once,
+and two files of one month never overwrite each other. The stream's checkpoint is the ledger.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ebbflow.operators import mobility
+from ebbflow.operators import livepop, mobility
 from ebbflow.sources import sinks
 
 
@@ -21,26 +28,21 @@ def stream_files(
     )
 
 
-def ingest_movement(
-    raw_stream: DataFrame, cells: DataFrame, output: str, checkpoint: str, keep_purpose: bool = False
+def _ingest(
+    feed: DataFrame,
+    to_sums: Callable[[DataFrame], DataFrame],
+    order: list[str],
+    output: str,
+    checkpoint: str,
 ) -> None:
-    """Refine every file that arrived since the last run, then stop.
-
-    A batch writes its additive sums to folders named by month and batch number. A batch
-    that is replayed after a failure overwrites its own folders only, so the result is
-    exactly once; two files of one month never overwrite each other. The stream's
-    checkpoint is the ledger.
-    """
-    keys = mobility.partial_keys(keep_purpose)
+    """Take every file that arrived since the last run, then stop."""
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        sums = mobility.refine_partials(batch, cells, keep_purpose)
-        sinks.write_months(
-            sums.withColumn("batch", F.lit(batch_id)), output, keys, extra=["batch"]
-        )
+        sums = to_sums(batch).withColumn("batch", F.lit(batch_id))
+        sinks.write_months(sums, output, order, extra=["batch"])
 
     query = (
-        raw_stream.writeStream.foreachBatch(write)
+        feed.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -48,7 +50,32 @@ def ingest_movement(
     query.awaitTermination()
 
 
+def _read(spark: SparkSession, output: str) -> DataFrame:
+    return spark.read.parquet(output).drop("batch", "yyyymm")
+
+
+def ingest_movement(
+    feed: DataFrame, cells: DataFrame, output: str, checkpoint: str, keep_purpose: bool = False
+) -> None:
+    order = mobility.partial_keys(keep_purpose)
+    to_sums = lambda batch: mobility.refine_partials(batch, cells, keep_purpose)
+    _ingest(feed, to_sums, order, output, checkpoint)
+
+
 def read_movement(spark: SparkSession, output: str, areas: DataFrame) -> DataFrame:
     """The refined movement table: sums of all batches merged, then turned into means."""
-    sums = spark.read.parquet(output).drop("batch", "yyyymm")
-    return mobility.with_names(mobility.finish_partials(sums), areas)
+    return mobility.with_names(mobility.finish_partials(_read(spark, output)), areas)
+
+
+def ingest_population(
+    feed: DataFrame, areas: DataFrame, output: str, checkpoint: str, age: str = "age_10"
+) -> None:
+    order = ["date", "hour", "admdong_cd", age]
+    _ingest(feed, lambda batch: livepop.sums(batch, areas, age), order, output, checkpoint)
+
+
+def read_population(
+    spark: SparkSession, output: str, areas: DataFrame, age: str = "age_10"
+) -> DataFrame:
+    merged = _read(spark, output).groupBy("date", "hour", "admdong_cd", age).agg(F.sum("pop").alias("pop"))
+    return livepop.with_names(merged, areas, age)
