@@ -7,7 +7,8 @@ Two families of quantiles live here on purpose:
   (area x age tables), never for trip rows.
 * `exact_quantiles` is for trip rows. No group is ever held by one task and the rows are
   not shuffled: a first read sums narrow bins and locates the bin of each wanted rank, a
-  second read keeps the rows of those bins only, and just they are ordered, bin by bin.
+  second read keeps the rows of those bins only, and of these just the thin slices with a
+  wanted rank are ordered.
 """
 
 from __future__ import annotations
@@ -22,6 +23,9 @@ from ebbflow.session import settled
 
 # Bins per e-fold of the value: 0.1 % wide.
 BINS_PER_EFOLD = 1000
+WEIGHT_TYPE = "decimal(20,6)"
+# Even slices a located bin is cut into.
+SLICES = 4096
 # A candidate table is hinted for broadcast only when its proven row bound is below this.
 BROADCAST_ROW_BOUND = 10_000
 
@@ -63,7 +67,8 @@ def exact_quantiles(
     """Exact quantiles per group: one row per group, columns p25, p50, ...
 
     method: 'linear' (interpolated), 'nearest' (value at rank round((n-1)q)) or
-    'weighted' (smallest value whose running weight reaches q of the total; needs `weight`).
+    'weighted' (smallest value whose running weight reaches q of the total; needs `weight`,
+    which is taken to six decimals).
     Also returns n (rows or total weight), min, max and mean (weighted by `weight`).
     `max_groups` is the caller's bound on the number of groups; with it the located
     bins have a known size and may be broadcast, without it the planner joins them.
@@ -78,10 +83,10 @@ def exact_quantiles(
         raise ValueError("a weight column goes with method='weighted' and only with it")
     probs = [float(p) for p in probs]
     keys = list(keys)
-    w = F.col(weight) if weight else F.lit(1)
+    # Decimal weights add up to the same total in any order, so no rank falls in between.
+    w = F.col(weight).cast(WEIGHT_TYPE) if weight else F.lit(1)
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"), w.alias("_w"))
     rows = rows.filter(F.col("_v").isNotNull() & ~F.isnan("_v") & F.col("_w").isNotNull())
-
     if settle:
         rows = settled(rows)
     rows = rows.withColumn("_bin", _bin_of(F.col("_v")))
@@ -97,51 +102,50 @@ def exact_quantiles(
     located = bins.select(
         *keys,
         "_bin",
-        F.coalesce(
-            F.sum("_bw").over(ordered.rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("_before"),
-        F.col("_bw"),
+        _sum_before("_bw", ordered).alias("_before"),
+        "_bw",
+        "_lo",
+        "_hi",
         F.sum("_bw").over(whole).alias("_n"),
         F.sum("_bs").over(whole).alias("_s"),
         F.min("_lo").over(whole).alias("_min"),
         F.max("_hi").over(whole).alias("_max"),
     )
     ranks = _wanted_ranks(probs, method)
-    bin_hit = F.lit(False)
-    for rank in ranks:
-        bin_hit = bin_hit | _covers(rank, F.col("_before"), F.col("_bw"), method)
-    located = located.filter(bin_hit)
+    located = located.filter(_any_covered(ranks, F.col("_before"), F.col("_bw"), method)).drop("_bw")
     bound = None if max_groups is None else max_groups * len(ranks)
-    if bound is not None and bound <= BROADCAST_ROW_BOUND:
-        located = F.broadcast(located)
 
-    # Null keys are a group of their own, so the join is null-safe.
-    named = located.withColumnsRenamed({k: f"_k_{k}" for k in keys + ["_bin"]})
-    same = F.col("_bin") == F.col("_k__bin")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
-    # Copies of a value are combined before the shuffle.
-    carried = ["_before", "_n", "_s", "_min", "_max"]
-    hit = rows.join(named, same).groupBy(*keys, "_bin", "_v").agg(
+    # The rows of the located bins; copies of a value are combined before the shuffle, and
+    # the shuffle is on the value, so a crowded bin is spread over all tasks.
+    carried = ["_before", "_n", "_s", "_min", "_max", "_lo", "_hi"]
+    hit = _meet(rows, _bounded(located, bound), keys + ["_bin"])
+    hit = hit.groupBy(*keys, "_bin", "_v").agg(
         F.sum("_w").alias("_w"), *[F.max(c).alias(c) for c in carried]
     )
-    inside = Window.partitionBy(*keys, "_bin").orderBy("_v")
-    hit = hit.withColumn(
-        "_start",
-        F.col("_before")
-        + F.coalesce(
-            F.sum("_w").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ),
+    # A bin may still hold many different values: it is cut evenly between its own ends,
+    # and only the slices that hold a wanted rank are ordered.
+    width = F.col("_hi") - F.col("_lo")
+    slot = F.coalesce(F.floor(F.try_divide(F.col("_v") - F.col("_lo"), width) * SLICES), F.lit(0))
+    hit = hit.withColumn("_slice", F.least(slot, F.lit(SLICES - 1)).cast("int"))
+    in_bin = Window.partitionBy(*keys, "_bin").orderBy("_slice")
+    slices = (
+        hit.groupBy(*keys, "_bin", "_slice")
+        .agg(F.sum("_w").alias("_sw"), F.max("_before").alias("_before"), F.max("_n").alias("_n"))
+        .withColumn("_from", F.col("_before") + _sum_before("_sw", in_bin))
+        .filter(_any_covered(ranks, F.col("_from"), F.col("_sw"), method))
+        .select(*keys, "_bin", "_slice", "_from")
     )
+    hit = _meet(hit, _bounded(slices, bound), keys + ["_bin", "_slice"])
+    inside = Window.partitionBy(*keys, "_bin", "_slice").orderBy("_v")
+    hit = hit.withColumn("_start", F.col("_from") + _sum_before("_w", inside))
     picks = [
-        F.max(F.when(_covers(rank, F.col("_start"), F.col("_w"), method), F.col("_v"))).alias(
+        F.min(F.when(_covers(rank, F.col("_start"), F.col("_w"), method), F.col("_v"))).alias(
             f"_r{i}"
         )
         for i, rank in enumerate(ranks)
     ]
     per_group = hit.groupBy(*keys).agg(
-        F.first("_n").alias("n"),
+        (F.first("_n").cast("double") if weight else F.first("_n")).alias("n"),
         F.first("_min").alias("min"),
         F.first("_max").alias("max"),
         ratio(F.first("_s"), F.first("_n")).alias("mean"),
@@ -158,6 +162,26 @@ def exact_quantiles(
     return per_group.select(*keys, "n", "min", "max", "mean", *out)
 
 
+def _sum_before(column: str, window) -> Column:
+    """Running sum of the rows before the current one, 0 for the first."""
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(before), F.lit(0))
+
+
+def _bounded(located: DataFrame, bound: int | None) -> DataFrame:
+    """Each wanted rank lies in one bin of one group: that bounds the located rows."""
+    return F.broadcast(located) if bound is not None and bound <= BROADCAST_ROW_BOUND else located
+
+
+def _meet(rows: DataFrame, located: DataFrame, on: Sequence[str]) -> DataFrame:
+    """Inner join that treats null keys as a group of their own."""
+    other = located.withColumnsRenamed({k: f"_k_{k}" for k in on})
+    same = F.lit(True)
+    for k in on:
+        same = same & F.col(k).eqNullSafe(F.col(f"_k_{k}"))
+    return rows.join(other, same).drop(*[f"_k_{k}" for k in on])
+
+
 def _wanted_ranks(probs: Sequence[float], method: str) -> list[Column]:
     """Target positions per probability, as expressions over the group total `_n`."""
     n = F.col("_n")
@@ -173,6 +197,13 @@ def _wanted_ranks(probs: Sequence[float], method: str) -> list[Column]:
     return out
 
 
+def _any_covered(ranks: Sequence[Column], start: Column, width: Column, method: str) -> Column:
+    hit = F.lit(False)
+    for rank in ranks:
+        hit = hit | _covers(rank, start, width, method)
+    return hit
+
+
 def _covers(rank: Column, start: Column, width: Column, method: str) -> Column:
     """Does the run [start, start + width) hold the position?"""
     end = start + width

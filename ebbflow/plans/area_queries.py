@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions.columns import lookup
 from ebbflow.joins import small
-from ebbflow.operators import census, employment, geo, livepop, mobility, quality, series
+from ebbflow.operators import census, employment, geo, population, mobility, quality, series
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
 from ebbflow.plans.source_queries import _written_od
@@ -43,7 +43,7 @@ def scaffold(i: Inputs) -> DataFrame:
 @query("j04_night_with_census", "SELECT n.admdong_cd, age_10, night_avg, c.pop FROM night n JOIN census10 c USING (admdong_cd, age_10)")
 def night_with_census(i: Inputs) -> DataFrame:
     registered = i.census10.select("admdong_cd", "age_10", "pop")
-    return livepop.night_mean(i.lp).join(registered, ["admdong_cd", "age_10"])
+    return population.night_mean(i.lp).join(registered, ["admdong_cd", "age_10"])
 
 
 @query(
@@ -53,7 +53,7 @@ def night_with_census(i: Inputs) -> DataFrame:
 )
 def totals_with_population(i: Inputs) -> DataFrame:
     moves = i.od.groupBy("age_10").agg(F.sum("total").alias("total_moves"))
-    return moves.join(livepop.mean_population_by_age(i.lp), "age_10")
+    return moves.join(population.mean_population_by_age(i.lp), "age_10")
 
 
 @query(
@@ -99,7 +99,7 @@ def file_sizes(i: Inputs) -> DataFrame:
     """SELECT a.admdong_cd, h.pop_avg FROM areas a LEFT JOIN hourly h ON a.admdong_cd = h.admdong_cd AND h.hour = 12""",
 )
 def all_areas_at_hour(i: Inputs) -> DataFrame:
-    at_noon = livepop.hourly_area_mean(i.lp.filter(F.col("hour") == 12)).drop("hour")
+    at_noon = population.hourly_area_mean(i.lp.filter(F.col("hour") == 12)).drop("hour")
     return i.area_polygons.select("admdong_cd").join(at_noon, "admdong_cd", "left")
 
 
@@ -109,7 +109,7 @@ def all_areas_at_hour(i: Inputs) -> DataFrame:
 )
 def density(i: Inputs) -> DataFrame:
     measured = geo.measure(i.area_polygons, "admdong_cd")
-    return geo.density(livepop.hourly_area_mean(i.lp), measured)
+    return geo.density(population.hourly_area_mean(i.lp), measured)
 
 
 MATCH = """

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbflow import joins, vocab
 from ebbflow.functions import calendar
-from ebbflow.operators import census, claims, codebook, employment, ili, livepop, mobility
+from ebbflow.operators import census, claims, codebook, employment, ili, population, mobility
 
 TABLES = {
     "region": "r_regionkey int, r_name string",
@@ -150,7 +150,7 @@ class Inputs:
 
     @cached_property
     def lp(self) -> DataFrame:
-        return livepop.refine(self.lp_raw, self.capital)
+        return population.refine(self.lp_raw, self.capital)
 
     # -- census --------------------------------------------------------------------------
     @cached_property

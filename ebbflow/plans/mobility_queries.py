@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import kind_of, ratio
-from ebbflow.operators import blending, livepop, mobility, series, stats
+from ebbflow.operators import blending, population, mobility, series, stats
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
 
@@ -75,7 +75,7 @@ def dense_slice(i: Inputs) -> DataFrame:
 )
 def moves_per_person(i: Inputs) -> DataFrame:
     moves = i.od.groupBy("age_10").agg(F.sum("total").alias("total_moves"))
-    joined = moves.join(livepop.mean_population_by_age(i.lp), "age_10")
+    joined = moves.join(population.mean_population_by_age(i.lp), "age_10")
     return joined.withColumn("moves_per_person", ratio(F.col("total_moves"), F.col("avg_pop_total")))
 
 
@@ -335,7 +335,7 @@ def month_change(i: Inputs) -> DataFrame:
     "SELECT age_10, hour, sum(total) AS moves, sum(total) / avg(sum(total)) OVER (PARTITION BY age_10) AS normalised FROM od GROUP BY age_10, hour",
 )
 def hourly_moves_normalised(i: Inputs) -> DataFrame:
-    hourly = livepop.hourly_totals(i.od, "total", "age_10", alias="moves")
+    hourly = population.hourly_totals(i.od, "total", "age_10", alias="moves")
     return stats.relative_to_group_mean(hourly, ["age_10"], "moves", "normalised")
 
 
@@ -346,7 +346,7 @@ def hourly_moves_normalised(i: Inputs) -> DataFrame:
 )
 def normalised_by_daytype(i: Inputs) -> DataFrame:
     typed = i.od.withColumn("day_type", calendar.week_part(F.col("date")))
-    hourly = livepop.hourly_totals(typed, "total", "day_type", "age_10", alias="moves")
+    hourly = population.hourly_totals(typed, "total", "day_type", "age_10", alias="moves")
     return stats.relative_to_group_mean(hourly, ["age_10", "day_type"], "moves", "normalised")
 
 
@@ -452,7 +452,7 @@ def detection_correction(i: Inputs) -> DataFrame:
        FROM pi LEFT JOIN (SELECT age_10 AS age_7, median(detection_rate) AS median FROM detection GROUP BY ALL) USING (age_7)""",
 )
 def median_correction(i: Inputs) -> DataFrame:
-    summary = livepop.detection_summary(livepop.detection(i.lp, i.census10, 50))
+    summary = population.detection_summary(population.detection(i.lp, i.census10, 50))
     return rounded(blending.correct_by_median(i.pi, summary), "pi")
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions.columns import lookup, ratio
-from ebbflow.operators import census, geo, livepop, stats
+from ebbflow.operators import census, geo, population, stats
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
 
@@ -21,7 +21,7 @@ def hourly_population(i: Inputs) -> DataFrame:
        FROM lp_raw JOIN capital c ON lp_raw.ADMDONG_CD = c.admdong_cd GROUP BY ALL""",
 )
 def hourly_population_five(i: Inputs) -> DataFrame:
-    return livepop.refine(i.lp_raw, i.capital, "age_5")
+    return population.refine(i.lp_raw, i.capital, "age_5")
 
 
 LABELS = "CASE WHEN age_idx = 14 THEN '70+' ELSE (age_idx * 5)::VARCHAR || '-' || (age_idx * 5 + 4)::VARCHAR END AS age_group"
@@ -47,17 +47,17 @@ def population_matrix(i: Inputs) -> DataFrame:
 
 @query("a26_mean_population", "SELECT * FROM avg_pop")
 def mean_population(i: Inputs) -> DataFrame:
-    return livepop.mean_population_by_age(i.lp)
+    return population.mean_population_by_age(i.lp)
 
 
 @query("a36_night_mean", "SELECT * FROM night")
 def night_mean(i: Inputs) -> DataFrame:
-    return livepop.night_mean(i.lp)
+    return population.night_mean(i.lp)
 
 
 @query("a37_detection", "SELECT * FROM detection")
 def detection(i: Inputs) -> DataFrame:
-    return livepop.detection(i.lp, i.census10, 50)
+    return population.detection(i.lp, i.census10, 50)
 
 
 RATE_STATS = """round(median(detection_rate), 6) AS median, round(quantile_cont(detection_rate, 0.1), 6) AS q10,
@@ -69,7 +69,7 @@ RATE_COLUMNS = ["median", "q10", "q25", "q75", "q90", "mean", "std"]
 
 @query("a38_detection_summary", f"SELECT age_10, {RATE_STATS} FROM detection GROUP BY ALL")
 def detection_summary(i: Inputs) -> DataFrame:
-    return rounded(livepop.detection_summary(livepop.detection(i.lp, i.census10, 50)), *RATE_COLUMNS)
+    return rounded(population.detection_summary(population.detection(i.lp, i.census10, 50)), *RATE_COLUMNS)
 
 
 @query(
@@ -78,7 +78,7 @@ def detection_summary(i: Inputs) -> DataFrame:
        FROM (SELECT age_10, median(detection_rate) AS m FROM detection GROUP BY ALL)""",
 )
 def relative_to_reference(i: Inputs) -> DataFrame:
-    summary = livepop.detection_summary(livepop.detection(i.lp, i.census10, 50))
+    summary = population.detection_summary(population.detection(i.lp, i.census10, 50))
     reference = summary.filter(F.col("age_10") == 20).select("median").scalar()
     out = summary.select("age_10", ratio(F.col("median"), reference).alias("rel_to_20s"))
     return rounded(out, "rel_to_20s")
@@ -90,9 +90,9 @@ def relative_to_reference(i: Inputs) -> DataFrame:
          round(median(detection_rate), 6) AS median, count(*) AS n_areas FROM detection GROUP BY ALL""",
 )
 def detection_by_region(i: Inputs) -> DataFrame:
-    rates = livepop.detection(i.lp, i.census10, 50)
+    rates = population.detection(i.lp, i.census10, 50)
     sido = lookup(F.substring("admdong_cd", 1, 2), {"00": "A", "01": "B"}, "other")
-    out = livepop.detection_summary(rates.withColumn("sido", sido), ["sido", "age_10"])
+    out = population.detection_summary(rates.withColumn("sido", sido), ["sido", "age_10"])
     return rounded(out.select("sido", "age_10", "median", "n_areas"), "median")
 
 
@@ -105,14 +105,14 @@ PROFILE = {"p5": 0.05, "p10": 0.1, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p90":
     + ", round(avg(detection_rate), 6) AS mean FROM detection WHERE age_10 = 70",
 )
 def detection_profile(i: Inputs) -> DataFrame:
-    rates = livepop.detection(i.lp, i.census10, 50).filter(F.col("age_10") == 70)
+    rates = population.detection(i.lp, i.census10, 50).filter(F.col("age_10") == 70)
     out = stats.summary(rates, [], "detection_rate", PROFILE, [F.avg("detection_rate").alias("mean")])
     return rounded(out, *PROFILE, "mean")
 
 
 @query("a42_day_night", "SELECT * FROM day_night")
 def day_night(i: Inputs) -> DataFrame:
-    return livepop.day_night(i.lp)
+    return population.day_night(i.lp)
 
 
 @query(
@@ -122,7 +122,7 @@ def day_night(i: Inputs) -> DataFrame:
 )
 def day_night_summary(i: Inputs) -> DataFrame:
     out = stats.summary(
-        livepop.day_night(i.lp), ["age_10"], "day_night_ratio",
+        population.day_night(i.lp), ["age_10"], "day_night_ratio",
         {"median": 0.5, "q25": 0.25, "q75": 0.75}, [F.stddev("day_night_ratio").alias("std")],
     )
     return rounded(out, "median", "q25", "q75", "std")
@@ -130,7 +130,7 @@ def day_night_summary(i: Inputs) -> DataFrame:
 
 @query("a44_weekday_gap", "SELECT admdong_cd, age_10, weekday, weekend, round(diff, 6) AS diff, round(rel_diff, 6) AS rel_diff FROM gap")
 def weekday_gap(i: Inputs) -> DataFrame:
-    return rounded(livepop.weekday_weekend_gap(i.lp), "diff", "rel_diff")
+    return rounded(population.weekday_weekend_gap(i.lp), "diff", "rel_diff")
 
 
 @query(
@@ -140,7 +140,7 @@ def weekday_gap(i: Inputs) -> DataFrame:
 )
 def weekday_gap_summary(i: Inputs) -> DataFrame:
     out = stats.summary(
-        livepop.weekday_weekend_gap(i.lp), ["age_10"], "rel_diff",
+        population.weekday_weekend_gap(i.lp), ["age_10"], "rel_diff",
         {"median_rel_diff": 0.5, "q10": 0.1, "q90": 0.9}, [F.sum("diff").alias("_s")],
     )
     out = out.withColumn("sum_diff", F.round("_s", 4)).drop("_s")
@@ -160,12 +160,12 @@ def _cv(table: str, value: str) -> str:
         JOIN (SELECT age_10, median(day_night_ratio) AS dn FROM day_night GROUP BY ALL) USING (age_10)""",
 )
 def indicators(i: Inputs) -> DataFrame:
-    return livepop.indicators(i.lp, i.od)
+    return population.indicators(i.lp, i.od)
 
 
 @query("a47_hourly_area_mean", "SELECT * FROM hourly")
 def hourly_area_mean(i: Inputs) -> DataFrame:
-    return livepop.hourly_area_mean(i.lp)
+    return population.hourly_area_mean(i.lp)
 
 
 @query(
@@ -173,7 +173,7 @@ def hourly_area_mean(i: Inputs) -> DataFrame:
     "SELECT round(quantile_cont(pop_avg, 0.05), 6) AS vmin, round(quantile_cont(pop_avg, 0.99), 6) AS vmax FROM hourly WHERE pop_avg > 0",
 )
 def colour_bounds(i: Inputs) -> DataFrame:
-    return rounded(livepop.colour_bounds(livepop.hourly_area_mean(i.lp), "pop_avg"), "vmin", "vmax")
+    return rounded(population.colour_bounds(population.hourly_area_mean(i.lp), "pop_avg"), "vmin", "vmax")
 
 
 DENSITY = {"q0": 0.0, "q5": 0.05, "q50": 0.5, "q95": 0.95, "q99": 0.99, "q100": 1.0}
@@ -185,7 +185,7 @@ DENSITY = {"q0": 0.0, "q5": 0.05, "q50": 0.5, "q95": 0.95, "q99": 0.99, "q100":
     + " FROM hourly JOIN area_geo USING (admdong_cd)",
 )
 def density_quantiles(i: Inputs) -> DataFrame:
-    dense = geo.density(livepop.hourly_area_mean(i.lp), geo.measure(i.area_polygons, "admdong_cd"))
+    dense = geo.density(population.hourly_area_mean(i.lp), geo.measure(i.area_polygons, "admdong_cd"))
     return rounded(stats.summary(dense, [], "density", DENSITY), *DENSITY)
 
 
@@ -225,7 +225,7 @@ def distinct_counts(i: Inputs) -> DataFrame:
     "SELECT age_10, hour, sum(pop) AS pop_sum, sum(pop) / avg(sum(pop)) OVER (PARTITION BY age_10) AS normalised FROM lp GROUP BY age_10, hour",
 )
 def hourly_population_normalised(i: Inputs) -> DataFrame:
-    hourly = livepop.hourly_totals(i.lp, "pop", "age_10", alias="pop_sum")
+    hourly = population.hourly_totals(i.lp, "pop", "age_10", alias="pop_sum")
     return stats.relative_to_group_mean(hourly, ["age_10"], "pop_sum", "normalised")
 
 
@@ -235,7 +235,7 @@ def hourly_population_normalised(i: Inputs) -> DataFrame:
        FROM gap WHERE age_10 IN (0, 10)) WHERE rank <= 10""",
 )
 def top_increase(i: Inputs) -> DataFrame:
-    gap = livepop.weekday_weekend_gap(i.lp).filter(F.col("age_10").isin(0, 10))
+    gap = population.weekday_weekend_gap(i.lp).filter(F.col("age_10").isin(0, 10))
     top = stats.top_per_group(gap, ["age_10"], [F.desc("diff"), F.col("admdong_cd")], 10)
     return rounded(top.select("age_10", "admdong_cd", "diff", "rank"), "diff")
 
@@ -248,4 +248,4 @@ def top_increase(i: Inputs) -> DataFrame:
          AND detection_rate < 0.2 ORDER BY detection_rate, admdong_cd, age_10 LIMIT 20)""",
 )
 def outlier_areas(i: Inputs) -> DataFrame:
-    return livepop.outlier_areas(livepop.detection(i.lp, i.census10, 50), 0.4, 0.2)
+    return population.outlier_areas(population.detection(i.lp, i.census10, 50), 0.4, 0.2)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import month_key
-from ebbflow.operators import census, codebook, employment, ili, livepop, mobility, quality
+from ebbflow.operators import census, codebook, employment, ili, population, mobility, quality
 from ebbflow.plans.bindings import CAPITAL, Inputs
 from ebbflow.plans.catalog import query, rounded
 from ebbflow.session import shared_dir
@@ -162,7 +162,7 @@ def month_sink(i: Inputs) -> DataFrame:
 )
 def csv_sink(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark)
-    summary = livepop.detection_summary(livepop.detection(i.lp, i.census10, 50))
+    summary = population.detection_summary(population.detection(i.lp, i.census10, 50))
     sinks.write_csv(rounded(summary.select("age_10", "median", "n_areas"), "median"), path)
     return i.spark.read.schema("age_10 int, median double, n_areas bigint").csv(path, header=True)
 
@@ -256,7 +256,7 @@ def before_after(i: Inputs) -> DataFrame:
            sum(pop) AS pop_sum_after FROM lp GROUP BY ALL) USING (yyyymm)""",
 )
 def population_ledger(i: Inputs) -> DataFrame:
-    return livepop.month_ledger(i.lp_raw, i.lp, i.capital)
+    return population.month_ledger(i.lp_raw, i.lp, i.capital)
 
 
 @query("s16_month_spine", SPINE)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
-from ebbflow.operators import livepop, mobility
+from ebbflow.operators import population, mobility
 from ebbflow.sources import sinks
 
 
@@ -71,11 +71,11 @@ def ingest_population(
     feed: DataFrame, areas: DataFrame, output: str, checkpoint: str, age: str = "age_10"
 ) -> None:
     order = ["date", "hour", "admdong_cd", age]
-    _ingest(feed, lambda batch: livepop.sums(batch, areas, age), order, output, checkpoint)
+    _ingest(feed, lambda batch: population.sums(batch, areas, age), order, output, checkpoint)
 
 
 def read_population(
     spark: SparkSession, output: str, areas: DataFrame, age: str = "age_10"
 ) -> DataFrame:
     merged = _read(spark, output).groupBy("date", "hour", "admdong_cd", age).agg(F.sum("pop").alias("pop"))
-    return livepop.with_names(merged, areas, age)
+    return population.with_names(merged, areas, age)

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ebbflow import vocab
 from ebbflow.functions import columns as c
-from ebbflow.operators import census, livepop
+from ebbflow.operators import census, population
 
 
 def test_age_codes(spark):
@@ -43,15 +43,15 @@ def test_population_is_conserved(inputs):
 
 def test_unknown_age_form(inputs):
     with pytest.raises(ValueError):
-        livepop.refine(inputs.lp_raw, inputs.capital, "age_1")
+        population.refine(inputs.lp_raw, inputs.capital, "age_1")
 
 
 def test_day_night_and_gap(spark):
     data = [(20230102, 4, "A", 20, 20.0), (20230102, 13, "A", 20, 30.0), (20230103, 13, "A", 20, 50.0),
             (20230102, 4, "B", 20, 5.0), (20230102, 13, "B", 20, 9.0), (20230102, 9, "A", 0, 30.0), (20230107, 9, "A", 0, 20.0)]
     pop = spark.createDataFrame(data, "date int, hour int, admdong_cd string, age_10 int, pop double")
-    assert rows(livepop.day_night(pop)) == [("A", 20, 40.0, 20.0, 2.0)]
-    assert rows(livepop.weekday_weekend_gap(pop)) == [("A", 0, 30.0, 20.0, 10.0, 0.5)]
+    assert rows(population.day_night(pop)) == [("A", 20, 40.0, 20.0, 2.0)]
+    assert rows(population.weekday_weekend_gap(pop)) == [("A", 0, 30.0, 20.0, 10.0, 0.5)]
 
 
 def test_detection_uses_only_rows_present(spark):
@@ -59,8 +59,8 @@ def test_detection_uses_only_rows_present(spark):
         [(20230101, 3, "A", 20, 10.0), (20230101, 5, "A", 20, 30.0), (20230101, 6, "A", 20, 99.0), (20230101, 3, "B", 20, 1.0)],
         "date int, hour int, admdong_cd string, age_10 int, pop double")
     registered = spark.createDataFrame([("A", 20, 40), ("B", 20, 0)], "admdong_cd string, age_10 int, pop bigint")
-    assert rows(livepop.detection(pop, registered).select("admdong_cd", "detection_rate")) == [("A", 0.5)]
-    one = livepop.detection_summary(livepop.detection(pop, registered)).first()
+    assert rows(population.detection(pop, registered).select("admdong_cd", "detection_rate")) == [("A", 0.5)]
+    one = population.detection_summary(population.detection(pop, registered)).first()
     assert one["median"] == 0.5 and one["std"] is None and one.n_areas == 1
 
 

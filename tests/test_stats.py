@@ -126,3 +126,25 @@ def test_settled_input_gives_the_same(spark, skewed):
     df = make(spark, skewed).filter("g = 'cold'")
     plain = stats.exact_quantiles(df, [], "v", [0.5], max_groups=1).first()
     assert stats.exact_quantiles(df, [], "v", [0.5], max_groups=1, settle=True).first() == plain
+
+
+def test_narrow_range_is_cut_again(spark):
+    """All values share one bin, a third of the rows are one value."""
+    values = [1000.0 + k / 1e6 for k in range(2000)] + [1000.0005] * 1000
+    df = spark.createDataFrame([(v,) for v in values], "v double").repartition(4)
+    row = stats.exact_quantiles(df, [], "v", PROBS, max_groups=1).first()
+    for q in PROBS:
+        assert math.isclose(row[stats.quantile_name(q)], np.quantile(values, q), rel_tol=1e-12)
+
+
+def test_fractional_and_zero_weights(spark):
+    rng = np.random.default_rng(5)
+    data = [(float(v), round(float(w), 3)) for v, w in zip(rng.lognormal(3, 1, 500), rng.random(500))]
+    data = [(0.001, 0.0)] + data
+    df = spark.createDataFrame(data, "v double, w double").repartition(4)
+    row = stats.exact_quantiles(df, [], "v", PROBS, weight="w", method="weighted", max_groups=1).first()
+    data.sort()
+    v = np.array([a for a, _ in data])
+    units = np.cumsum([round(b * 1000) for _, b in data])
+    for q in PROBS:
+        assert row[stats.quantile_name(q)] == v[np.searchsorted(units, q * units[-1])], q
