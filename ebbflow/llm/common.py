@@ -2,13 +2,35 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable
+from weakref import WeakSet
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ebbflow.session import settled
 
-DOCUMENTS = ["doc_id", "text", "lang", "source", "n_chars"]
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+_shipped: WeakSet = WeakSet()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the Python workers, unless their PYTHONPATH has it."""
+    context = spark.sparkContext
+    if context in _shipped or ROOT in os.environ.get("PYTHONPATH", "").split(":"):
+        return
+    path = os.path.join(tempfile.mkdtemp(prefix="ebbflow-"), "ebbflow.zip")
+    with zipfile.ZipFile(path, "w") as out:
+        for folder, _, names in os.walk(os.path.join(ROOT, "ebbflow")):
+            for name in names:
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    out.write(full, os.path.relpath(full, ROOT))
+    context.addPyFile(path)
+    _shipped.add(context)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -3,11 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbflow.llm import packing, sharding, token_ids
-from ebbflow.llm.common import table
+from ebbflow.llm import (
+    decontaminate,
+    fuzzy_dedup,
+    language,
+    nearest,
+    packing,
+    secrets,
+    sharding,
+    substrings,
+    token_ids,
+    toxicity,
+)
+from ebbflow.llm.common import ship, table
 from ebbflow.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -16,7 +28,12 @@ ORACLE: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = fn
+        @wraps(fn)
+        def shipped(spark: SparkSession, folder: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, folder)
+
+        QUERIES[name] = shipped
         if sql is not None:
             ORACLE[name] = sql
         return fn
@@ -89,9 +106,77 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+@query("op3_decontamination")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
+
+
+@query("op4_golay_near_duplicates")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    found = fuzzy_dedup.near_duplicates(table(spark, folder, "documents"))
+    digits = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
+@query("op5_markov_secrets")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    found = secrets.find_secrets(docs, secrets.train(docs))
+
+    def count(kind: int):
+        return F.size(F.filter("secrets", lambda s: s["kind"] == kind)).cast("long")
+
+    base = F.filter("secrets", lambda s: s["kind"] < 3)
+    return found.select(
+        "doc_id",
+        count(0).alias("n_assign"),
+        count(1).alias("n_access"),
+        count(2).alias("n_hex"),
+        F.sha2(secrets.listed(base), 256).alias("base_sha256"),
+        secrets.listed(F.col("secrets")).alias("spans"),
+    )
+
+
 @query("op6_complement_packing")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     packed = packing.pack(table(spark, folder, "documents"), 1024, end_id=2)
     return packed.select(
         "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "sequence_id", "offset"
     )
+
+
+def fold(column: str, parts: int):
+    """crc32 of the id as text, modulo; the split that the contract fixes."""
+    return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(parts))
+
+
+@query("op7_language")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    network = language.train(docs.where(fold("doc_id", 3) != 1))
+    found = language.identify(docs.select("doc_id", "text"), network)
+    held_out = F.coalesce(fold("doc_id", 3) == 1, F.lit(False))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query("op8_repeated_passages")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    found = substrings.repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "start", "stop", "n_words", "kept_doc_id", "kept_words")
+
+
+@query("op9_nearest")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return nearest.nearest(table(spark, folder, "embeddings"), F.pmod(F.col("id"), F.lit(50)) == 0, k=5)
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", "toxic")
+    model = toxicity.train(docs.where(fold("doc_id", 4) != 2), labels.where(fold("doc_id", 4) != 2))
+    found = toxicity.score(docs, model)
+    held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
+    predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
+    return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))

@@ -21,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from ebbflow.joins import small
 from ebbflow.llm.tokens import default_tokenizer, memo
 
 MAGIC = b"S8B1"
 HEAD = struct.Struct("<4sIIQIQII")
 BLOCK = 256
-FRAME_IDS = 1 << 16
-FRAMES_PER_FILE = 256
+FRAME_IDS = 1 << 18
+FRAMES_PER_FILE = 64
 
 # Fixed values of Simple-8b: ids per word and bits per id, by selector. Selector 0 stands here
 # for an escape (one id, its place in the frame's list of escapes) and 1 for a run of zeros.
@@ -42,17 +43,24 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, blocks = len(ids), -(-len(ids) // BLOCK)
     padded = np.zeros(blocks * BLOCK + 128, dtype=np.uint64)
     padded[:n] = ids
-    # The widest packing that fits at each place; the few selectors no id of this frame can
-    # use are skipped. Places past a block's end count as zeros: the reader drops them.
+    # The packing of most ids that fits at each place. Where one fits, all of fewer and wider
+    # ids fit as well, so each selector only looks at the places where the one before did.
+    # Places past a block's end do not count: the reader drops what is there.
     size = len(padded) - 128
     choice = np.full(size, ESCAPE, dtype=np.int8)
-    in_block = np.arange(size) % BLOCK
+    live = np.arange(size)
+    left = BLOCK - live % BLOCK
+    top = int(ids.max()) if n else 0
     for selector in range(15, 0, -1):
         count, width = int(COUNTS[selector]), int(WIDTHS[selector])
-        wide = padded >= np.uint64(1 << width)
-        bad = np.concatenate([[0], np.cumsum(wide, dtype=np.int64)])
-        end = np.minimum(np.arange(size) + count, np.arange(size) - in_block + BLOCK)
-        choice[bad[end] == bad[:size]] = selector
+        if top >> width:
+            bad = np.zeros(size + 1, dtype=np.int32)
+            np.cumsum(padded[:size] >= np.uint64(1 << width), out=bad[1:])
+            end = live + np.minimum(count, left[live])
+            live = live[bad[end] == bad[live]]
+        choice[live] = selector
+        if not len(live):
+            break
     words, starts = _chain(padded, choice, blocks)
     escaped = words[1][words[0] == ESCAPE]
     return _pack(padded, *words), starts, padded[escaped]
@@ -87,10 +95,13 @@ def _pack(padded, selectors, places):
     for selector in range(2, 16):
         mine = np.flatnonzero(selectors == selector)
         count, width = int(COUNTS[selector]), int(WIDTHS[selector])
-        left = BLOCK - places[mine] % BLOCK
-        for k in range(count if len(mine) else 0):
-            value = np.where(k < left, padded[places[mine] + k], np.uint64(0))
-            words[mine] |= value << np.uint64(k * width)
+        if not len(mine):
+            continue
+        k = np.arange(count)
+        values = padded[places[mine, None] + k]
+        values[k >= (BLOCK - places[mine] % BLOCK)[:, None]] = 0
+        values <<= (k * width).astype(np.uint64)
+        words[mine] |= np.bitwise_or.reduce(values, axis=1)
     return words
 
 
@@ -104,10 +115,11 @@ def decode(words: np.ndarray, starts: np.ndarray, escapes: np.ndarray, n: int) -
     place = ends[:-1] - ends[starts[:-1].astype(np.int64)][owner] if blocks else ends[:-1]
     for selector in range(2, 16):
         mine = np.flatnonzero(selectors == selector)
-        width = int(WIDTHS[selector])
-        for k in range(int(COUNTS[selector]) if len(mine) else 0):
-            value = (words[mine] >> np.uint64(k * width)) & np.uint64((1 << width) - 1)
-            out[owner[mine], place[mine] + k] = value
+        if not len(mine):
+            continue
+        width, k = int(WIDTHS[selector]), np.arange(COUNTS[selector])
+        values = (words[mine, None] >> (k * width).astype(np.uint64)) & np.uint64((1 << width) - 1)
+        out[owner[mine, None], place[mine, None] + k] = values
     mine = np.flatnonzero(selectors == ESCAPE)
     out[owner[mine], place[mine]] = escapes[(words[mine] & np.uint64((1 << 60) - 1)).astype(np.int64)]
     return out[:, :BLOCK].reshape(-1)[:n]
@@ -208,7 +220,7 @@ def _payload(data: bytes) -> pa.RecordBatch:
 def read_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     """doc_id, start (ids of all documents before it), n_tokens, ids (little-endian u32 bytes).
 
-    A file (at most 256 frames of about 65,536 ids, unless one document is larger) is one row.
+    A file (at most 64 frames of about 262,144 ids, unless one document is larger) is one row.
     A first look at the frame heads gives each partition's count of ids.
     """
     files = (
@@ -248,7 +260,7 @@ def read_token_ids(spark: SparkSession, folder: str) -> DataFrame:
     rows = files.mapInArrow(
         documents, "partition long, doc_id long, _before long, n_tokens long, ids binary"
     )
-    return rows.join(first, "partition").select(
+    return rows.join(small(first), "partition").select(
         "doc_id", (F.col("_first") + F.col("_before")).alias("start"), "n_tokens", "ids"
     )
 

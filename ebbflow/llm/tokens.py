@@ -11,7 +11,7 @@ from __future__ import annotations
 import os
 from array import array
 
-WORDS = 1_000_000  # parts kept per Python worker, about 200 MB
+WORDS = 800_000  # parts kept per Python worker, about 160 MB
 GROUP = 256  # texts whose new words are coded in one call
 UNSAFE = b"?"  # no ids: their bytes come in fours
 
