@@ -258,3 +258,10 @@ def _leaks_of(docs, items, k, sizes, threshold, radius) -> DataFrame:
         "similarity",
         F.bit_count(differing).alias("distance"),
     )
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """`docs` without the documents that hold a benchmark passage, columns as they were."""
+    found = leaks(docs, benchmark).select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    return docs.join(found, same, "left_anti")

@@ -113,17 +113,18 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
-    """doc_id and its fingerprint as a long, in one pass over whole texts."""
+    """doc_id, text_key (XXH64 of the text) and fingerprint as longs, in one pass over whole texts."""
 
     def work(batches):
         for batch in batches:
             prints = np.array([fingerprint(t) for t in batch.column(1).to_pylist()], dtype=np.uint64)
             yield pa.record_batch(
-                [batch.column(0), pa.array(prints.view(np.int64))], names=["doc_id", "fingerprint"]
+                [batch.column(0), batch.column(2), pa.array(prints.view(np.int64))],
+                names=["doc_id", "text_key", "fingerprint"],
             )
 
-    narrow = docs.select(F.col("doc_id").cast("long"), "text")
-    return narrow.mapInArrow(work, "doc_id long, fingerprint long")
+    narrow = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text").alias("text_key"))
+    return narrow.mapInArrow(work, "doc_id long, text_key long, fingerprint long")
 
 
 def links(prints: DataFrame) -> DataFrame:
@@ -214,8 +215,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, fingerprint (long), component_id: one row for each document.
+    """doc_id, text_key, fingerprint (longs), component, component_id: one row for each document.
 
+    component is a number of the group, its least fingerprint.
     component_id is the least doc_id that can be reached over fingerprints at most two bits
     apart, the row's own included. A null, empty or blank text has fingerprint 0 and is linked
     like any other; repeated rows are kept and share a component; a null doc_id is linked but
@@ -229,5 +231,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         "fingerprint", "least", F.coalesce("component", "fingerprint").alias("component")
     )
     names = linked.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = linked.join(names, "component").select("fingerprint", "component_id")
-    return rows.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = linked.join(names, "component").select("fingerprint", "component", "component_id")
+    return rows.join(named, "fingerprint").select(
+        "doc_id", "text_key", "fingerprint", "component", "component_id"
+    )
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """`docs` with one row of each group of near duplicates: the one with the least doc_id (a
+    null comes last; of rows that share it, one text's), columns as they were."""
+    found = near_duplicates(docs)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
+    kept = found.groupBy("component").agg(first.alias("k")).select(
+        F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
+    )
+    keyed = docs.withColumn("_text", F.xxhash64("text"))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
+    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")

@@ -23,9 +23,10 @@ DIMENSIONS = 1 << 18
 POSITIVES = 2_000  # documents to fit on, about
 UNLABELLED = 6_000
 FIT_WORDS = 2_048  # words of a document to fit on: those with the least hashes
-STEPS = 150
+STEPS = 100
 LEAST_DOCUMENTS = 3  # positives that must have a feature
-DECAY = 1e-4
+DECAY = 5e-4
+RIDGE = 5e-2  # of the calibration
 WORDS = 500_000  # words whose weight a Python worker remembers
 THRESHOLD = 0.3
 WORD = re.compile(r"[^\W\d_]+")
@@ -91,7 +92,9 @@ class Model:
             move = 0.1 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.999**step)) + 1e-8)
             weights -= move[:-1]
             bias -= move[-1]
-        self.weights[used[used < DIMENSIONS]] = weights[used < DIMENSIONS]
+        score = scale * np.bincount(owner, weights[slot].sum(axis=1), minlength=len(words))
+        slope, bias = _calibrate(score, bias, positive, prior)
+        self.weights[used[used < DIMENSIONS]] = slope * weights[used < DIMENSIONS]
         self.bias = float(bias)
 
     def score(self, text: str | None, memo: dict[str, float]) -> float:
@@ -111,11 +114,26 @@ class Model:
         return float(1 / (1 + np.exp(-np.clip(total, -500, 500))))
 
 
+def _calibrate(score: np.ndarray, bias: float, positive: np.ndarray, prior: float, steps: int = 50):
+    """Slope and intercept that undo the shrinking by the decay: Newton steps on the corrected
+    risk, which is convex in them for the logistic loss (its two sides differ by the score)."""
+    x = np.stack([score, np.ones_like(score)], axis=1)
+    pull, unlabelled = prior * x[positive].mean(axis=0), x[~positive]
+    best = np.array([1.0, bias])
+    for _ in range(steps):
+        up = 1 / (1 + np.exp(-np.clip(unlabelled @ best, -30, 30)))
+        grad = unlabelled.T @ up / len(up) - pull + RIDGE * (best - [1.0, bias])
+        curve = (unlabelled * (up * (1 - up))[:, None]).T @ unlabelled / len(up) + RIDGE * np.eye(2)
+        move = np.linalg.solve(curve, grad)
+        best = best - move / max(1.0, np.abs(move).max() / 2)
+    return (best[0], best[1]) if best[0] > 0 else (1.0, bias)
+
+
 def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabelled: int = UNLABELLED) -> Model:
     """A model from documents (doc_id, text) and the confirmed labels (doc_id, toxic) given.
 
     The class prior is the share of toxic ones among the labels. About `positives` toxic
-    documents and `unlabelled` other ones, by the hash of doc_id, are brought to the driver,
+    documents and `unlabelled` ones of all, by the hash of doc_id, are brought to the driver,
     as hashed words, at most FIT_WORDS of each. Without a toxic label every score is the prior.
     """
     marks = labels.where(F.col("toxic").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
@@ -141,8 +159,11 @@ def train(docs: DataFrame, labels: DataFrame, positives: int = POSITIVES, unlabe
                 names=["doc_id", "toxic", "words"],
             )
 
-    sample = docs.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.lit(1).alias("toxic")).union(
-        few.join(F.broadcast(chosen), "doc_id", "left_anti").select("doc_id", "text", F.lit(0).alias("toxic"))
+    # The unlabelled sample is of all text, confirmed or not: its share of toxic ones is the prior.
+    sample = (
+        docs.join(F.broadcast(chosen), "doc_id")
+        .select("doc_id", "text", F.lit(1).alias("toxic"))
+        .union(few.select("doc_id", "text", F.lit(0).alias("toxic")))
     )
     rows = sample.mapInArrow(hashed_words, "doc_id long, toxic int, words array<int>").toArrow()
     rows = rows.sort_by([("toxic", "descending"), ("doc_id", "ascending")])
