@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, functions as F
 
 from ebbflow import vocab
@@ -76,13 +78,15 @@ def static_flows(areas: DataFrame, age_starts: tuple[int, ...] = (0, 5, 70)) ->
     )
 
 
-def align_weeks(ili_long: DataFrame, claims_weekly: DataFrame) -> DataFrame:
-    """Surveillance rate and claims of the same ISO week.
+def align_weeks(
+    ili_long: DataFrame, claims_weekly: DataFrame, extra: Sequence[str] = ()
+) -> DataFrame:
+    """Surveillance rate and claims of the same ISO week; `extra` columns of the former are kept.
 
     The two season numberings differ in 53-week years, so only ISO keys are joined.
     """
     rates = ili_long.filter("is_valid_week").select(
-        F.col("calendar_year").alias("iso_year"), "iso_week", "season", "ili_rate"
+        F.col("calendar_year").alias("iso_year"), "iso_week", "season", "ili_rate", *extra
     )
     episodes = claims_weekly.groupBy("iso_year", "iso_week").agg(F.sum("episodes").alias("episodes"))
     return rates.join(episodes, ["iso_year", "iso_week"])

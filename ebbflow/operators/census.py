@@ -110,13 +110,16 @@ def to_15_groups(long: DataFrame, provinces: list[str] | None = None) -> DataFra
 
 
 def scaffold_15(long: DataFrame) -> DataFrame:
-    """Every area with every one of the 15 groups, by left join onto the grouped sums."""
-    grouped = long.groupBy(*AREA_KEYS, age_idx15(F.col("age_5_start")).alias("age_idx")).agg(
+    """Every area with every one of the 15 groups, by left join onto the grouped sums.
+
+    The code alone joins; the names, which may be null, come from the frame.
+    """
+    grouped = long.groupBy("admdong_cd", age_idx15(F.col("age_5_start")).alias("age_idx")).agg(
         F.sum("pop_5").alias("pop")
     )
     groups = F.explode(F.array(*[F.lit(i) for i in range(15)])).alias("age_idx")
     frame = long.select(*AREA_KEYS).distinct().select(*AREA_KEYS, groups)
-    return frame.join(grouped, AREA_KEYS + ["age_idx"], "left").select(
+    return frame.join(grouped, ["admdong_cd", "age_idx"], "left").select(
         *AREA_KEYS, "age_idx", F.coalesce("pop", F.lit(0)).cast("long").alias("pop")
     )
 

@@ -105,7 +105,9 @@ def daily_series(long: DataFrame, days: DataFrame) -> DataFrame:
     """Matrix of every calendar day: the few day-type matrices met by the day's type."""
     ages = len(vocab.AGE_LABELS_15)
     inside = F.col("contact_idx").between(0, ages - 1) & F.col("participant_idx").between(0, ages - 1)
-    per_type = long.filter(inside).groupBy("contact_idx", "participant_idx").agg(
+    outside = long.filter(~F.coalesce(inside, F.lit(False)))
+    known = fail_if_any(long, outside, f"age indexes outside 0..{ages - 1}")
+    per_type = known.groupBy("contact_idx", "participant_idx").agg(
         *[
             F.sum(_weight(F.col("setting"), vocab.SETTING_WEIGHTS[d]) * F.col("value")).alias(d)
             for d in vocab.DAYTYPES

@@ -116,12 +116,26 @@ def bridge(spark: SparkSession, weighted: bool = True) -> DataFrame:
 
 
 def to_15_ages(long: DataFrame, bridge_table: DataFrame) -> DataFrame:
-    """Weekly rate of each of the 15 ages: weighted sum over the groups that cover it."""
+    """Weekly rate of each of the 15 ages: weighted sum over the groups that cover it.
+
+    Null where a covering group has no row or no rate that week: a gap is not a zero.
+    """
+    covering = bridge_table.groupBy("age_idx").agg(F.count("*").alias("_groups"))
     return (
         long.filter("is_valid_week")
         .join(bridge_table, "age_group")
         .groupBy("season", "week_in_season", "age_idx")
-        .agg(F.sum(F.col("weight") * F.col("ili_rate")).alias("rate"))
+        .agg(
+            F.sum(F.col("weight") * F.col("ili_rate")).alias("_rate"),
+            F.count("ili_rate").alias("_known"),
+        )
+        .join(F.broadcast(covering), "age_idx")  # 15 rows
+        .select(
+            "season",
+            "week_in_season",
+            "age_idx",
+            F.when(F.col("_known") >= F.col("_groups"), F.col("_rate")).alias("rate"),
+        )
     )
 
 

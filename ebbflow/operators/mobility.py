@@ -42,10 +42,16 @@ def place_trips(raw: DataFrame, cells: DataFrame) -> DataFrame:
             F.col("TOTAL").alias("total"),
             F.col("AVG_DIST").alias("avg_dist"),
             F.col("AVG_TIME").alias("avg_time"),
+            *_feed_month(raw),
         )
     )
 
 
+def _feed_month(df: DataFrame) -> list[str]:
+    """The month of the feed a row came in, where the table has it."""
+    return ["yyyymm"] if "yyyymm" in df.columns else []
+
+
 def outside_report(raw: DataFrame, cells: DataFrame) -> DataFrame:
     """Raw trips whose origin or destination is not among the cells, in one scan."""
     known = small(cells, ["cell_id"]).withColumn("_in", F.lit(True))
@@ -65,6 +71,7 @@ def refine(
 
     One scan, two look-ups, one shuffle on the group key behind a map-side combine.
     With `areas`, names are attached to the aggregated rows; they never enter the key.
+    A column `yyyymm`, the month of the feed, is kept and keeps feeds apart.
     """
     partial = refine_partials(raw, cells, keep_purpose)
     means = finish_partials(partial, combined=True)
@@ -73,7 +80,7 @@ def refine(
 
 def refine_partials(raw: DataFrame, cells: DataFrame, keep_purpose: bool = False) -> DataFrame:
     """The additive part of `refine`: sums that can be merged again later."""
-    keys = partial_keys(keep_purpose)
+    keys = partial_keys(keep_purpose) + _feed_month(raw)
     trips = place_trips(raw, cells)
     return trips.groupBy(*keys).agg(
         F.sum("total").alias("total"),
@@ -89,7 +96,7 @@ def partial_keys(keep_purpose: bool = False) -> list[str]:
 
 def finish_partials(partial: DataFrame, combined: bool = False) -> DataFrame:
     """Turn sums into means, merging the sums of several batches first unless `combined`."""
-    keys = partial_keys("purpose" in partial.columns)
+    keys = partial_keys("purpose" in partial.columns) + _feed_month(partial) * combined
     if not combined:
         partial = partial.groupBy(*keys).agg(
             *[F.sum(c).alias(c) for c in ("total", "dist_total", "time_total")]
@@ -111,7 +118,7 @@ def with_names(od: DataFrame, areas: DataFrame) -> DataFrame:
     extra = ["purpose"] if "purpose" in od.columns else []
     return named.select(
         "date", "hour", "o_admdong_cd", "o_admdong_nm", "d_admdong_cd", "d_admdong_nm",
-        "age_10", *extra, "total", "avg_dist", "avg_time",
+        "age_10", *extra, "total", "avg_dist", "avg_time", *_feed_month(od),
     )
 
 

@@ -59,13 +59,12 @@ def totals_with_population(i: Inputs) -> DataFrame:
 @query(
     "j06_inflow_outflow",
     """SELECT admdong_cd, coalesce(inflow, 0) AS inflow, coalesce(outflow, 0) AS outflow FROM
-       (SELECT d_admdong_cd AS admdong_cd, sum(total) AS inflow FROM od WHERE o_admdong_cd <> d_admdong_cd AND purpose_like GROUP BY ALL)
-       FULL JOIN (SELECT o_admdong_cd AS admdong_cd, sum(total) AS outflow FROM od WHERE o_admdong_cd <> d_admdong_cd AND purpose_like GROUP BY ALL)
-       USING (admdong_cd)""".replace("purpose_like", "(hour < 12 OR o_admdong_cd > '02')"),
+       (SELECT d_admdong_cd AS admdong_cd, sum(total) AS inflow FROM od WHERE o_admdong_cd <> d_admdong_cd GROUP BY ALL)
+       FULL JOIN (SELECT o_admdong_cd AS admdong_cd, sum(total) AS outflow FROM od WHERE o_admdong_cd <> d_admdong_cd GROUP BY ALL)
+       USING (admdong_cd)""",
 )
 def inflow_outflow(i: Inputs) -> DataFrame:
-    some = i.od.filter((F.col("hour") < 12) | (F.col("o_admdong_cd") > "02"))
-    return mobility.inflow_outflow_join(some)
+    return mobility.inflow_outflow_join(i.od)
 
 
 @query(

@@ -271,10 +271,10 @@ def head_sample(i: Inputs) -> DataFrame:
     return i.table("customer").select("c_custkey", "c_name").orderBy("c_custkey").limit(10)
 
 
-@query("u01_concat", "SELECT admdong_cd, pop_5 FROM census5 WHERE sido_nm = 'ASIA' UNION ALL SELECT admdong_cd, pop_5 FROM census5")
+@query("u01_concat", "SELECT admdong_cd, pop_5 AS pop FROM census5 UNION ALL SELECT admdong_cd, pop FROM census10")
 def concat(i: Inputs) -> DataFrame:
-    rows = i.census5.select("admdong_cd", "pop_5", "sido_nm")
-    return rows.filter(F.col("sido_nm") == "ASIA").unionByName(rows).select("admdong_cd", "pop_5")
+    five = i.census5.select("admdong_cd", F.col("pop_5").alias("pop"))
+    return five.unionByName(i.census10.select("admdong_cd", "pop"))
 
 
 @query("u02_distinct", "SELECT DISTINCT date, age_10 FROM od")

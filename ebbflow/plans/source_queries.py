@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from ebbflow import vocab
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import month_key
 from ebbflow.operators import census, codebook, employment, ili, population, mobility, quality
 from ebbflow.plans.bindings import CAPITAL, Inputs
 from ebbflow.plans.catalog import query, rounded
+from ebbflow.plans.population_queries import REGIONS
 from ebbflow.session import shared_dir
 from ebbflow.sources import ingest, readers, sinks
 from ebbflow.streaming import ingest as stream
@@ -84,14 +86,20 @@ def employment_csv(i: Inputs) -> DataFrame:
 @query(
     "s05_ili_csv",
     """SELECT season, season_start_year, week_in_season, iso_week, calendar_year, is_valid_week, ili_rate
-       FROM ili WHERE age_group = '1-6'""",
+       , age_group FROM ili""",
 )
 def ili_csv(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark)
     readers.korean_charsets(i.spark)
-    wide = i.ili_wide.filter(F.col("age_group") == "1-6").drop("age_group")
-    wide.write.options(encoding=readers.KOREAN).csv(path)
-    return ili.to_long(readers.ili_csv(i.spark, path))
+    slots = [c for c in i.ili_wide.columns if c not in ("age_group", "season")]
+    files = []
+    for group in vocab.ILI_AGE_GROUPS:  # a fixed list of seven, a file each
+        files.append(f"{path}/{group}")
+        mine = i.ili_wide.filter(F.col("age_group") == group).select("season", *slots)
+        mine.write.options(encoding=readers.KOREAN).csv(files[-1])
+    group_of = F.element_at(F.split(F.url_decode(F.input_file_name()), "/"), -2)
+    read = readers.ili_csv(i.spark, files).withColumn("age_group", group_of)
+    return ili.to_long(read, ("age_group",))
 
 
 @query("s06_claims_normalised", "SELECT * FROM claims")
@@ -130,11 +138,11 @@ def glob_scan(i: Inputs) -> DataFrame:
     return year.groupBy("yyyymm").agg(F.count("*").alias("n"), F.sum("total").alias("total"))
 
 
-@query("s09_union_files", "SELECT admdong_cd, sido_nm, age_5_start, pop_5 FROM census5 WHERE sido_nm IN ('ASIA', 'AFRICA')")
+@query("s09_union_files", "SELECT admdong_cd, sido_nm, age_5_start, pop_5 FROM census5")
 def union_files(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark)
     i.census5.write.partitionBy("sido_nm").parquet(path)
-    paths = [f"{path}/sido_nm={p}" for p in ("ASIA", "AFRICA")]
+    paths = [f"{path}/sido_nm={p}" for p in REGIONS]
     df = i.spark.read.option("basePath", path).parquet(*paths)
     return df.select("admdong_cd", "sido_nm", "age_5_start", "pop_5")
 
@@ -198,18 +206,30 @@ def pending_months(i: Inputs) -> DataFrame:
     return ingest.plan(_spine(i), months.filter(number % 3 == 0), months.filter(number % 5 != 0))
 
 
+FEED = """strftime(strptime({0}::VARCHAR, '%Y%m%d') - CASE WHEN {0} % 100 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y%m')"""
+
+
 @query(
     "s13_ingest_run",
-    f"""SELECT s.yyyymm, CASE WHEN s.yyyymm::INTEGER % 3 = 0 THEN 'SKIPPED' ELSE 'OK' END AS status,
-          CASE WHEN s.yyyymm::INTEGER % 3 <> 0 THEN m.n_rows END AS output_rows,
-          CASE WHEN s.yyyymm::INTEGER % 3 <> 0 THEN m.total END AS total_sum
-        FROM ({SPINE}) s LEFT JOIN months m ON s.yyyymm = m.yyyymm""",
+    f"""SELECT s.yyyymm,
+          CASE WHEN s.yyyymm::INTEGER % 3 = 0 THEN 'SKIPPED' WHEN f.yyyymm IS NULL THEN 'MISSING_INPUT' ELSE 'OK' END AS status,
+          CASE WHEN s.yyyymm::INTEGER % 3 <> 0 AND f.yyyymm IS NOT NULL THEN coalesce(m.n_rows, 0) END AS output_rows,
+          CASE WHEN s.yyyymm::INTEGER % 3 <> 0 AND f.yyyymm IS NOT NULL THEN m.total END AS total_sum,
+          CASE WHEN s.yyyymm::INTEGER % 3 <> 0 AND f.yyyymm IS NOT NULL THEN coalesce(m.stray, 0) END AS stray_rows
+        FROM ({SPINE}) s
+        LEFT JOIN (SELECT DISTINCT {FEED.format("ETL_YMD")} AS yyyymm FROM od_raw) f ON s.yyyymm = f.yyyymm
+        LEFT JOIN (SELECT {FEED.format("date")} AS yyyymm, count(*) AS n_rows, sum(total) AS total,
+                     count(*) FILTER (date % 100 = 1) AS stray FROM od GROUP BY ALL) m ON s.yyyymm = m.yyyymm""",
 )
 def ingest_run(i: Inputs) -> DataFrame:
-    """The feed lands as month folders; a run takes the months the output lacks."""
+    """The feed lands as month folders; a run takes the months the output lacks. What is dated
+    the first of a month comes in the feed of the month before."""
     path = shared_dir(i.spark)
     landing = f"{path}/landing"
-    sinks.write_months(i.od_raw.withColumn("date", F.col("ETL_YMD")), landing, ["ETL_YMD", "TIME_CD"])
+    day = F.to_date(F.col("ETL_YMD").cast("string"), "yyyyMMdd")
+    feed_day = F.when(F.dayofmonth(day) == 1, F.date_sub(day, 1)).otherwise(day)
+    fed = i.od_raw.withColumn("yyyymm", F.date_format(feed_day, "yyyyMM"))
+    sinks.write_months(fed, landing, ["ETL_YMD", "TIME_CD"])
     spine = _spine(i)
     done = spine.filter(F.col("yyyymm").cast("int") % 3 == 0)
 
@@ -222,7 +242,7 @@ def ingest_run(i: Inputs) -> DataFrame:
         readers.files(i.spark, landing, "*.parquet"),
         f"{path}/movement", f"{path}/ledger", "total", MOVEMENT_ORDER,
     )
-    return result.drop("error")
+    return result.drop("error", "output_bytes", "elapsed_sec")
 
 
 @query(

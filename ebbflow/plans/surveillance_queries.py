@@ -152,8 +152,9 @@ def missing_weeks(i: Inputs) -> DataFrame:
 
 @query(
     "a24_age_bridge",
-    """SELECT season, week_in_season, age_idx, round(sum(weight * ili_rate), 6) AS rate FROM ili JOIN bridge USING (age_group)
-       WHERE is_valid_week GROUP BY ALL""",
+    """SELECT season, week_in_season, age_idx, CASE WHEN count(ili_rate) = any_value(n_groups) THEN round(sum(weight * ili_rate), 6) END AS rate
+       FROM ili JOIN bridge USING (age_group) JOIN (SELECT age_idx, count(*) AS n_groups FROM bridge GROUP BY ALL) USING (age_idx)
+       WHERE is_valid_week GROUP BY season, week_in_season, age_idx""",
 )
 def age_bridge(i: Inputs) -> DataFrame:
     return rounded(ili.to_15_ages(i.ili, ili.bridge(i.spark)), "rate")
@@ -161,7 +162,7 @@ def age_bridge(i: Inputs) -> DataFrame:
 
 @query(
     "a24_age_bridge_unweighted",
-    """SELECT season, week_in_season, age_idx, sum(ili_rate) AS rate FROM ili JOIN ("""
+    """SELECT season, week_in_season, age_idx, CASE WHEN count(ili_rate) = 1 THEN sum(ili_rate) END AS rate FROM ili JOIN ("""
     + " UNION ALL ".join(f"SELECT '{g}' AS age_group, unnest({m}) AS age_idx" for g, m in vocab.ILI_BRIDGE_UNWEIGHTED.items())
     + ") USING (age_group) WHERE is_valid_week GROUP BY ALL",
 )
@@ -184,19 +185,18 @@ def bridge_coverage(i: Inputs) -> DataFrame:
 @query(
     "x04_daily_contacts",
     """SELECT date, daytype, contact_idx, participant_idx, round(v, 6) AS value FROM cal JOIN (
-         SELECT daytype, contact_idx, participant_idx, sum(w * value) AS v FROM contacts JOIN lambdas USING (setting) GROUP BY ALL) USING (daytype)
-       WHERE date // 10000 = 2019""",
+         SELECT daytype, contact_idx, participant_idx, sum(w * value) AS v FROM contacts JOIN lambdas USING (setting) GROUP BY ALL) USING (daytype)""",
 )
 def daily_contacts(i: Inputs) -> DataFrame:
-    year = calendar.calendar_table(i.cal_span, "s", "e").filter(F.col("date").between(20190101, 20191231))
-    return rounded(contact.daily_series(i.contacts, year), "value")
+    days = calendar.calendar_table(i.cal_span, "s", "e")
+    return rounded(contact.daily_series(i.contacts, days), "value")
 
 
 @query(
     "x06_align_weeks",
-    """SELECT i.calendar_year AS iso_year, i.iso_week, i.season, i.ili_rate, w.episodes FROM ili i
+    """SELECT i.calendar_year AS iso_year, i.iso_week, i.season, i.ili_rate, w.episodes, i.age_group FROM ili i
        JOIN (SELECT iso_year, iso_week, sum(episodes)::BIGINT AS episodes FROM weekly GROUP BY ALL) w
-         ON i.calendar_year = w.iso_year AND i.iso_week = w.iso_week WHERE i.is_valid_week AND i.age_group = '65+'""",
+         ON i.calendar_year = w.iso_year AND i.iso_week = w.iso_week WHERE i.is_valid_week""",
 )
 def align_weeks(i: Inputs) -> DataFrame:
-    return blending.align_weeks(ili.for_age(i.ili, "65+"), claims.weekly(i.claims))
+    return blending.align_weeks(i.ili, claims.weekly(i.claims), extra=["age_group"])

@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ebbflow.operators import series
-from ebbflow.sources import sinks
+from ebbflow.contracts import require_columns
+from ebbflow.functions.columns import month_key
+from ebbflow.session import settled
+from ebbflow.sources import readers, sinks
 
 LEDGER_SCHEMA = (
-    "yyyymm string, status string, output_rows bigint, total_sum double, error string"
+    "yyyymm string, status string, output_rows bigint, total_sum double, stray_rows bigint, "
+    "output_bytes bigint, elapsed_sec double, error string"
 )
 
 
@@ -53,39 +57,80 @@ def run(
     """Ingest the pending months and append to the ledger; returns this run's rows.
 
     `available` lists the months there is input for (see `readers.files`: a folder listing,
-    not a read) and `load` reads the given months only. Just the month list, one short text
-    per month, comes to the driver. The pending months are one job. If that job fails, each
-    month is tried alone, so that a bad month is recorded as FAILED and the others are kept.
+    not a read). `load` reads the feeds of the given months and says in a column `yyyymm` which
+    feed a row came in; `refine` keeps it. Output is written by that month, so a row dated in
+    another month cannot replace that month; the ledger counts it in `stray_rows`. Each month
+    gets one row, also one without any output. Just the month list, one short text per month,
+    comes to the driver. The pending months are one job, whose seconds each of them reports. If
+    that job fails, each month is tried alone, so that a bad month is recorded as FAILED, with
+    the whole error, and the others are kept.
     """
     status = plan(expected, done, available).collect()
     todo = sorted(r.yyyymm for r in status if r.status == "PENDING")
-    rows = [(r.yyyymm, r.status, None, None, None) for r in status if r.status != "PENDING"]
+    none = (None,) * 6
+    rows = [(r.yyyymm, r.status, *none) for r in status if r.status != "PENDING"]
+    schemas: list[T.StructType] = []
 
-    def write(months: list[str]) -> None:
-        sinks.write_months(refine(load(months)), output, order)
+    def write(months: list[str]) -> float:
+        start = time.monotonic()
+        feed = load(months)
+        require_columns(feed, ["yyyymm"], "feed")
+        made = refine(feed.withColumn("yyyymm", F.col("yyyymm").cast("string")))
+        require_columns(made, ["yyyymm", "date", value], "refined feed")
+        sinks.write_months(made, output, order)
+        schemas.append(made.schema)
+        return time.monotonic() - start
 
-    failed: dict[str, str] = {}
+    seconds: dict[str, float] = {}
     if todo:
         try:
-            write(todo)
+            took = write(todo)
+            seconds = dict.fromkeys(todo, took)
         except Exception:  # noqa: BLE001 - the cause is found month by month
             for month in todo:
                 try:
-                    write([month])
+                    seconds[month] = write([month])
                 except Exception as error:  # noqa: BLE001
-                    failed[month] = f"{type(error).__name__}: {str(error)[:500]}"
-    rows += [(m, "FAILED", None, None, e) for m, e in failed.items()]
-    written = [m for m in todo if m not in failed]
+                    rows.append((month, "FAILED", *none[:-1], f"{type(error).__name__}: {error}"))
     result = spark.createDataFrame(rows, LEDGER_SCHEMA)
-    if written:
-        made = spark.read.parquet(output).filter(F.col("yyyymm").cast("string").isin(written))
-        ok = series.monthly_totals(made, value).select(
+    if seconds:
+        result = result.unionByName(_written(spark, output, schemas[-1], seconds, value))
+    result = settled(result)
+    result.write.mode("append").parquet(ledger)
+    return result
+
+
+def _written(
+    spark: SparkSession, output: str, schema: T.StructType, seconds: dict[str, float], value: str
+) -> DataFrame:
+    """A ledger row for each month of this run, read from what was written."""
+    months = spark.createDataFrame(sorted(seconds.items()), "yyyymm string, elapsed_sec double")
+    rows = spark.read.schema(schema).parquet(output)
+    counts = (
+        rows.groupBy("yyyymm")
+        .agg(
+            F.count("*").alias("output_rows"),
+            F.sum(value).cast("double").alias("total_sum"),
+            F.count_if(month_key(F.col("date")) != F.col("yyyymm")).alias("stray_rows"),
+        )
+        .join(months.select("yyyymm"), "yyyymm", "left_semi")
+    )
+
+    def none_is_zero(name: str):
+        return F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
+
+    sizes = readers.files(spark, output, "*.parquet").groupBy("yyyymm").agg(F.sum("bytes").alias("output_bytes"))
+    return (
+        months.join(counts, "yyyymm", "left")
+        .join(sizes, "yyyymm", "left")
+        .select(
             "yyyymm",
             F.lit("OK").alias("status"),
-            F.col("n_rows").alias("output_rows"),
-            F.col("total").alias("total_sum"),
+            none_is_zero("output_rows"),
+            "total_sum",
+            none_is_zero("stray_rows"),
+            none_is_zero("output_bytes"),
+            "elapsed_sec",
             F.lit(None).cast("string").alias("error"),
         )
-        result = result.unionByName(ok)
-    result.write.mode("append").parquet(ledger)
-    return result
+    )

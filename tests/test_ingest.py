@@ -16,11 +16,42 @@ def months(spark, *names):
     return spark.createDataFrame([(m,) for m in names], "yyyymm string")
 
 
+def fed(raw):  # noqa: F811
+    return raw.withColumn("yyyymm", month_key(F.col("ETL_YMD")))
+
+
+def test_a_stray_row_cannot_replace_its_month(spark, raw, cells):  # noqa: F811
+    path = shared_dir(spark)
+    refine = lambda df: mobility.refine(df, cells)
+    january, two = months(spark, "202301"), months(spark, "202301", "202302")
+    late = raw.limit(1).withColumns({"ETL_YMD": F.lit(20230131), "yyyymm": F.lit("202302")})
+    feed = fed(raw).unionByName(late)
+    load = lambda ms: feed.filter(F.col("yyyymm").isin(ms))
+    args = (f"{path}/out", f"{path}/ledger", "total", ORDER)
+    ingest.run(spark, load, refine, january, two.limit(0), two, *args)
+    before = rows(spark.read.parquet(args[0]).drop("yyyymm"))
+    got = ingest.run(spark, load, refine, two, january, two, *args)
+    by_month = {r.yyyymm: (r.status, r.output_rows, r.stray_rows) for r in got.collect()}
+    assert by_month == {"202301": ("SKIPPED", None, None), "202302": ("OK", 1, 1)}
+    assert rows(spark.read.parquet(args[0]).filter("yyyymm = 202301").drop("yyyymm")) == before
+
+
+def test_months_without_output_have_a_ledger_row(spark, raw, cells):  # noqa: F811
+    path = shared_dir(spark)
+    two = months(spark, "202301", "202302")
+    out = ingest.run(
+        spark, lambda ms: fed(raw).filter(F.col("yyyymm").isin(ms)), lambda df: mobility.refine(df, cells.limit(0)),
+        two, two.limit(0), two, f"{path}/out", f"{path}/ledger", "total", ORDER)
+    assert {(r.yyyymm, r.status, r.output_rows, r.total_sum, r.output_bytes) for r in out.collect()} == {
+        ("202301", "OK", 0, None, 0), ("202302", "OK", 0, None, 0)}
+    assert out.filter("elapsed_sec > 0").count() == 2
+
+
 def test_run_is_idempotent_and_keeps_a_ledger(spark, raw, cells):  # noqa: F811
     path = shared_dir(spark)
     refine = lambda df: mobility.refine(df, cells)
     expected = months(spark, "202301", "202302")
-    load = lambda ms: raw.filter(month_key(F.col("ETL_YMD")).isin(ms))
+    load = lambda ms: fed(raw).filter(F.col("yyyymm").isin(ms))
     args = (f"{path}/out", f"{path}/ledger", "total", ORDER)
     have = months(spark, "202301")
     first = ingest.run(spark, load, refine, expected, expected.limit(0), have, *args)
@@ -38,7 +69,7 @@ def test_a_bad_month_fails_alone(spark, raw, cells):  # noqa: F811
     both = raw.unionByName(bad)
     two = months(spark, "202301", "202302")
     out = ingest.run(
-        spark, lambda ms: both.filter(month_key(F.col("ETL_YMD")).isin(ms)), lambda df: mobility.refine(df, cells),
+        spark, lambda ms: fed(both).filter(F.col("yyyymm").isin(ms)), lambda df: mobility.refine(df, cells),
         two, two.limit(0), two, f"{path}/out", f"{path}/ledger", "total", ORDER)
     got = {r.yyyymm: r for r in out.collect()}
     assert got["202301"].status == "OK" and got["202301"].output_rows == 4

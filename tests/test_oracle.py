@@ -15,11 +15,13 @@ SAMPLE = """a01_od_month a02_od_month_purpose a09_flow_marginals a10_dense_slice
 a34_log_histogram a38_detection_summary a50_band_consistency a54_distance_quantiles_by_age j11_code_reconciliation
 k06_daytype_counts p17_iso_week s13_ingest_run t03_top_pairs_by_hour v02_null_counts x01_split_decades
 x05_points_in_zones z01_stream_ingest""".split()
-NAMES = sorted(entry.queries()) if os.environ.get("EBBFLOW_ALL_ORACLES") else SAMPLE
+NAMES = sorted(entry.oracle_sql()) if os.environ.get("EBBFLOW_ALL_ORACLES") else SAMPLE
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry.oracle_sql()) == set(entry.queries())
+    """Of the operators outside the optional package; what that leaves out SQL cannot express."""
+    assert set(entry.catalog.ORACLE) == set(entry.catalog.QUERIES)
+    assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
 def test_entry_is_the_flagship(spark):
