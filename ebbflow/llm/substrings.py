@@ -156,7 +156,8 @@ def without_repeats(docs: DataFrame, spans: DataFrame) -> DataFrame:
     Documents without a span are as they were. The join is on doc_id; a document is its own
     group, so no group is larger than its text.
     """
-    own = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(F.struct(F.col("start").cast("int"), F.col("stop").cast("int")))).alias("_spans"))
+    span = F.struct(F.col("start").cast("int").alias("start"), F.col("stop").cast("int").alias("stop"))
+    own = spans.groupBy("doc_id").agg(F.array_sort(F.collect_set(span)).alias("_spans"))
     cut = redacted(F.col("text"), F.col("_spans"), "")
     return docs.join(own, "doc_id", "left").withColumn(
         "text", F.when(F.col("_spans").isNull(), F.col("text")).otherwise(cut)
