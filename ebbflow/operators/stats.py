@@ -23,7 +23,7 @@ from ebbflow.session import settled
 
 # Bins per e-fold of the value: 0.1 % wide.
 BINS_PER_EFOLD = 1000
-WEIGHT_TYPE = "decimal(20,6)"
+WEIGHT_TYPE = "decimal(38,18)"
 # Even slices a located bin is cut into.
 SLICES = 4096
 # A candidate table is hinted for broadcast only when its proven row bound is below this.
@@ -62,20 +62,21 @@ def exact_quantiles(
     weight: str | None = None,
     method: str = "linear",
     max_groups: int | None = None,
-    settle: bool = False,
+    settle: bool = True,
 ) -> DataFrame:
     """Exact quantiles per group: one row per group, columns p25, p50, ...
 
     method: 'linear' (interpolated), 'nearest' (value at rank round((n-1)q)) or
     'weighted' (smallest value whose running weight reaches q of the total; needs `weight`,
-    which is taken to six decimals).
+    which is taken to 18 decimals, below 1e20).
     Also returns n (rows or total weight), min, max and mean (weighted by `weight`).
     `max_groups` is the caller's bound on the number of groups; with it the located
     bins have a known size and may be broadcast, without it the planner joins them.
 
     The input is read twice and must give the same values both times, as a stored table
-    does. Where values are sums of fractions, whose last bits depend on the order of
-    addition, `settle` writes the few columns to the shared folder first.
+    does. The last bits of sums of fractions depend on the order of addition; so the few columns
+    are first written to the shared folder, unless the caller says the input is stored
+    (`settle=False`).
     """
     if method not in ("linear", "nearest", "weighted"):
         raise ValueError(f"method must be linear/nearest/weighted, got {method!r}")

@@ -121,12 +121,17 @@ def split_address(i: Inputs) -> DataFrame:
 
 @query(
     "p13_plain_numbers",
-    "SELECT admdong_cd || '00' AS code, sum(pop_5) FILTER (age_5_start = 40)::BIGINT AS pop FROM census5 GROUP BY ALL",
+    "SELECT admdong_cd || '00' AS code, "
+    + ", ".join(f"sum(pop_5) FILTER (age_5_start = {a})::BIGINT AS pop_{a}" for a in range(0, 101, 5))
+    + " FROM census5 GROUP BY ALL",
 )
 def plain_numbers(i: Inputs) -> DataFrame:
     rows = census.split_area(census.without_subtotals(i.census_text))
-    number = c.plain_number(F.col("`2023년01월_계_40~44세`"))
-    return rows.select(F.col("admdong_cd_10").alias("code"), F.nullif(number, F.lit(0)).alias("pop"))
+    numbers = [
+        F.nullif(c.plain_number(F.col(f"`{name}`")), F.lit(0)).alias(f"pop_{age}")
+        for name, age in census.age_columns(rows.columns).items()
+    ]
+    return rows.select(F.col("admdong_cd_10").alias("code"), *numbers)
 
 
 @query("p14_wide_to_long", "SELECT admdong_cd, age_5_start, pop_5 FROM census5 WHERE pop_5 > 0")

@@ -194,18 +194,18 @@ def region_age(i: Inputs) -> DataFrame:
     return census.to_15_groups(i.census5).groupBy("sido_nm", "age_idx").agg(F.sum("pop").alias("pop"))
 
 
-# The names in the table region.
-REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE EAST"]
+# The names in the table region, blanks as in the bindings.
+REGIONS = ["AFRICA", "AMERICA", "ASIA", "EUROPE", "MIDDLE_EAST"]
 
 
 @query(
     "a57_region_age_pivot",
-    "SELECT age_idx, " + ", ".join(f'sum(pop) FILTER (sido_nm = \'{r}\')::BIGINT AS {r.lower().replace(" ", "_")}' for r in REGIONS)
+    "SELECT age_idx, " + ", ".join(f'sum(pop) FILTER (sido_nm = \'{r}\')::BIGINT AS {r.lower()}' for r in REGIONS)
     + " FROM census15 GROUP BY ALL",
 )
 def region_age_pivot(i: Inputs) -> DataFrame:
     wide = census.to_15_groups(i.census5).groupBy("age_idx").pivot("sido_nm", REGIONS).agg(F.sum("pop"))
-    return wide.toDF("age_idx", *[r.lower().replace(" ", "_") for r in REGIONS])
+    return wide.toDF("age_idx", *[r.lower() for r in REGIONS])
 
 
 @query(

@@ -93,11 +93,12 @@ def ili_csv(i: Inputs) -> DataFrame:
     readers.korean_charsets(i.spark)
     slots = [c for c in i.ili_wide.columns if c not in ("age_group", "season")]
     files = []
-    for group in vocab.ILI_AGE_GROUPS:  # a fixed list of seven, a file each
-        files.append(f"{path}/{group}")
+    for number, group in enumerate(vocab.ILI_AGE_GROUPS):  # a fixed list of seven, a folder each
+        files.append(f"{path}/{number}")
         mine = i.ili_wide.filter(F.col("age_group") == group).select("season", *slots)
         mine.write.options(encoding=readers.KOREAN).csv(files[-1])
-    group_of = F.element_at(F.split(F.url_decode(F.input_file_name()), "/"), -2)
+    folder = F.element_at(F.split(F.input_file_name(), "/"), -2).cast("int")
+    group_of = F.get(F.array(*map(F.lit, vocab.ILI_AGE_GROUPS)), folder)
     read = readers.ili_csv(i.spark, files).withColumn("age_group", group_of)
     return ili.to_long(read, ("age_group",))
 
@@ -141,10 +142,10 @@ def glob_scan(i: Inputs) -> DataFrame:
 @query("s09_union_files", "SELECT admdong_cd, sido_nm, age_5_start, pop_5 FROM census5")
 def union_files(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark)
-    i.census5.write.partitionBy("sido_nm").parquet(path)
-    paths = [f"{path}/sido_nm={p}" for p in REGIONS]
-    df = i.spark.read.option("basePath", path).parquet(*paths)
-    return df.select("admdong_cd", "sido_nm", "age_5_start", "pop_5")
+    paths = [f"{path}/{number}" for number in range(len(REGIONS))]
+    for region, one in zip(REGIONS, paths):
+        i.census5.filter(F.col("sido_nm") == region).write.parquet(one)
+    return readers.parquet(i.spark, paths).select("admdong_cd", "sido_nm", "age_5_start", "pop_5")
 
 
 @query(

@@ -160,11 +160,17 @@ def age_bridge(i: Inputs) -> DataFrame:
     return rounded(ili.to_15_ages(i.ili, ili.bridge(i.spark)), "rate")
 
 
+PLAIN_BRIDGE = " UNION ALL ".join(
+    f"SELECT '{g}' AS age_group, unnest({m}) AS age_idx" for g, m in vocab.ILI_BRIDGE_UNWEIGHTED.items()
+)
+
+
 @query(
     "a24_age_bridge_unweighted",
-    """SELECT season, week_in_season, age_idx, CASE WHEN count(ili_rate) = 1 THEN sum(ili_rate) END AS rate FROM ili JOIN ("""
-    + " UNION ALL ".join(f"SELECT '{g}' AS age_group, unnest({m}) AS age_idx" for g, m in vocab.ILI_BRIDGE_UNWEIGHTED.items())
-    + ") USING (age_group) WHERE is_valid_week GROUP BY ALL",
+    f"""SELECT season, week_in_season, age_idx, CASE WHEN count(ili_rate) = any_value(n_groups) THEN sum(ili_rate) END AS rate
+       FROM ili JOIN ({PLAIN_BRIDGE}) USING (age_group)
+       JOIN (SELECT age_idx, count(*) AS n_groups FROM ({PLAIN_BRIDGE}) GROUP BY ALL) USING (age_idx)
+       WHERE is_valid_week GROUP BY season, week_in_season, age_idx""",
 )
 def age_bridge_unweighted(i: Inputs) -> DataFrame:
     return ili.to_15_ages(i.ili, ili.bridge(i.spark, weighted=False))

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ebbflow import vocab
+from ebbflow.contracts import fail_if_any
 from ebbflow.operators import employment
 from ebbflow.operators.ili import SLOT_COLUMNS
 
@@ -71,25 +72,39 @@ def code_book_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def census_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Census text tables, every column text. All files of a read share one header."""
+    """Census text tables, every column text.
+
+    Each path (a file, or a folder or glob whose files share a header) is read by its own
+    header and the tables are united by column name; a file with another header than the first
+    of its path fails, and so do paths with different columns.
+    """
     korean_charsets(spark)
-    paths = path if isinstance(path, str) else list(path)
-    return spark.read.options(header=True, inferSchema=False, encoding=KOREAN).csv(paths)
+    options = {"header": True, "encoding": KOREAN}
+    found = None
+    for one in [path] if isinstance(path, str) else list(path):
+        names = spark.read.options(inferSchema=False, **options).csv(one).schema
+        read = _csv(spark, one, names, enforceSchema=False, **options)
+        found = read if found is None else found.unionByName(read)
+    return found
 
 
 def employment_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Headerless table below two title rows.
+    """Headerless table below title rows.
 
-    Title rows are the rows whose population is not a number; Spark has no row skipping.
+    Spark has no row skipping: a title row names no sex and has no number in any number column.
+    Any other row must be data: thousands separators are taken out, and a number that still
+    does not parse, or an unknown sex beside numbers, fails when the result is computed.
     """
     korean_charsets(spark)
     names = employment.RAW_COLUMNS
     text = T.StructType([T.StructField(c, T.StringType()) for c in names])
     raw = spark.read.schema(text).options(encoding=KOREAN).csv(path)
-    numbers = [F.expr(f"try_cast({c} AS BIGINT)").alias(c) for c in names[3:]]
-    return raw.filter(F.expr("try_cast(population_15plus AS BIGINT) IS NOT NULL")).select(
-        *names[:3], *numbers
-    )
+    known = F.coalesce(F.col("sex").isin(vocab.EMPLOYMENT_SEXES), F.lit(False))
+    number = F.exists(F.array(*names[3:]), lambda c: F.coalesce(F.trim(c), F.lit("")).rlike(r"^-?[\d,]+$"))
+    numbers = [F.replace(F.trim(c), F.lit(","), F.lit("")).cast("bigint").alias(c) for c in names[3:]]
+    data = raw.filter(known).select(*names[:3], *numbers)
+    # the check comes last: a filter above it could remove it
+    return fail_if_any(data, raw.filter(~known & number), "employment table: unknown sex")
 
 
 def ili_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -101,7 +116,10 @@ def ili_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
 
 
 def ili_by_age_csv(spark: SparkSession, directory: str) -> DataFrame:
-    """Seasons of all age groups from files named `..._<group><suffix>.csv`."""
+    """Seasons of all age groups from files named `..._<group><suffix>.csv`.
+
+    A file of an unknown group fails when the result is computed.
+    """
     label = F.regexp_extract(F.input_file_name(), r"_([^_/]+)\.csv$", 1)
     # File suffix of each surveillance group.
     suffixes = {
@@ -110,11 +128,8 @@ def ili_by_age_csv(spark: SparkSession, directory: str) -> DataFrame:
     }
     decoded = F.url_decode(label)
     group = F.try_element_at(F.create_map(*[F.lit(v) for kv in suffixes.items() for v in kv]), decoded)
-    return (
-        ili_csv(spark, directory)
-        .withColumn("age_group", group)
-        .filter(F.col("age_group").isin(vocab.ILI_AGE_GROUPS))
-    )
+    read = ili_csv(spark, directory).withColumn("age_group", group)
+    return fail_if_any(read, read.filter(F.col("age_group").isNull()), "surveillance file of an unknown age group")
 
 
 def claims_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -137,7 +152,7 @@ def parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[st
 
 
 def months(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
-    """Months [first, last] of a table partitioned by yyyymm: other folders are not listed."""
+    """Months [first, last] of a table partitioned by yyyymm: other folders are not read."""
     return spark.read.parquet(root).filter(
         F.col("yyyymm").cast("string").between(F.lit(first), F.lit(last))
     )

@@ -31,6 +31,12 @@ def test_fifteen_rows_per_area_and_total_kept(inputs):
     assert {r[0] for r in groups.select("age_group").distinct().collect()} == set(vocab.AGE_LABELS_15)
 
 
+def test_a_null_name_keeps_its_people(spark):
+    df = spark.createDataFrame([("11", None, None, "a", 0, 5)], "admdong_cd string, admdong_nm string, sgg_nm string, sido_nm string, age_5_start int, pop_5 long")
+    got = census.scaffold_15(df)
+    assert got.count() == 15 and got.agg(F.sum("pop")).first()[0] == 5
+
+
 def test_both_matrix_forms_agree(inputs):
     groups = census.to_15_groups(inputs.census5)
     assert rows(census.matrix(groups)) == rows(census.pivot_matrix(groups))

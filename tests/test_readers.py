@@ -60,6 +60,25 @@ def test_employment_file(spark, tmp_path):
         employment.rates(raw, "남")
 
 
+def test_employment_numbers_are_read_or_fail(spark, tmp_path):
+    good = '서울특별시,계,15-19세,"1,200",50,1,2,3,4\n'
+    raw = readers.employment_csv(spark, cp949(tmp_path / "g.csv", "표,,,,,,,,\n지역,성별,연령,명,명,명,명,명,명\n" + good))
+    assert rows(raw, "population_15plus", "worked_total") == [(1200, 50)]
+    for bad in ("서울특별시,계,15-19세,200,-,1,2,3,4\n", "서울특별시,모름,15-19세,200,5,1,2,3,4\n"):
+        with pytest.raises(Exception):
+            readers.employment_csv(spark, cp949(tmp_path / "b.csv", good + bad)).collect()
+
+
+def test_census_files_of_other_column_order(spark, tmp_path):
+    one, two = (tmp_path / f"{n}.csv" for n in "ab")
+    paths = [cp949(one, "행정구역,x,y\n가,1,2\n"), cp949(two, "행정구역,y,x\n나,2,1\n")]
+    assert rows(readers.census_csv(spark, paths), "x", "y") == [("1", "2"), ("1", "2")]
+    with pytest.raises(Exception):  # one folder is one header
+        readers.census_csv(spark, str(tmp_path)).collect()
+    with pytest.raises(Exception):
+        readers.census_csv(spark, [paths[0], cp949(tmp_path / "c.csv", "행정구역,x,z\n다,1,2\n")]).collect()
+
+
 def test_ili_file(spark, tmp_path):
     full = ",".join(str(i) for i in range(54))
     text = f'"2018-2019절기",{full}\n\n"2020-2021절기",1.5,,3\n'
@@ -83,6 +102,9 @@ def test_ili_files_by_age(spark, tmp_path):
         cp949(tmp_path / f"seasons_{suffix}.csv", '"2018-2019절기",1,2\n')
     got = readers.ili_by_age_csv(spark, str(tmp_path)).select("age_group").collect()
     assert sorted(r[0] for r in got) == ["0", "65+"]
+    cp949(tmp_path / "seasons_성인.csv", '"2018-2019절기",1,2\n')
+    with pytest.raises(Exception, match="unknown age group"):
+        readers.ili_by_age_csv(spark, str(tmp_path)).collect()
 
 
 def test_claims_file(spark, tmp_path):

@@ -148,3 +148,10 @@ def test_fractional_and_zero_weights(spark):
     units = np.cumsum([round(b * 1000) for _, b in data])
     for q in PROBS:
         assert row[stats.quantile_name(q)] == v[np.searchsorted(units, q * units[-1])], q
+
+
+def test_tiny_and_huge_weights_keep_their_ranks(spark):
+    for unit in (1e-7, 1e15):
+        df = spark.createDataFrame([("a", float(v), unit) for v in range(10)], "k string, v double, w double")
+        got = stats.exact_quantiles(df, ["k"], "v", [0.5], method="weighted", weight="w").first()
+        assert 4.0 in got.asDict().values()

@@ -43,6 +43,21 @@ def test_season_starts_in_week_36(spark):
     assert rows(claims.season(weeks, 2019)) == [(dt.date(2019, 9, 2), 0), (dt.date(2020, 8, 24), 51)]
 
 
+def test_a_missing_group_is_no_zero(spark):
+    bridge = spark.createDataFrame([("0", 0, 0.2), ("1-6", 0, 0.8), ("1-6", 1, 1.0)], "age_group string, age_idx int, weight double")
+    known = [("s", 0, "0", 10.0, True), ("s", 0, "1-6", 5.0, True), ("s", 1, "0", 10.0, True), ("s", 1, "1-6", None, True), ("s", 2, "0", 1.0, True)]
+    long = spark.createDataFrame(known, "season string, week_in_season int, age_group string, ili_rate double, is_valid_week boolean")
+    got = {(r.week_in_season, r.age_idx): r.rate for r in ili.to_15_ages(long, bridge).collect()}
+    assert got == {(0, 0): 6.0, (0, 1): 5.0, (1, 0): None, (1, 1): None, (2, 0): None}
+
+
+def test_contacts_outside_the_ages_fail(spark):
+    long = spark.createDataFrame([("home", 15, 0, 1.0)], "setting string, contact_idx int, participant_idx int, value double")
+    days = spark.createDataFrame([(20230101, "holiday")], "date int, daytype string")
+    with pytest.raises(Exception, match="outside"):
+        contact.daily_series(long, days).collect()
+
+
 def test_successor_codes(spark):
     df = spark.createDataFrame([(45,), (11,)], "sido_code bigint")
     assert rows(claims.merge_successors(df)) == [(11,), (52,)]
