@@ -106,7 +106,43 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-@query("op3_decontamination")
+# Every window of every document that holds shingles of an item, scored in full.
+LEAK_SQL = r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+  FROM documents
+), i AS (
+  SELECT item_id, w, len(w) AS n_words, least(5, len(w)) AS k FROM (
+    SELECT item_id, list_filter(string_split_regex(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+    FROM benchmark) WHERE len(w) > 0
+), item_grams AS (
+  SELECT item_id, n_words, k, n_words - k + 1 AS n, g, count(*) AS in_item FROM (
+    SELECT item_id, n_words, k,
+           unnest(list_transform(range(1, n_words - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' '))) AS g FROM i)
+  GROUP BY ALL
+), grams AS (
+  SELECT doc_id, k, len(w) - k + 1 AS total, unnest(range(0, len(w) - k + 1)) AS pos,
+         unnest(list_transform(range(1, len(w) - k + 2), lambda p: array_to_string(w[p:p + k - 1], ' '))) AS g
+  FROM d, (SELECT DISTINCT k FROM i) WHERE len(w) >= k
+), hits AS (
+  SELECT DISTINCT doc_id, item_id, n_words, n, total, in_item, pos, g FROM grams JOIN item_grams USING (k, g)
+), starts AS (
+  SELECT doc_id, item_id, unnest(range(greatest(0, min(pos) - n + 1), least(max(pos), any_value(total) - n) + 1)) AS s
+  FROM hits GROUP BY doc_id, item_id, n
+), windows AS (
+  SELECT doc_id, item_id, n_words, n, s, g, in_item, count(*) AS in_window
+  FROM starts JOIN hits USING (doc_id, item_id) WHERE pos BETWEEN s AND s + n - 1 GROUP BY ALL
+), scored AS (
+  SELECT doc_id, item_id, n_words, s, sum(least(in_window, in_item)) / (2 * n - sum(least(in_window, in_item))) AS similarity
+  FROM windows GROUP BY doc_id, item_id, n_words, n, s
+)
+SELECT doc_id, item_id, CAST(s AS INT) AS start_word, CAST(n_words AS INT) AS n_words, CAST(similarity AS DOUBLE) AS similarity
+FROM scored WHERE similarity >= 0.8
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, s) = 1
+"""
+
+
+@query("op3_decontamination", LEAK_SQL)
 def op3(spark: SparkSession, folder: str) -> DataFrame:
     found = decontaminate.leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     return found.select("doc_id", "item_id", "start_word", "n_words", "similarity")
