@@ -42,6 +42,15 @@ def cardinality(column: str, n: int) -> Rule:
     return Rule(f"distinct {column}", F.count_distinct(column), str(n), lambda v: v == n)
 
 
+def value_gaps(df: DataFrame, column: str, expected: Sequence) -> DataFrame:
+    """Expected values that the column lacks and values that it has beyond them, by name."""
+    want = df.sparkSession.createDataFrame([(str(v),) for v in expected], "value string")
+    have = df.select(F.col(column).cast("string").alias("value")).distinct()
+    seen = have.withColumn("_have", F.lit(True)).join(want.withColumn("_want", F.lit(True)), "value", "full")
+    side = F.when(F.col("_have").isNull(), "missing").when(F.col("_want").isNull(), "extra")
+    return seen.select(F.lit(column).alias("column"), "value", side.alias("gap")).filter("gap IS NOT NULL")
+
+
 def allowed(column: str, values: Sequence) -> Rule:
     """Every value, null included, must be one of a fixed list."""
     known = F.coalesce(F.col(column).isin(list(values)), F.lit(False))

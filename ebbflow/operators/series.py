@@ -16,9 +16,9 @@ def monthly_totals(df: DataFrame, value: str) -> DataFrame:
 
 def outliers_by_upper_median(months: DataFrame, low: float = 0.5, high: float = 1.8) -> DataFrame:
     """Months below `low` or above `high` times the upper median (element n div 2)."""
-    totals = F.array_sort(F.collect_list("total"))
-    middle = months.agg(F.element_at(totals, (F.floor(F.size(totals) / 2) + 1).cast("int")))
-    with_median = months.withColumn("median", middle.scalar())
+    totals = F.array_sort(F.collect_list("total").over(Window.partitionBy()))
+    middle = F.element_at(totals, (F.floor(F.size(totals) / 2) + 1).cast("int"))
+    with_median = months.withColumn("median", middle)
     rel = ratio(F.col("total"), F.col("median"))
     return (
         with_median.withColumn("times_median", rel)
@@ -27,10 +27,18 @@ def outliers_by_upper_median(months: DataFrame, low: float = 0.5, high: float =
     )
 
 
+def with_median(months: DataFrame) -> DataFrame:
+    """Each month beside the true (interpolated) median; the series is read once.
+
+    The window is over the whole series: one row per month.
+    """
+    median = F.percentile("total", F.lit(0.5)).over(Window.partitionBy())
+    return months.withColumn("median", median)
+
+
 def below_median(months: DataFrame, factor: float = 0.5) -> DataFrame:
     """Months below `factor` times the true (interpolated) median."""
-    median = months.agg(F.percentile("total", F.lit(0.5))).scalar()
-    return months.filter(F.col("total") < median * factor)
+    return with_median(months).filter(F.col("total") < F.col("median") * factor).drop("median")
 
 
 def yearly(months: DataFrame) -> DataFrame:

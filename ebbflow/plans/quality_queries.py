@@ -73,7 +73,8 @@ def value_list(i: Inputs) -> DataFrame:
 
 @query(
     "v04_conservation",
-    """SELECT (SELECT sum(POP) FROM lp_raw WHERE ADMDONG_CD < '03') AS before, (SELECT sum(pop) FROM lp) AS after, true AS conserved""",
+    """SELECT before, after, abs(before - after) < 0.01 AS conserved FROM (
+         SELECT (SELECT sum(POP) FROM lp_raw WHERE ADMDONG_CD < '03') AS before, (SELECT sum(pop) FROM lp) AS after)""",
 )
 def conservation(i: Inputs) -> DataFrame:
     before = i.lp_raw.filter(F.col("ADMDONG_CD") < "03").agg(F.sum("POP").alias("before"))
@@ -98,14 +99,29 @@ def cardinalities(i: Inputs) -> DataFrame:
     return quality.report(i.lp, [quality.cardinality(c, n) for c, n in expected.items()])
 
 
+@query(
+    "v05_value_gaps",
+    " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", value, CASE WHEN h.v IS NULL THEN 'missing' ELSE 'extra' END AS gap FROM (
+              SELECT coalesce(h.v, w.v) AS value, h, w FROM (SELECT DISTINCT {c}::VARCHAR AS v FROM lp) h
+              FULL JOIN (SELECT unnest(range({a}, {b}, {s}))::VARCHAR AS v) w ON h.v = w.v) WHERE h.v IS NULL OR w.v IS NULL"""
+        for c, (a, b, s) in {"hour": (1, 25, 1), "age_10": (0, 90, 10), "date": (20240101, 20240132, 1)}.items()
+    ),
+)
+def value_gaps(i: Inputs) -> DataFrame:
+    """Hours are expected as 1 to 24 here, so hour 0 is extra and hour 24 missing."""
+    expected = {"hour": range(1, 25), "age_10": range(0, 90, 10), "date": range(20240101, 20240132)}
+    found = [quality.value_gaps(i.lp, c, v) for c, v in expected.items()]
+    return found[0].unionByName(found[1]).unionByName(found[2])
+
+
 @query(
     "v06_missing_months",
     f"SELECT yyyymm FROM ({SPINE}) WHERE yyyymm NOT IN (SELECT yyyymm FROM months WHERE total > 1.0 * (SELECT median(total) FROM months))",
 )
 def missing_months(i: Inputs) -> DataFrame:
-    months = series.monthly_totals(i.od, "total")
-    median = months.agg(F.percentile("total", F.lit(0.5))).scalar()
-    return ingest.pending(_spine(i), months.filter(F.col("total") > median))
+    months = series.with_median(series.monthly_totals(i.od, "total"))
+    return ingest.pending(_spine(i), months.filter(F.col("total") > F.col("median")))
 
 
 @query(
