@@ -1,4 +1,7 @@
-"""Planar geometry on vertex arrays (`array<struct<x,y>>`, open ring), without UDFs."""
+"""Planar geometry on vertex arrays (`array<struct<x,y>>`, open ring), without UDFs.
+
+A shape of several parts or with holes is `array<struct<hole: boolean, ring: array<struct<x,y>>>>`.
+"""
 
 from __future__ import annotations
 
@@ -47,3 +50,28 @@ def contains(ring: Column, px: Column, py: Column) -> Column:
 
     # `px < at` is null on a horizontal edge, where `spans` is false, so the AND is false.
     return _over_edges(ring, F.lit(False), step)
+
+
+def shape_area(shape: Column) -> Column:
+    """Area of all parts less the holes."""
+    return F.aggregate(
+        shape, F.lit(0.0), lambda total, part: total + F.when(part.hole, -area(part.ring)).otherwise(area(part.ring))
+    )
+
+
+def shape_centroid(shape: Column) -> tuple[Column, Column]:
+    """Centroid of the parts, weighted by their areas, holes taken out."""
+
+    def along(axis: int) -> Column:
+        def step(total, part):
+            moment = centroid(part.ring)[axis] * area(part.ring)
+            return total + F.when(part.hole, -moment).otherwise(moment)
+
+        return F.try_divide(F.aggregate(shape, F.lit(0.0), step), shape_area(shape))
+
+    return along(0), along(1)
+
+
+def shape_contains(shape: Column, px: Column, py: Column) -> Column:
+    """Even-odd rule over all rings: inside a part and not in one of its holes."""
+    return F.aggregate(shape, F.lit(False), lambda inside, part: inside != contains(part.ring, px, py))

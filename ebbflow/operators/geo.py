@@ -10,17 +10,27 @@ from ebbflow.functions.columns import distance_band, ratio, speed_kmh, straight_
 from ebbflow.joins import same_rows, small
 from ebbflow.operators import stats
 
-# Polygon rows carry their vertices (about 1 kB each), so their bound is lower.
+# Polygon tiles carry their vertices, 16 bytes each: both bounds must hold for a broadcast.
 MAX_POLYGON_TILES = 50_000
+MAX_TILE_VERTICES = 2_000_000
+# Tiles of one polygon; more means that the tile is too small for the data.
+MAX_TILES_EACH = 1_000_000
 
 
 def measure(polygons: DataFrame, key: str) -> DataFrame:
-    """Area in square kilometres and centroid of each polygon."""
-    ring = F.col("vertices")
-    cx, cy = geometry.centroid(ring)
+    """Area in square kilometres and centroid of each polygon.
+
+    Polygons have a column `vertices` (one open ring) or `shape` (parts and holes).
+    """
+    if "shape" in polygons.columns:
+        area = geometry.shape_area(F.col("shape"))
+        cx, cy = geometry.shape_centroid(F.col("shape"))
+    else:
+        area = geometry.area(F.col("vertices"))
+        cx, cy = geometry.centroid(F.col("vertices"))
     measured = polygons.select(
         key,
-        (geometry.area(ring) / 1_000_000).alias("area_km2"),
+        (area / 1_000_000).alias("area_km2"),
         cx.alias("ctr_x"),
         cy.alias("ctr_y"),
     )
@@ -163,20 +173,39 @@ def assign_points(
 
     Both sides are put on a square grid of `tile` metres; a polygon is repeated for each
     tile of its bounding box. Points and polygons meet on the tile, then the exact test
-    runs. Few polygon tiles are broadcast after a count, so no point is shuffled. With
-    many, a crowded tile is one skewed join partition, which adaptive execution splits.
+    runs. Few polygon tiles with few vertices are broadcast after a count, so no point is
+    shuffled. With many, a crowded tile is one skewed join partition, which adaptive execution
+    splits. Polygons have `vertices` (one open ring) or `shape` (parts and holes); one that
+    would take more than MAX_TILES_EACH tiles fails.
     """
     at = lambda c: F.floor(c / tile).cast("int")
-    ring = F.col("vertices")
-    xs, ys = F.transform(ring, lambda v: v.x), F.transform(ring, lambda v: v.y)
-    tiled = polygons.select(
+    if "shape" in polygons.columns:
+        form = "shape"
+        corners = F.flatten(F.transform("shape", lambda part: part.ring))
+        inside = geometry.shape_contains(F.col("shape"), F.col(x), F.col(y))
+    else:
+        form, corners = "vertices", F.col("vertices")
+        inside = geometry.contains(F.col("vertices"), F.col(x), F.col(y))
+    xs, ys = F.transform(corners, lambda v: v.x), F.transform(corners, lambda v: v.y)
+    boxes = polygons.select(
         key,
-        "vertices",
-        F.explode(F.sequence(at(F.array_min(xs)), at(F.array_max(xs)))).alias("_tx"),
-        F.array_min(ys).alias("_y0"),
-        F.array_max(ys).alias("_y1"),
-    ).select(key, "vertices", "_tx", F.explode(F.sequence(at(F.col("_y0")), at(F.col("_y1")))).alias("_ty"))
+        form,
+        F.size(corners).alias("_n"),
+        at(F.array_min(xs)).alias("_x0"),
+        at(F.array_max(xs)).alias("_x1"),
+        at(F.array_min(ys)).alias("_y0"),
+        at(F.array_max(ys)).alias("_y1"),
+    )
+    tiles = (F.col("_x1").cast("long") - F.col("_x0") + 1) * (F.col("_y1").cast("long") - F.col("_y0") + 1)
+    last = F.when(tiles <= MAX_TILES_EACH, F.col("_x1")).otherwise(
+        F.raise_error(F.lit(f"a polygon has more than {MAX_TILES_EACH} tiles: take a larger tile")).cast("int")
+    )
+    tiled = boxes.select("*", F.explode(F.sequence("_x0", last)).alias("_tx")).select(
+        key, form, "_n", "_tx", F.explode(F.sequence("_y0", "_y1")).alias("_ty")
+    )
+    n_tiles, n_vertices = tiled.agg(F.count("*"), F.sum("_n")).first()
+    tiled = tiled.drop("_n")
+    if n_tiles <= MAX_POLYGON_TILES and (n_vertices or 0) <= MAX_TILE_VERTICES:
+        tiled = F.broadcast(tiled)
     placed = points.withColumns({"_tx": at(F.col(x)), "_ty": at(F.col(y))})
-    inside = geometry.contains(ring, F.col(x), F.col(y))
-    tiled = small(tiled, max_rows=MAX_POLYGON_TILES)
     return placed.join(tiled, ["_tx", "_ty"]).filter(inside).select(*points.columns, key)

@@ -66,3 +66,30 @@ def test_short_distances_are_left_out(spark):
 def test_region_report_sees_mixed_systems(spark):
     df = spark.createDataFrame([("r", "Polygon", "5179"), ("s", "Polygon", "4326")], "region string, geom_type string, crs string")
     assert geo.region_report(df).filter(F.col("crs_agrees")).count() == 0
+
+
+SHAPE = "zone string, shape array<struct<hole:boolean, ring:array<struct<x:double,y:double>>>>"
+
+
+def box(x, y, side):
+    return ring([(x, y), (x + side, y), (x + side, y + side), (x, y + side)])
+
+
+def test_holes_and_islands(spark):
+    parts = [(False, box(0, 0, 10)), (True, box(2, 2, 4)[::-1]), (False, box(20, 0, 2))]
+    df = spark.createDataFrame([("z", parts), ("hole", [(False, box(2, 2, 4))])], SHAPE)
+    got = {r.zone: r for r in geo.measure(df, "zone").collect()}
+    assert math.isclose(got["z"].area_km2 * 1e6, 100 - 16 + 4)
+    assert math.isclose(got["z"].ctr_x, (100 * 5 - 16 * 4 + 4 * 21) / 88)
+    assert math.isclose(got["z"].ctr_y, (100 * 5 - 16 * 4 + 4 * 1) / 88)
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 3.0, 3.0), (3, 21.0, 1.0), (4, 15.0, 1.0)], "id int, x double, y double")
+    for tile in (1.5, 40.0):
+        found = geo.assign_points(points, df, "zone", tile).select("id", "zone").collect()
+        assert sorted(map(tuple, found)) == [(1, "z"), (2, "hole"), (3, "z")]
+
+
+def test_too_small_a_tile_fails(spark):
+    df = spark.createDataFrame([("z", box(0, 0, 1e7))], RING)
+    points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, x double, y double")
+    with pytest.raises(Exception, match="larger tile"):
+        geo.assign_points(points, df, "zone", 1.0).collect()
