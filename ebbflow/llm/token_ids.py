@@ -43,29 +43,39 @@ def encode(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n, blocks = len(ids), -(-len(ids) // BLOCK)
     padded = np.zeros(blocks * BLOCK + 128, dtype=np.uint64)
     padded[:n] = ids
-    # The packing of most ids that fits at each place. Where one fits, all of fewer and wider
-    # ids fit as well, so each selector only looks at the places where the one before did.
-    # Places past a block's end do not count: the reader drops what is there.
-    size = len(padded) - 128
-    choice = np.full(size, ESCAPE, dtype=np.int8)
-    live = np.arange(size)
-    left = BLOCK - live % BLOCK
-    top = int(ids.max()) if n else 0
-    for selector in range(15, 0, -1):
-        count, width = int(COUNTS[selector]), int(WIDTHS[selector])
-        if top >> width:
-            bad = np.zeros(size + 1, dtype=np.int32)
-            np.cumsum(padded[:size] >= np.uint64(1 << width), out=bad[1:])
-            end = live + np.minimum(count, left[live])
-            live = live[bad[end] == bad[live]]
-        choice[live] = selector
-        if not len(live):
-            break
+    choice = _choice(padded[: blocks * BLOCK].reshape(blocks, BLOCK)).reshape(-1)
     words, starts = _chain(padded, choice, blocks)
     escaped = words[1][words[0] == ESCAPE]
     return _pack(padded, *words), starts, padded[escaped]
 
 
+def _choice(values: np.ndarray) -> np.ndarray:
+    """At each place of each block (row), the selector of most ids that fits from there on.
+
+    The maximum over a run of ids is had from those over shorter runs; what lies past a block's
+    end counts as zeros, for the reader drops it.
+    """
+    top = int(values.max()) if values.size else 0
+    most = int(COUNTS[1:].max())
+    level = np.zeros((len(values), BLOCK + most), dtype=np.uint8)  # narrowest selector, less 1
+    for width in WIDTHS[1:]:
+        if top >> int(width):
+            level[:, :BLOCK] += values >= np.uint64(1 << int(width))
+    choice = np.full(values.shape, ESCAPE, dtype=np.int8)
+    highest = {1: level}
+    for selector in range(15, 0, -1):
+        count = int(COUNTS[selector])
+        if count not in highest:
+            longest = max(k for k in highest if k < count)
+            rest = min(k for k in highest if k >= count - longest)
+            first = highest[longest]
+            second = highest[rest][:, count - rest :]
+            size = BLOCK + most - count
+            highest[count] = np.maximum(first[:, :size], second[:, :size])
+        np.copyto(choice, selector, where=highest[count][:, :BLOCK] <= selector - 1)
+    return choice
+
+
 def _chain(padded, choice, blocks):
     """Selector and place of every word, by block, and where each block's words begin."""
     at = np.arange(blocks, dtype=np.int64) * BLOCK
