@@ -237,10 +237,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
+def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
     """`docs` with one row of each group of near duplicates: the one with the least doc_id (a
-    null comes last; of rows that share it, one text's), columns as they were."""
-    found = near_duplicates(docs)
+    null comes last; of rows that share it, one text's), columns as they were. found: doc_id,
+    text_key and component of the rows, those of `near_duplicates` if none are given."""
+    found = near_duplicates(docs) if found is None else found
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
     kept = found.groupBy("component").agg(first.alias("k")).select(
         F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
