@@ -6,8 +6,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from ebbflow.session import build_session  # noqa: E402
-
-SMALL = "/root/testdata/sf0.001"
+from support import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -30,8 +29,3 @@ def inputs(spark):
     from ebbflow.plans.bindings import Inputs
 
     return Inputs(spark, SMALL)
-
-
-def rows(df, *columns):
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -1,7 +1,7 @@
 """Plan properties that keep the queries fit for large inputs."""
 
 import pytest
-from conftest import SMALL
+from support import SMALL
 
 import __spark_entry__ as entry
 from ebbflow.plans.bindings import Inputs

@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from support import rows
 
 from ebbflow import vocab
 from ebbflow.operators import census, claims, employment, ili

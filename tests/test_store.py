@@ -1,7 +1,7 @@
 """The whole flow over a data folder made of small files."""
 
 import pytest
-from conftest import rows
+from support import rows
 from pyspark.sql import functions as F
 
 from ebbflow import vocab
