@@ -237,15 +237,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     )
 
 
-def one_of_each(docs: DataFrame, found: DataFrame | None = None) -> DataFrame:
+def one_of_each(docs: DataFrame) -> DataFrame:
     """`docs` with one row of each group of near duplicates: the one with the least doc_id (a
-    null comes last; of rows that share it, one text's), columns as they were. found: doc_id,
-    text_key and component of the rows, those of `near_duplicates` if none are given."""
-    found = near_duplicates(docs) if found is None else found
+    null comes last; of rows that share it, the text and then the other columns decide), columns
+    as they were. An empty table stays empty."""
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key"))
-    kept = found.groupBy("component").agg(first.alias("k")).select(
-        F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_key")
+    kept = near_duplicates(docs).groupBy("component").agg(first.alias("k")).select(
+        F.col("k.doc_id").alias("doc_id"), F.col("k.text_key").alias("text_key")
     )
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
-    return keyed.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text"]).drop("_text")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"), F.struct("*").alias("row")
+    )
+    same = F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key"))
+    least = rows.join(kept, same, "left_semi").groupBy("id", "key").agg(F.min("row").alias("row"))
+    return least.select("row.*")

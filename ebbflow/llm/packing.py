@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ebbflow.joins import small
-from ebbflow.llm.tokens import WORDS, default_tokenizer, memo
+from ebbflow.llm.tokens import default_tokenizer, memo, slices
 from ebbflow.session import settled
 
 PIECES = "doc_id long, piece int, start long, length long, ids binary, _task long, _nth long"
@@ -33,19 +33,17 @@ def cut(n: int, capacity: int) -> list[tuple[int, int]]:
     return [(0, first), *((at, capacity) for at in range(first, n, capacity))]
 
 
-def pieces(
-    docs: DataFrame, capacity: int, tokenizer: str | None = None, end_id: int = 2, words: int = WORDS
-) -> DataFrame:
+def pieces(docs: DataFrame, capacity: int, tokenizer: str | None = None, end_id: int = 2) -> DataFrame:
     """Tokenised pieces in their input order, with the task and the piece's number among those
-    of its length in that task. One pass, no shuffle."""
+    of its length in that task. One pass, no shuffle; a few megabytes of text at a time."""
     path = tokenizer or default_tokenizer()
 
     def work(batches):
         from pyspark import TaskContext
 
         task, seen = TaskContext.get().partitionId(), defaultdict(int)
-        coder, end = memo(path, words), np.array([end_id], dtype="<u4").tobytes()
-        for batch in batches:
+        coder, end = memo(path), np.array([end_id], dtype="<u4").tobytes()
+        for batch in (part for whole in batches for part in slices(whole)):
             rows = []
             for key, ids in zip(
                 batch.column(0).to_pylist(), coder.ids(batch.column(1).to_pylist())
@@ -162,23 +160,18 @@ def intervals(patterns: list[tuple[tuple[int, ...], int]]) -> dict[int, tuple[np
 
 
 def pack(
-    docs: DataFrame,
-    capacity: int = 1024,
-    tokenizer: str | None = None,
-    end_id: int = 2,
-    words: int = WORDS,
+    docs: DataFrame, capacity: int = 1024, tokenizer: str | None = None, end_id: int = 2
 ) -> DataFrame:
     """doc_id, piece, start, length, ids (little-endian u32 bytes), sequence_id, offset.
 
     Every whole text is tokenised and gets `end_id`; only documents longer than `capacity` are
     cut. A null or empty text is the end id alone; repeated rows are packed each; columns other
     than doc_id and text are ignored; an empty table gives no rows. The pieces are stored once
-    in the shared folder. The driver gets one count for each length, at most `capacity`. `words`
-    bounds the memory of the tokenizer in each Python worker.
+    in the shared folder. The driver gets one count for each length, at most `capacity`.
     """
     if capacity < 1:
         raise ValueError("capacity must be at least 1")
-    stored = settled(pieces(docs, capacity, tokenizer, end_id, words))
+    stored = settled(pieces(docs, capacity, tokenizer, end_id))
     counts = stored.groupBy("_task", "length").agg(F.count("*").alias("_rows"))
     before = (
         Window.partitionBy("length").orderBy("_task").rowsBetween(Window.unboundedPreceding, -1)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ebbflow.joins import small
-from ebbflow.llm.tokens import default_tokenizer, memo
+from ebbflow.llm.tokens import default_tokenizer, memo, slices
 
 MAGIC = b"S8B1"
 HEAD = struct.Struct("<4sIIQIQII")
@@ -196,7 +196,7 @@ def write_token_ids(
         coder, number, before = memo(path), 0, 0
         end = np.array([end_id], dtype="<u4").tobytes()
         keys, ids, held = [], [], 0
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole)):
             for key, coded in zip(
                 batch.column(0).to_pylist(), coder.ids(batch.column(1).to_pylist())
             ):

@@ -1,21 +1,34 @@
-"""Token ids of whole texts by a public tokenizer, with a bounded memory of words.
+"""Token ids of whole texts by public tokenizers, with a bounded memory of words.
 
-A byte-level BPE without normaliser splits a text before each single space that stands between
-two visible characters, and codes the parts one by one. So the ids of a text are the ids of
-these parts, and a part met before need not be coded again. Texts with other spacing next to
-such a space (runs of spaces, a space beside a line end, one at either end) are coded whole.
+A text is cut at its single spaces into parts that are coded one by one, so a part met before
+need not be coded again. That gives the tokenizer's own ids where no token reaches over such a
+cut: always for a tokenizer that drops white space, and for a byte-level one without normaliser
+where the space stands between two visible characters. Texts with other spacing next to a space
+(runs of spaces, a space beside a line end, one at either end) are then coded whole.
+
+New parts are coded many at a time as one text; where each ends is told by the ids themselves,
+by the space that begins a byte-level word or by the mark that ends a word. If the count is not
+that of the parts, they are coded one by one.
 """
 
 from __future__ import annotations
 
 import os
+import unicodedata
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
-WORDS = 800_000  # parts kept per Python worker, about 160 MB
+WORDS = 400_000  # parts kept per Python worker, about 80 MB
 GROUP = 256  # texts whose new words are coded in one call
+LEARN = 2_000  # new words coded as one text
+SLICE_BYTES = 4 << 20  # text that is turned into ids at a time
 UNSAFE = b"?"  # no ids: their bytes come in fours
 
-_memos: dict[tuple[str, int], "WordMemo"] = {}
+_memos: dict[tuple[str, bool, int], "WordMemo"] = {}
 
 
 def default_tokenizer() -> str:
@@ -24,49 +37,105 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def memo(path: str, limit: int = WORDS) -> "WordMemo":
+def memo(path: str, plain_specials: bool = False, limit: int = WORDS) -> "WordMemo":
     """The worker's memo of this tokenizer file."""
-    if (path, limit) not in _memos:
-        _memos[path, limit] = WordMemo(path, limit)
-    return _memos[path, limit]
+    key = path, plain_specials, limit
+    if key not in _memos:
+        _memos[key] = WordMemo(path, limit, plain_specials)
+    return _memos[key]
+
+
+def slices(batch: pa.RecordBatch, column: int = 1, limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows whose texts have about `limit` bytes, at least one row each."""
+    if not batch.num_rows:
+        return
+    sizes = pc.binary_length(batch.column(column)).fill_null(0).to_numpy(zero_copy_only=False)
+    run = np.cumsum(sizes, dtype=np.int64) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(run)) + 1), batch.num_rows]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
 
 
 class WordMemo:
-    """Ids of texts as little-endian unsigned 32-bit integers."""
+    """Ids of texts as little-endian unsigned 32-bit integers.
+
+    `plain_specials`: the names of special tokens inside a text are plain text. Otherwise they
+    become the special ids, as the tokenizers library has it.
+    """
 
-    def __init__(self, path: str, limit: int = WORDS):
+    def __init__(self, path: str, limit: int = WORDS, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.by_words = self.tokenizer.normalizer is None and isinstance(
+        self.tokenizer.encode_special_tokens = plain_specials
+        size = self.tokenizer.get_vocab_size()
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(size)]
+        self.spaced = self.tokenizer.normalizer is None and isinstance(
             self.tokenizer.pre_tokenizer, pre_tokenizers.ByteLevel
         )
+        suffix = getattr(self.tokenizer.model, "end_of_word_suffix", None)
+        # parts without a space can be coded alone
+        self.by_words = self.spaced or bool(suffix) and self._drops_spaces()
+        if self.spaced:
+            self.bounds = np.array([n.startswith("Ġ") for n in names])
+        else:
+            self.bounds = np.array([bool(suffix) and n.endswith(suffix) for n in names])
         self.limit = limit
         self.known: dict[str, bytes] = {}
         self.unsafe = False
-        self.marks = dict(zip(".,", self._encode([".", ","])))
+        self.marks = dict(zip(".,", self.encode([".", ","])))
 
-    def _encode(self, texts: list[str]) -> list[bytes]:
+    def _drops_spaces(self) -> bool:
+        ids = [self.encode([t])[0] for t in ("a b", " a  b ", "a")]
+        return ids[0] == ids[1] and ids[0].startswith(ids[2]) and not self.encode([" "])[0]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The tokenizer's own ids, without the memory of words."""
         coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in coded]
 
+    def _plain(self, word: str) -> bool:
+        """Is the word one run of letters to the tokenizer?"""
+        if not word.isalpha():
+            return False
+        return self.spaced or word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()
+
     def _learn(self, words: set[str]) -> None:
         """Ids of new words; UNSAFE where a space before the word is no safe cut."""
-        known, stems = self.known, {}
+        known, stems, odd = self.known, {}, []
         for word in words:
-            if not word or word[0].isspace() or word[-1].isspace():
+            if self.spaced and (not word or word[0].isspace() or word[-1].isspace()):
                 known[word], self.unsafe = UNSAFE, True
-            elif word[-1] in self.marks and word[:-1].isalpha():
+            elif word and word[-1] in self.marks and self._plain(word[:-1]):
                 # a last full stop or comma after letters is a part of its own
                 stems[word] = word[:-1]
-            else:
+            elif self.spaced or self._plain(word):
                 stems[word] = word
+            else:
+                odd.append(word)
+        space = " " if self.spaced else ""
         new = [s for s in set(stems.values()) if s not in known]
-        known.update(zip(new, self._encode([" " + s for s in new])))
+        for at in range(0, len(new), LEARN):
+            some = new[at : at + LEARN]
+            known.update(zip(some, self._together(some) or self.encode([space + s for s in some])))
         for word, stem in stems.items():
             if word is not stem:
                 known[word] = known[stem] + self.marks[word[-1]]
+        known.update(zip(odd, self.encode([space + w for w in odd])))
+
+    def _together(self, words: list[str]) -> list[bytes] | None:
+        """Ids of the words from one text of them all, if each of them can be told apart."""
+        data = self.encode([" " + " ".join(words)])[0]
+        at = np.flatnonzero(self.bounds[np.frombuffer(data, dtype="<u4")])
+        if len(at) != len(words):
+            return None
+        ends = [*at[1:].tolist(), len(data) // 4] if self.spaced else (at + 1).tolist()
+        out, begin = [], 0
+        for end in ends:
+            out.append(data[4 * begin : 4 * end])
+            begin = end
+        return out
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         """The ids of each text; none for a null."""
@@ -77,24 +146,27 @@ class WordMemo:
 
     def _group(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
-            return self._encode(texts)
+            return self.encode(texts)
         if len(self.known) > self.limit:
             self.known.clear()
         parts = [t.split(" ") for t in texts]
-        found = [list(map(self.known.get, p[1:])) for p in parts]
-        new = {w for p, f in zip(parts, found) if None in f for w, ids in zip(p[1:], f) if ids is None}
+        heads = [p.pop(0) for p in parts] if self.spaced else []  # no space stands before these
+        first = self.encode(heads)
+        found = [list(map(self.known.get, p)) for p in parts]
+        new = {w for p, f in zip(parts, found) if None in f for w, ids in zip(p, f) if ids is None}
         if new:
             self._learn(new)
         known, whole, out = self.known, {}, []
-        first = self._encode([p[0] for p in parts])
         for i, (p, f) in enumerate(zip(parts, found)):
             if None in f:
-                f = [known[w] if ids is None else ids for w, ids in zip(p[1:], f)]
-            if f and (not p[0] or p[0][-1].isspace()) or self.unsafe and UNSAFE in f:
+                f = [known[w] if ids is None else ids for w, ids in zip(p, f)]
+            if not self.spaced:
+                out.append(b"".join(f))
+            elif f and (not heads[i] or heads[i][-1].isspace()) or self.unsafe and UNSAFE in f:
                 whole[i] = texts[i]
                 out.append(b"")
             else:
                 out.append(first[i] + b"".join(f))
-        for i, ids in zip(whole, self._encode(list(whole.values()))):
+        for i, ids in zip(whole, self.encode(list(whole.values()))):
             out[i] = ids
         return out

@@ -1,11 +1,5 @@
-import os
-import sys
-
 import pytest
 
-HERE = os.path.dirname(os.path.abspath(__file__))
-sys.path[:0] = [HERE, os.path.dirname(HERE)]
-
 
 @pytest.fixture(autouse=True)
 def _package_on_workers(spark):

@@ -3,11 +3,13 @@
 import zlib
 
 import numpy as np
+import public_tokenizers
+import pyarrow as pa
 from cases import ROWS
 from hypothesis import given, settings, strategies as st
 
 from ebbflow.llm import packing, token_ids
-from ebbflow.llm.tokens import WordMemo, default_tokenizer
+from ebbflow.llm.tokens import WordMemo, default_tokenizer, slices
 from ebbflow.session import shared_dir
 
 MEMO = WordMemo(default_tokenizer(), limit=50)
@@ -27,6 +29,37 @@ def test_memo_gives_the_tokenizers_ids(texts):
     assert [as_ids(x) for x in MEMO.ids(texts)] == [plain(t) for t in texts]
 
 
+WORD_ENDS = WordMemo(public_tokenizers.path("word_bpe_49k.json"), limit=50)
+SPECIALS = WordMemo(default_tokenizer(), limit=50, plain_specials=True)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.text(alphabet="ab ,.\n\tÉİſ́가Σ's1 \u0085-", max_size=40), max_size=5), st.booleans())
+def test_memo_of_other_tokenizers(texts, marked):
+    texts = [t + " <|endoftext|> a<|endoftext|>b" if marked else t for t in texts]
+    for memo in (WORD_ENDS, SPECIALS):
+        assert memo.by_words
+        assert [as_ids(x) for x in memo.ids(texts)] == [
+            memo.tokenizer.encode(t, add_special_tokens=False).ids for t in texts
+        ]
+
+
+def test_new_words_are_coded_together():
+    words = [f"{a}{b}ened" for a in "abcdefgh" for b in "stuvwxyz"]
+    for memo in (MEMO, WORD_ENDS, SPECIALS):
+        got = memo._together(words)
+        assert got == memo.encode([" " + w if memo.spaced else w for w in words])
+        assert memo._together(["a b"]) is None
+
+
+def test_slices_cover_a_batch():
+    texts = ["a" * n for n in (5, 0, 30, 1, 1, 9)] + [None, "bb"]
+    batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(slices(batch, limit=10))
+    assert pa.Table.from_batches(parts).to_pydict() == pa.Table.from_batches([batch]).to_pydict()
+    assert len(parts) > 2 and all(p.num_rows for p in parts) and not list(slices(batch.slice(0, 0)))
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.lists(st.one_of(st.integers(0, 3), st.integers(0, 60_000), st.integers(0, 2**64 - 1)), max_size=700))
 def test_simple8b_round_trip(ids):
