@@ -8,10 +8,13 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ebbflow.llm import (
+    alignment,
     decontaminate,
+    fill_middle,
     fuzzy_dedup,
     language,
     nearest,
+    online_packing,
     packing,
     secrets,
     sharding,
@@ -20,7 +23,7 @@ from ebbflow.llm import (
     toxicity,
 )
 from ebbflow.llm.common import ship, table
-from ebbflow.session import shared_dir
+from ebbflow.session import settled, shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -216,3 +219,77 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     held_out = F.coalesce(fold("doc_id", 4) == 2, F.lit(False))
     predicted = (F.col("score") >= toxicity.THRESHOLD).cast("int")
     return found.select("doc_id", held_out.alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query("op11_online_packing")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    packed = online_packing.pack_online(
+        table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"), 4096, end_id=2
+    )
+    return packed.select(
+        "doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset"
+    )
+
+
+MIDDLE_SQL = r"""
+WITH units AS (
+  SELECT doc_id, coalesce(text, '') AS x,
+         regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u,
+         sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+  FROM documents
+), drawn AS (
+  SELECT doc_id, x, u, len(u) AS n,
+         CAST('0x' || h[1:8] AS BIGINT) % (len(u) + 1) AS c1, CAST('0x' || h[9:16] AS BIGINT) % (len(u) + 1) AS c2,
+         x = '' OR contains(x, '<P>') OR contains(x, '<S>') OR contains(x, '<M>')
+           OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 50 AS plain,
+         CAST('0x' || h[25:32] AS BIGINT) % 100 < 80 AS suffix_first
+  FROM units
+), cut AS (
+  SELECT doc_id, x, n, CASE WHEN plain THEN 'plain' WHEN suffix_first THEN 'spm' ELSE 'psm' END AS form,
+         array_to_string(u[1:least(c1, c2)], '') AS p,
+         array_to_string(u[least(c1, c2) + 1:greatest(c1, c2)], '') AS m,
+         array_to_string(u[greatest(c1, c2) + 1:n], '') AS s
+  FROM drawn
+)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN x WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(x) AS restored_sha256
+FROM cut
+"""
+
+
+@query("op12_fill_in_middle", MIDDLE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    made = fill_middle.fill_in_middle(table(spark, folder, "documents"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(fill_middle.restored(F.col("output"), F.col("form")), 256).alias("restored_sha256"),
+    )
+
+
+@query("op13_token_alignment")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    aligned = settled(
+        alignment.align(
+            table(spark, folder, "documents"),
+            public_tokenizers.path("byte_bpe_50k.json"),
+            public_tokenizers.path("piece_bpe_32k.model"),
+            digest=True,
+        )
+    )
+    found = alignment.scored(aligned, settled(alignment.pair_counts(aligned)))
+    return found.select(
+        "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", F.col("groups").alias("groups_sha256")
+    )
