@@ -9,14 +9,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from ebbflow.llm import decontaminate, fuzzy_dedup, language, near_copies, packing, secrets
+from ebbflow.llm import decontaminate, fuzzy_dedup, language, packing, secrets
 from ebbflow.llm.common import ship, table
 from ebbflow.session import settled
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 LEAST_SCORE = 0.3
 CAPACITY = 1024
-WORDS = 400_000  # remembered by a worker that other stages have used before
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,19 +29,22 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document of each group of near duplicates: five-word shingles, similarity 0.8."""
+    """Keeps one document of each group that the near-duplicate operator finds, with the shingles
+    and the bits of its contract: the least doc_id, a null last. Null, empty and blank texts have
+    fingerprint 0 and are a group like any other; repeated rows leave one; no rows give none."""
     ship(spark)
-    docs = docs.select(COLUMNS)
-    return fuzzy_dedup.one_of_each(docs, near_copies.near_copies(docs))
+    return fuzzy_dedup.one_of_each(docs.select(COLUMNS))
 
 
 def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents that hold a passage of the benchmark."""
+    """Rejects documents that hold a passage of the benchmark. A null or empty text holds none and
+    stays, and so does every row if the benchmark is empty; repeated rows go or stay together."""
     return decontaminate.without_leaks(docs.select(COLUMNS), table(spark, sf_dir, "benchmark"))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps all documents and masks the secrets in their texts; n_chars follows the text."""
+    """Keeps all documents and masks the secrets in their texts; n_chars follows the text. Null and
+    empty texts and repeated rows stay as they are; no rows give none."""
     docs = docs.select(COLUMNS)
     found = secrets.find_secrets(docs, secrets.train(docs))
     masked = found.withColumn("text", secrets.redacted(F.col("text"), F.col("secrets")))
@@ -51,9 +53,10 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all texts with their place in sequences of at most CAPACITY tokens."""
+    """Pieces of all texts with their place in sequences of at most CAPACITY tokens. A null or
+    empty text is its end id alone; repeated rows are packed each; no rows give none."""
     ship(spark)
-    return packing.pack(docs, CAPACITY, words=WORDS)
+    return packing.pack(docs, CAPACITY)
 
 
 STAGES = [
