@@ -210,6 +210,12 @@ def pending_months(i: Inputs) -> DataFrame:
 FEED = """strftime(strptime({0}::VARCHAR, '%Y%m%d') - CASE WHEN {0} % 100 = 1 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END, '%Y%m')"""
 
 
+def _placed_totals(i: Inputs, fed: DataFrame) -> DataFrame:
+    """What the feed holds of trips with both ends in an area, by month of the feed."""
+    trips = mobility.place_trips(fed, i.cells)
+    return trips.groupBy(F.col("yyyymm").cast("string").alias("yyyymm")).agg(F.sum("total").alias("total"))
+
+
 @query(
     "s13_ingest_run",
     f"""SELECT s.yyyymm,
@@ -242,8 +248,9 @@ def ingest_run(i: Inputs) -> DataFrame:
         i.spark, load, lambda raw: mobility.refine(raw, i.cells, i.capital), spine, done,
         readers.files(i.spark, landing, "*.parquet"),
         f"{path}/movement", f"{path}/ledger", "total", MOVEMENT_ORDER,
+        ingest.keeps_totals(_placed_totals(i, fed), "total"),
     )
-    return result.drop("error", "output_bytes", "elapsed_sec")
+    return result.drop("error", "output_bytes", "elapsed_sec", "quarantined_rows")
 
 
 @query(
@@ -287,24 +294,27 @@ def month_spine(i: Inputs) -> DataFrame:
 
 @query("z01_stream_ingest", "SELECT * FROM od")
 def stream_ingest(i: Inputs) -> DataFrame:
-    """The raw feed as month files, picked up by two runs of the stream; equal to the batch."""
+    """The raw feed as files, picked up by two runs of the stream of which the second has lost
+    the checkpoint of the first, then merged by month; equal to the batch."""
     path = shared_dir(i.spark)
-    landing, output, mark = f"{path}/landing", f"{path}/movement", f"{path}/checkpoint"
+    landing, output = f"{path}/landing", f"{path}/movement"
     late = F.col("ETL_YMD") >= 19980615
-    for part in (i.od_raw.filter(~late), i.od_raw.filter(late)):
+    for n, part in enumerate((i.od_raw.filter(~late), i.od_raw.filter(late))):
         part.write.mode("append").parquet(landing)
         feed = stream.stream_files(i.spark, landing, part.schema, "parquet", "*.parquet")
-        stream.ingest_movement(feed, i.cells, output, mark)
+        stream.ingest_movement(feed, i.cells, output, f"{path}/checkpoint{n}")
+    stream.compact_movement(i.spark, output)
     return stream.read_movement(i.spark, output, i.capital)
 
 
 @query("z01_stream_population", "SELECT * FROM lp")
 def stream_population(i: Inputs) -> DataFrame:
     path = shared_dir(i.spark)
-    landing, output, mark = f"{path}/landing", f"{path}/population", f"{path}/checkpoint"
+    landing, output = f"{path}/landing", f"{path}/population"
     late = F.col("ETL_YMD") >= 20240115
-    for part in (i.lp_raw.filter(~late), i.lp_raw.filter(late)):
+    for n, part in enumerate((i.lp_raw.filter(~late), i.lp_raw.filter(late))):
         part.write.mode("append").parquet(landing)
         feed = stream.stream_files(i.spark, landing, part.schema, "parquet", "*.parquet")
-        stream.ingest_population(feed, i.capital, output, mark)
+        stream.ingest_population(feed, i.capital, output, f"{path}/checkpoint{n}")
+    stream.compact_population(i.spark, output)
     return stream.read_population(i.spark, output, i.capital)

@@ -1,20 +1,22 @@
-"""Idempotent monthly ingest: all pending months in one Spark job, with a ledger."""
+"""Idempotent monthly ingest: all pending months in one Spark job, published together, with a ledger."""
 
 from __future__ import annotations
 
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Row, SparkSession, functions as F
 
 from ebbflow.contracts import require_columns
-from ebbflow.functions.columns import month_key
 from ebbflow.session import settled
-from ebbflow.sources import readers, sinks
+from ebbflow.sources.published import MonthTable, entry
+
+# From the rows a run wrote and its months: the months that may not be published, and why.
+Audit = Callable[[DataFrame, list[str]], dict[str, str]]
 
 LEDGER_SCHEMA = (
     "yyyymm string, status string, output_rows bigint, total_sum double, stray_rows bigint, "
-    "output_bytes bigint, elapsed_sec double, error string"
+    "output_bytes bigint, elapsed_sec double, error string, quarantined_rows bigint"
 )
 
 
@@ -53,6 +55,8 @@ def run(
     ledger: str,
     value: str,
     order: list[str],
+    audit: Audit | None = None,
+    malformed: Callable[[list[str]], DataFrame] | None = None,
 ) -> DataFrame:
     """Ingest the pending months and append to the ledger; returns this run's rows.
 
@@ -64,73 +68,107 @@ def run(
     comes to the driver. The pending months are one job, whose seconds each of them reports. If
     that job fails, each month is tried alone, so that a bad month is recorded as FAILED, with
     the whole error, and the others are kept.
+
+    Months are written, audited and then published together by one manifest (`published`): a
+    reader sees the old months until then, whenever the run ends. `audit` gives the months it
+    objects to, with the reason; they are recorded as FAILED and not published. `malformed` gives
+    the lines of the months' feeds that do not parse (`readers.split_feed`): they are written to
+    `output`/quarantine by run and month and counted in the ledger. The ledger comes
+    last; what it says of published months can be had from the manifests (`MonthTable.ledger`).
     """
+    table = MonthTable(spark, output)
+    versions = table.versions()
     status = plan(expected, done, available).collect()
     todo = sorted(r.yyyymm for r in status if r.status == "PENDING")
-    none = (None,) * 6
-    rows = [(r.yyyymm, r.status, *none) for r in status if r.status != "PENDING"]
-    schemas: list[T.StructType] = []
+    rows = [_line({"yyyymm": r.yyyymm, "status": r.status}) for r in status if r.status != "PENDING"]
+    made: list[Row] = []
 
-    def write(months: list[str]) -> float:
+    def write(months: list[str]) -> None:
         start = time.monotonic()
         feed = load(months)
         require_columns(feed, ["yyyymm"], "feed")
-        made = refine(feed.withColumn("yyyymm", F.col("yyyymm").cast("string")))
-        require_columns(made, ["yyyymm", "date", value], "refined feed")
-        sinks.write_months(made, output, order)
-        schemas.append(made.schema)
-        return time.monotonic() - start
+        refined = refine(feed.withColumn("yyyymm", F.col("yyyymm").cast("string")))
+        require_columns(refined, ["yyyymm", "date", value], "refined feed")
+        run = table.stage(refined, order)
+        measured = {e.yyyymm: e for e in table.measure(run, refined, value)}
+        bad = audit(table.staged(run, refined), months) if audit else {}
+        held = _quarantine(malformed(months), f"{output}/quarantine/run={run}") if malformed else None
+        took = time.monotonic() - start
+        for month in months:
+            found = measured.get(month)
+            values = found.asDict() if found else entry(
+                yyyymm=month, run=run, output_rows=0, stray_rows=0, output_bytes=0
+            ).asDict()
+            values["elapsed_sec"] = took
+            counted = {"quarantined_rows": None if held is None else held.get(month, 0)}
+            if month in bad:
+                told = {"yyyymm": month, "status": "FAILED", "error": f"audit: {bad[month]}"}
+                rows.append(_line({**told, **counted}))
+            else:
+                made.append(Row(**values))
+                rows.append(_line({**values, **counted, "status": "OK"}))
 
-    seconds: dict[str, float] = {}
     if todo:
         try:
-            took = write(todo)
-            seconds = dict.fromkeys(todo, took)
+            write(todo)
         except Exception:  # noqa: BLE001 - the cause is found month by month
             for month in todo:
                 try:
-                    seconds[month] = write([month])
+                    write([month])
                 except Exception as error:  # noqa: BLE001
-                    rows.append((month, "FAILED", *none[:-1], f"{type(error).__name__}: {error}"))
-    result = spark.createDataFrame(rows, LEDGER_SCHEMA)
-    if seconds:
-        result = result.unionByName(_written(spark, output, schemas[-1], seconds, value))
-    result = settled(result)
+                    told = f"{type(error).__name__}: {error}"
+                    rows.append(_line({"yyyymm": month, "status": "FAILED", "error": told}))
+    if made:
+        table.publish_months(made, versions[-1] if versions else 0)
+    result = settled(spark.createDataFrame(rows, LEDGER_SCHEMA))
     result.write.mode("append").parquet(ledger)
     return result
 
 
-def _written(
-    spark: SparkSession, output: str, schema: T.StructType, seconds: dict[str, float], value: str
-) -> DataFrame:
-    """A ledger row for each month of this run, read from what was written."""
-    months = spark.createDataFrame(sorted(seconds.items()), "yyyymm string, elapsed_sec double")
-    rows = spark.read.schema(schema).parquet(output)
-    counts = (
-        rows.groupBy("yyyymm")
-        .agg(
-            F.count("*").alias("output_rows"),
-            F.sum(value).cast("double").alias("total_sum"),
-            F.count_if(month_key(F.col("date")) != F.col("yyyymm")).alias("stray_rows"),
-        )
-        .join(months.select("yyyymm"), "yyyymm", "left_semi")
-    )
+def _quarantine(lines: DataFrame, folder: str) -> dict[str, int]:
+    """Store the lines by month; how many each month has."""
+    lines.write.partitionBy("yyyymm").parquet(folder)
+    schema = "file string, line string, yyyymm string"
+    found = lines.sparkSession.read.schema(schema).parquet(folder).groupBy("yyyymm").count().collect()
+    return {r.yyyymm: r["count"] for r in found}
 
-    def none_is_zero(name: str):
-        return F.coalesce(name, F.lit(0)).cast("bigint").alias(name)
 
-    sizes = readers.files(spark, output, "*.parquet").groupBy("yyyymm").agg(F.sum("bytes").alias("output_bytes"))
-    return (
-        months.join(counts, "yyyymm", "left")
-        .join(sizes, "yyyymm", "left")
-        .select(
-            "yyyymm",
-            F.lit("OK").alias("status"),
-            none_is_zero("output_rows"),
-            "total_sum",
-            none_is_zero("stray_rows"),
-            none_is_zero("output_bytes"),
-            "elapsed_sec",
-            F.lit(None).cast("string").alias("error"),
-        )
-    )
+def _line(values: dict) -> tuple:
+    """A row of the ledger."""
+    return tuple(values.get(f.split()[0]) for f in LEDGER_SCHEMA.split(", "))
+
+
+def keeps_totals(feed_totals: DataFrame, value: str, tolerance: float = 1e-9) -> Audit:
+    """An audit: the total of each month is that of its feed (yyyymm, total), to `tolerance`."""
+
+    def audit(made: DataFrame, months: list[str]) -> dict[str, str]:
+        wanted = feed_totals.filter(F.col("yyyymm").isin(months)).select("yyyymm", F.col("total").cast("double").alias("w"))
+        sums = made.groupBy("yyyymm").agg(F.sum(value).cast("double").alias("g"))
+        both = wanted.join(sums, "yyyymm", "full").na.fill(0.0, ["w", "g"])
+        off = F.abs(F.col("w") - F.col("g")) > tolerance * F.greatest(F.abs("w"), F.abs("g"))
+        return {r.yyyymm: f"total {r.g}, feed has {r.w}" for r in both.filter(off).collect()}
+
+    return audit
+
+
+def full_groups(keys: list[str], size: int) -> Audit:
+    """An audit: every group of `keys` within a month has exactly `size` rows."""
+
+    def audit(made: DataFrame, months: list[str]) -> dict[str, str]:
+        wrong = made.groupBy("yyyymm", *keys).count().filter(F.col("count") != size)
+        found = wrong.groupBy("yyyymm").agg(F.count("*").alias("n"))
+        return {r.yyyymm: f"{r.n} groups of {keys} have not {size} rows" for r in found.collect()}
+
+    return audit
+
+
+def all_of(*audits: Audit) -> Audit:
+    """The objections of several audits; a month's first one counts."""
+
+    def audit(made: DataFrame, months: list[str]) -> dict[str, str]:
+        found: dict[str, str] = {}
+        for one in audits:
+            found = {**one(made, months), **found}
+        return found
+
+    return audit

@@ -7,7 +7,7 @@ lose syllables.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -17,6 +17,7 @@ from ebbflow.operators import employment
 from ebbflow.operators.ili import SLOT_COLUMNS
 
 KOREAN = "MS949"
+CORRUPT = "_corrupt"
 
 MOVEMENT_SCHEMA = T.StructType(
     [
@@ -41,12 +42,6 @@ POPULATION_SCHEMA = T.StructType(
         T.StructField("POP", T.DoubleType()),
     ]
 )
-CODE_BOOK_SCHEMA = T.StructType(
-    [
-        T.StructField(c, T.StringType())
-        for c in ("sido_cd", "sido_nm", "sgg_cd", "sgg_nm", "admdong_cd", "admdong_nm")
-    ]
-)
 
 
 def korean_charsets(spark: SparkSession) -> SparkSession:
@@ -55,8 +50,11 @@ def korean_charsets(spark: SparkSession) -> SparkSession:
 
 
 def _csv(spark: SparkSession, path: str | Sequence[str], schema: T.StructType, **options) -> DataFrame:
+    """CSV of a known header: a file with other columns, or in another order, fails, and so does a
+    row that does not parse. Every column is parsed, or a header would be checked in part only."""
     paths = path if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).options(mode="FAILFAST", **options).csv(paths)
+    strict = {"mode": "FAILFAST", "enforceSchema": False, "columnPruning": False}
+    return spark.read.schema(schema).options(**{**strict, **options}).csv(paths)
 
 
 def movement_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -67,8 +65,30 @@ def population_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     return _csv(spark, path, POPULATION_SCHEMA, header=True)
 
 
-def code_book_csv(spark: SparkSession, path: str) -> DataFrame:
-    return _csv(spark, path, CODE_BOOK_SCHEMA, header=True)
+def split_feed(
+    spark: SparkSession, path: str | Sequence[str], schema: T.StructType
+) -> tuple[DataFrame, DataFrame]:
+    """The rows of a feed that parse, and the others as they stand: two tables over the same files.
+
+    Both have `yyyymm`, the month in the name of the row's file (null if the name has none). The
+    others, for a quarantine, are `file` and `line`: a value of the wrong type, or too few or too
+    many values. A file of another header fails either way.
+    """
+    names = schema.names
+    text = T.StructType([T.StructField(c, T.StringType()) for c in [*names, CORRUPT]])
+    read = _csv(spark, path, text, header=True, mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT)
+    file = F.col("_metadata.file_path")
+    month = F.nullif(F.regexp_extract(file, r"_(\d{6})[^/]*$", 1), F.lit(""))
+    placed = read.select("*", file.alias("file"), month.alias("yyyymm"))
+    # Spark's parser looks at the columns of a query only; here every column decides in every query.
+    cast = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields}
+    whole = F.col(CORRUPT).isNull()
+    for c in names:
+        whole = whole & (F.col(c).isNull() | cast[c].isNotNull())
+    good = placed.filter(whole).select(*[v.alias(c) for c, v in cast.items()], "yyyymm")
+    line = F.coalesce(F.col(CORRUPT), F.to_csv(F.struct(*names)))
+    bad = placed.filter(~whole).select("yyyymm", "file", line.alias("line"))
+    return good, bad
 
 
 def census_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
@@ -108,11 +128,18 @@ def employment_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def ili_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Ragged season rows: short rows are padded with null, blank lines dropped."""
+    """Ragged season rows: short rows are padded with null, blank lines dropped.
+
+    A row with a value past the last slot fails when the result is computed.
+    """
     korean_charsets(spark)
-    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["season", *SLOT_COLUMNS]])
+    over = "_over"
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in ["season", *SLOT_COLUMNS, over]])
     paths = path if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).options(encoding=KOREAN, mode="PERMISSIVE").csv(paths)
+    read = spark.read.schema(schema).options(encoding=KOREAN, mode="PERMISSIVE").csv(paths)
+    message = f"season row of more than {len(SLOT_COLUMNS)} weeks"
+    some = F.when(F.col(over).isNull(), F.col("season")).otherwise(F.raise_error(F.lit(message)))
+    return read.withColumn("season", some).drop(over)
 
 
 def ili_by_age_csv(spark: SparkSession, directory: str) -> DataFrame:
@@ -151,9 +178,41 @@ def parquet(spark: SparkSession, path: str | Sequence[str], columns: Sequence[st
     return df.select(*columns) if columns else df
 
 
-def months(spark: SparkSession, root: str, first: str, last: str) -> DataFrame:
-    """Months [first, last] of a table partitioned by yyyymm: other folders are not read."""
-    return spark.read.parquet(root).filter(
+def merge_schemas(schemas: Iterable[T.StructType]) -> T.StructType:
+    """One schema with the columns of all, in the order in which they first appear. A column of
+    two types fails."""
+    found: dict[str, T.StructField] = {}
+    for schema in schemas:
+        for f in schema.fields:
+            known = found.setdefault(f.name, T.StructField(f.name, f.dataType))
+            if known.dataType != f.dataType:
+                raise ValueError(
+                    f"column {f.name} is {known.dataType.simpleString()} in one month and "
+                    f"{f.dataType.simpleString()} in another"
+                )
+    return T.StructType(list(found.values()))
+
+
+def month_schemas(spark: SparkSession, root: str) -> dict[str, T.StructType]:
+    """The schema of each month of a table partitioned by yyyymm, oldest first: the footer of one
+    file a month, since a month is written by one run."""
+    one = files(spark, root, "*.parquet").groupBy("yyyymm").agg(F.min("path").alias("path")).collect()
+    return {r.yyyymm: spark.read.parquet(r.path).schema for r in sorted(one, key=lambda r: r.yyyymm)}
+
+
+def months(
+    spark: SparkSession, root: str, first: str, last: str, schemas: dict[str, T.StructType] | None = None
+) -> DataFrame:
+    """Months [first, last] of a table partitioned by yyyymm: other folders are not read.
+
+    Months may differ in their columns (some have `purpose`): the result has those of all the
+    months of the table, null where a month has none, whichever file Spark meets first. `schemas`
+    are those of `month_schemas`, if the caller has them.
+    """
+    known = month_schemas(spark, root) if schemas is None else schemas
+    fields = [f for f in merge_schemas(known.values()).fields if f.name != "yyyymm"]
+    schema = T.StructType([*fields, T.StructField("yyyymm", T.IntegerType())])
+    return spark.read.schema(schema).parquet(root).filter(
         F.col("yyyymm").cast("string").between(F.lit(first), F.lit(last))
     )
 

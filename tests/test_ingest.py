@@ -6,6 +6,7 @@ from ebbflow.functions.columns import month_key
 from ebbflow.operators import mobility, quality, series
 from ebbflow.session import shared_dir
 from ebbflow.sources import ingest, sinks
+from ebbflow.sources.published import FileChanged, MonthTable
 from ebbflow.streaming import ingest as stream
 from test_mobility import RAW, areas, cells, raw  # noqa: F401
 
@@ -29,11 +30,12 @@ def test_a_stray_row_cannot_replace_its_month(spark, raw, cells):  # noqa: F811
     load = lambda ms: feed.filter(F.col("yyyymm").isin(ms))
     args = (f"{path}/out", f"{path}/ledger", "total", ORDER)
     ingest.run(spark, load, refine, january, two.limit(0), two, *args)
-    before = rows(spark.read.parquet(args[0]).drop("yyyymm"))
+    before = rows(MonthTable(spark, args[0]).read().drop("yyyymm"))
     got = ingest.run(spark, load, refine, two, january, two, *args)
     by_month = {r.yyyymm: (r.status, r.output_rows, r.stray_rows) for r in got.collect()}
     assert by_month == {"202301": ("SKIPPED", None, None), "202302": ("OK", 1, 1)}
-    assert rows(spark.read.parquet(args[0]).filter("yyyymm = 202301").drop("yyyymm")) == before
+    assert rows(MonthTable(spark, args[0]).read("202301", "202301").drop("yyyymm")) == before
+    assert len(MonthTable(spark, args[0]).read().inputFiles()) == 2
 
 
 def test_months_without_output_have_a_ledger_row(spark, raw, cells):  # noqa: F811
@@ -60,7 +62,7 @@ def test_run_is_idempotent_and_keeps_a_ledger(spark, raw, cells):  # noqa: F811
     done = spark.read.parquet(args[1]).filter("status = 'OK'").select("yyyymm")
     again = ingest.run(spark, load, refine, expected, done, have, *args)
     assert {r.status for r in again.collect()} == {"SKIPPED", "MISSING_INPUT"}
-    assert spark.read.parquet(args[0]).count() == 4 and spark.read.parquet(args[1]).count() == 4
+    assert MonthTable(spark, args[0]).read().count() == 4 and spark.read.parquet(args[1]).count() == 4
 
 
 def test_a_bad_month_fails_alone(spark, raw, cells):  # noqa: F811
@@ -76,23 +78,110 @@ def test_a_bad_month_fails_alone(spark, raw, cells):  # noqa: F811
     assert got["202302"].status == "FAILED" and got["202302"].error
 
 
-def test_stream_equals_batch_and_replay_changes_nothing(spark, raw, cells, areas):  # noqa: F811
+def test_a_run_that_dies_shows_the_old_months(spark, raw, cells, monkeypatch):  # noqa: F811
+    path = shared_dir(spark)
+    january = months(spark, "202301")
+    args = (january, january.limit(0), january, f"{path}/out", f"{path}/ledger", "total", ORDER)
+    table = MonthTable(spark, f"{path}/out")
+    ingest.run(spark, lambda ms: fed(raw), lambda df: mobility.refine(df, cells), *args)
+    before, listed = rows(table.read()), table.months().collect()
+    doubled = fed(raw).withColumn("TOTAL", F.col("TOTAL") * 2)
+
+    def die(self, *_, **__):
+        raise KeyboardInterrupt
+
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthTable, "publish", die)
+        with pytest.raises(KeyboardInterrupt):
+            ingest.run(spark, lambda ms: doubled, lambda df: mobility.refine(df, cells), *args)
+    assert rows(table.read()) == before and table.months().collect() == listed
+    assert len(table.unpublished()) == 1
+    ingest.run(spark, lambda ms: doubled, lambda df: mobility.refine(df, cells), *args)
+    assert table.months().first().total_sum == 26.0 and table.read().count() == 4
+    # the ledger of what was published, from the manifests alone
+    history = [(r.version, r.yyyymm, r.output_rows, r.total_sum) for r in table.ledger().orderBy("version").collect()]
+    assert history == [(1, "202301", 4, 13.0), (2, "202301", 4, 26.0)]
+    with pytest.raises(RuntimeError, match="published since"):
+        table.publish([], base=1)
+
+
+def test_audits_keep_months_back(spark, raw, cells):  # noqa: F811
+    path = shared_dir(spark)
+    two = months(spark, "202301", "202302")
+    feed = fed(raw).unionByName(fed(raw).withColumns({"ETL_YMD": F.lit(20230201), "yyyymm": F.lit("202302")}))
+    totals = spark.createDataFrame([("202301", 13.0), ("202302", 12.0)], "yyyymm string, total double")
+    audit = ingest.all_of(ingest.keeps_totals(totals, "total"), ingest.full_groups(["date", "hour"], 99))
+    run = lambda a: ingest.run(
+        spark, lambda ms: feed.filter(F.col("yyyymm").isin(ms)), lambda df: mobility.refine(df, cells),
+        two, two.limit(0), two, f"{path}/out", f"{path}/ledger", "total", ORDER, a)
+    got = {r.yyyymm: (r.status, r.error) for r in run(ingest.keeps_totals(totals, "total")).collect()}
+    assert got["202301"] == ("OK", None) and got["202302"][0] == "FAILED" and "feed has 12.0" in got["202302"][1]
+    assert [r.yyyymm for r in MonthTable(spark, f"{path}/out").months().collect()] == ["202301"]
+    both = {r.yyyymm: r.error for r in run(audit).collect()}
+    assert "have not 99 rows" in both["202301"] and "feed has" in both["202302"]
+
+
+def landed(spark, part, path, cells, mark):  # noqa: F811
+    part.coalesce(1).write.mode("append").parquet(f"{path}/landing")
+    feed = stream.stream_files(spark, f"{path}/landing", part.schema, "parquet", "*.parquet")
+    stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/{mark}")
+    return feed
+
+
+def test_stream_equals_batch_whatever_is_lost(spark, raw, cells, areas):  # noqa: F811
     path = shared_dir(spark)
     batch = rows(mobility.refine(raw, cells, areas))
-    # two files of one month, arriving in two runs
-    for part in (raw.filter("TOTAL > 3"), raw.filter("TOTAL <= 3")):
-        part.coalesce(1).write.mode("append").parquet(f"{path}/landing")
-        feed = stream.stream_files(spark, f"{path}/landing", raw.schema, "parquet", "*.parquet")
-        stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/mark")
+    table = MonthTable(spark, f"{path}/out")
+    # two files of one month; the second run has lost the checkpoint and meets the first again
+    landed(spark, raw.filter("TOTAL > 3"), path, cells, "mark")
+    feed = landed(spark, raw.filter("TOTAL <= 3"), path, cells, "other")
+    assert rows(stream.read_movement(spark, f"{path}/out", areas)) == batch
+    # neither a run without new files nor one more lost checkpoint adds anything
+    version = table.versions()[-1]
+    for mark in ("other", "third"):
+        stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/{mark}")
+    assert table.versions()[-1] == version and len(table.files()) == 2
+    assert rows(stream.read_movement(spark, f"{path}/out", areas)) == batch
+    # a read touches one folder a month after the folders are merged
+    assert len({f.rsplit("/", 1)[0] for f in table.read().inputFiles()}) == 2
+    assert stream.compact_movement(spark, f"{path}/out") == ["202301"]
+    assert len({f.rsplit("/", 1)[0] for f in table.read().inputFiles()}) == 1
     assert rows(stream.read_movement(spark, f"{path}/out", areas)) == batch
-    # a run without new files adds nothing; replaying a batch overwrites its own folders
-    stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/mark")
-    sums = mobility.refine_partials(raw.filter("TOTAL <= 3"), cells).withColumn("batch", F.lit(1))
-    sinks.write_months(sums, f"{path}/out", mobility.partial_keys(), extra=["batch"])
+    assert stream.compact_movement(spark, f"{path}/out") == [] and len(table.files()) == 2
+    stream.ingest_movement(feed, cells, f"{path}/out", f"{path}/fourth")
     assert rows(stream.read_movement(spark, f"{path}/out", areas)) == batch
     assert RAW.startswith("ETL_YMD")
 
 
+def test_a_batch_that_dies_before_it_publishes_adds_nothing(spark, raw, cells, areas, monkeypatch):  # noqa: F811
+    path = shared_dir(spark)
+    raw.coalesce(1).write.parquet(f"{path}/landing")
+    batch = spark.read.parquet(f"{path}/landing").select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_modification_time").cast("string").alias("_modified"))
+    take = lambda df: stream.take(
+        df, lambda b: mobility.refine_partials(b, cells), mobility.partial_keys(), "total", f"{path}/out")
+    with monkeypatch.context() as patch:
+        patch.setattr(MonthTable, "publish", lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            take(batch)
+    assert MonthTable(spark, f"{path}/out").versions() == []
+    take(batch)
+    take(batch)  # a replay
+    assert rows(stream.read_movement(spark, f"{path}/out", areas)) == rows(mobility.refine(raw, cells, areas))
+    with pytest.raises(FileChanged):
+        take(batch.withColumn("_modified", F.lit("later")))
+
+
+def test_empty_files_and_unknown_months(spark, raw, cells, areas):  # noqa: F811
+    path = shared_dir(spark)
+    landed(spark, raw.limit(0), path, cells, "mark")
+    table = MonthTable(spark, f"{path}/out")
+    assert table.versions() == [] and table.unpublished() != [""]
+    with pytest.raises(ValueError, match="no such month"):
+        table.read("209901")
+    assert table.read(schema=raw.schema).count() == 0 and table.ledger().count() == 0
+
+
 def test_stream_reads_csv_files(spark, raw, cells, areas):  # noqa: F811
     path = shared_dir(spark)
     sinks.write_csv(raw, f"{path}/landing")

@@ -1,10 +1,13 @@
 import pytest
+from pyspark.sql import functions as F
 from support import rows
 
 from ebbflow import vocab
-from ebbflow.operators import census, claims, employment, ili
+from ebbflow.functions.columns import month_key
+from ebbflow.operators import census, claims, employment, ili, population
 from ebbflow.plans.bindings import CENSUS_HEADERS
-from ebbflow.sources import readers, sinks
+from ebbflow.sources import ingest, readers, sinks
+from ebbflow.sources.published import MonthTable
 
 
 def cp949(path, text):
@@ -148,3 +151,103 @@ def test_month_partitions_are_pruned(spark, tmp_path):
     assert some.count() == 2
     plan = some._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(yyyymm" in plan
+
+
+MOVEMENT = "ETL_YMD,TIME_CD,O_CELL_ID,D_CELL_ID,SEX_CD,AGE_CD,PURPOSE,TOTAL,AVG_DIST,AVG_TIME"
+POPULATION = "ETL_YMD,TIMEZN_CD,ADMDONG_CD,SEX_AGE_CD,POP"
+ROW = {MOVEMENT: "20230101,0830,001,002,M,20,1,2.5,100,7", POPULATION: "20230101,03,01110515,M05,1.5"}
+
+
+@pytest.mark.parametrize("head", [MOVEMENT, POPULATION])
+def test_another_header_fails(spark, tmp_path, head):
+    read = readers.movement_csv if head is MOVEMENT else readers.population_csv
+    schema = readers.MOVEMENT_SCHEMA if head is MOVEMENT else readers.POPULATION_SCHEMA
+    names, values = head.split(","), ROW[head].split(",")
+    swapped = [2, 3] if head is MOVEMENT else [2, 3]
+    order = list(range(len(names)))
+    order[swapped[0]], order[swapped[1]] = swapped[1], swapped[0]
+    cases = {
+        "swapped": ([names[i] for i in order], [values[i] for i in order]),
+        "missing": (names[:-1], values[:-1]),
+        "extra": ([*names, "MORE"], [*values, "1"]),
+        "other": ([*names[:-1], "LAST"], values),
+    }
+    for case, (header, row) in cases.items():
+        path = tmp_path / f"{case}.csv"
+        path.write_text(",".join(header) + "\n" + ",".join(row) + "\n")
+        for wanted in (["ETL_YMD"], names):
+            with pytest.raises(Exception, match="[Hh]eader"):
+                read(spark, str(path)).select(*wanted).collect()
+        with pytest.raises(Exception, match="[Hh]eader"):
+            readers.split_feed(spark, str(path), schema)[1].collect()
+    good = tmp_path / "good.csv"
+    good.write_text(head + "\n" + ROW[head] + "\n")
+    assert read(spark, str(good)).select("ETL_YMD").count() == 1
+    with pytest.raises(Exception):  # one file of several
+        read(spark, [str(good), str(tmp_path / "swapped.csv")]).collect()
+
+
+def test_lines_that_do_not_parse_go_to_quarantine(spark, tmp_path):
+    for month, lines in {
+        "202301": ["20230101,03,A,M05,1.5", "20230101,03,A,M05,x", "20230102,03,A,M05", "20230103,03,A,M05,1,2"],
+        "202302": ["20230201,03,A,M05,2"],
+    }.items():
+        (tmp_path / f"population_{month}.csv").write_text("\n".join([POPULATION, *lines]) + "\n")
+    good, bad = readers.split_feed(spark, str(tmp_path), readers.POPULATION_SCHEMA)
+    assert rows(good, "ETL_YMD", "POP", "yyyymm") == [(20230101, 1.5, "202301"), (20230201, 2.0, "202302")]
+    assert rows(bad, "yyyymm", "line") == [
+        ("202301", "20230101,03,A,M05,x"), ("202301", "20230102,03,A,M05"), ("202301", "20230103,03,A,M05,1,2")]
+    assert all(r.file.endswith("population_202301.csv") for r in bad.collect())
+
+
+def test_quarantine_is_counted_in_the_ledger(spark, tmp_path):
+    feed, out = tmp_path / "feed", str(tmp_path / "out")
+    feed.mkdir()
+    (feed / "population_202301.csv").write_text(f"{POPULATION}\n20230101,03,A,M05,1.5\n20230101,03,A,M05,x\n")
+    (feed / "population_202302.csv").write_text(f"{POPULATION}\n20230201,03,A,M05,2\n")
+    (feed / "population_202303.csv").write_text("ETL_YMD,TIMEZN_CD,SEX_AGE_CD,ADMDONG_CD,POP\n20230301,03,M05,A,2\n")
+    split = lambda ms: readers.split_feed(
+        spark, [f"{feed}/population_{m}.csv" for m in ms], readers.POPULATION_SCHEMA)
+    areas = spark.createDataFrame([("A",)], "admdong_cd string")
+
+    def refine(raw):
+        return population.sums(raw, areas).withColumn("yyyymm", month_key(F.col("date")))
+
+    three = spark.createDataFrame([("202301",), ("202302",), ("202303",)], "yyyymm string")
+    got = ingest.run(
+        spark, lambda ms: split(ms)[0], refine, three, three.limit(0), readers.files(spark, str(feed)),
+        out, str(tmp_path / "ledger"), "pop", ["hour"], malformed=lambda ms: split(ms)[1])
+    lines = {r.yyyymm: r for r in got.collect()}
+    assert [(lines[m].status, lines[m].output_rows, lines[m].quarantined_rows) for m in sorted(lines)] == [
+        ("OK", 1, 1), ("OK", 1, 0), ("FAILED", None, None)]
+    assert "eader" in lines["202303"].error
+    kept = spark.read.parquet(f"{out}/quarantine").filter("line IS NOT NULL")
+    assert {r.line for r in kept.collect()} == {"20230101,03,A,M05,x"}
+
+
+def test_a_long_season_row_fails(spark, tmp_path):
+    for n in (55, 60):
+        path = cp949(tmp_path / f"{n}.csv", '"2018-2019절기",' + ",".join(["1"] * n) + "\n")
+        with pytest.raises(Exception, match="more than 54 weeks"):
+            ili.to_long(readers.ili_csv(spark, path)).collect()
+
+
+@pytest.mark.parametrize("first", [True, False])
+def test_months_of_other_columns(spark, tmp_path, first):
+    path = str(tmp_path / "t")
+    with_, without = ("202301", "202302") if first else ("202302", "202301")
+    row = lambda m: int(m + "01")
+    a = spark.createDataFrame([(row(with_), 1.0, 7)], "date int, v double, purpose int")
+    b = spark.createDataFrame([(row(without), 2.0)], "date int, v double")
+    table = MonthTable(spark, str(tmp_path / "published"))
+    for df in (a, b):
+        sinks.write_months(df, path, ["v"])
+        table.publish_months(table.measure(table.stage(df, ["v"]), df, "v"))
+    want = sorted([(row(with_), 1.0, 7), (row(without), 2.0, None)])
+    assert rows(readers.months(spark, path, "202301", "202302"), "date", "v", "purpose") == want
+    assert rows(table.read(), "date", "v", "purpose") == want
+    one = readers.months(spark, path, without, without)
+    assert rows(one, "date", "v", "purpose") == [(row(without), 2.0, None)]
+    sinks.write_months(spark.createDataFrame([(20230301, "x")], "date int, v string"), path, ["v"])
+    with pytest.raises(ValueError, match="column v"):
+        readers.months(spark, path, "202301", "202302")
