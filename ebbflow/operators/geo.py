@@ -9,6 +9,7 @@ from ebbflow.functions import geometry
 from ebbflow.functions.columns import distance_band, ratio, speed_kmh, straight_distance
 from ebbflow.joins import same_rows, small
 from ebbflow.operators import stats
+from ebbflow.session import settled
 
 # Polygon tiles carry their vertices, 16 bytes each: both bounds must hold for a broadcast.
 MAX_POLYGON_TILES = 50_000
@@ -66,16 +67,16 @@ def with_straight_distance(od: DataFrame, centroids: DataFrame, minimum: float =
     )
 
 
-def band_consistency(trips: DataFrame) -> DataFrame:
-    """Per distance band: quartiles of the ratio, medians of both distances and rows."""
-    measures = ["ratio", "avg_dist", "straight_dist_m"]
-    # The three measures become rows of one table, so the trips are read once.
-    rows = F.array(*[F.struct(F.lit(m).alias("measure"), F.col(m).alias("v")) for m in measures])
+def band_consistency(trips: DataFrame, settle: bool = True) -> DataFrame:
+    """Per distance band: quartiles of the ratio, medians of both distances and rows.
+
+    `settle=False` for trips that are a stored table (`stats.exact_quantiles`).
+    """
     band = distance_band(F.col("straight_dist_m"))
-    long = trips.select(band.alias("dist_bin"), F.inline(rows))
-    q = stats.exact_quantiles(
-        long, ["dist_bin", "measure"], "v", [0.25, 0.5, 0.75],
-        max_groups=len(vocab.DISTANCE_BANDS) * len(measures),
+    measures = {m: F.col(m) for m in ("ratio", "avg_dist", "straight_dist_m")}
+    q = stats.measured_quantiles(
+        trips.withColumn("dist_bin", band), ["dist_bin"], measures, [0.25, 0.5, 0.75],
+        max_groups=len(vocab.DISTANCE_BANDS), settle=settle,
     )
     of = lambda measure, column: F.max(F.when(F.col("measure") == measure, F.col(column)))
     return q.groupBy("dist_bin").agg(
@@ -94,38 +95,57 @@ def band_verdict(bands: DataFrame, limit: float = 0.30) -> DataFrame:
     return bands.agg(cv.alias("ratio_cv")).withColumn("consistent", F.col("ratio_cv") < limit)
 
 
-def speed_table(trips: DataFrame, min_straight: float = 500) -> DataFrame:
+def speed_table(trips: DataFrame, min_straight: float = 500, settle: bool = True) -> DataFrame:
     """Quartiles of the speed under each unit hypothesis; plausible if the median is 10-50."""
     kept = trips.filter((F.col("avg_time") > 0) & (F.col("straight_dist_m") > min_straight))
-    speeds = F.array(
-        *[
-            F.struct(
-                F.lit(h).alias("hypothesis"),
-                speed_kmh(F.col("avg_dist"), F.col("avg_time"), h).alias("speed"),
-            )
-            for h in vocab.SPEED_HYPOTHESES
-        ]
-    )
-    long = kept.select(F.inline(speeds)).filter((F.col("speed") > 0) & (F.col("speed") < 1000))
-    q = stats.exact_quantiles(
-        long, ["hypothesis"], "speed", [0.25, 0.5, 0.75], max_groups=len(vocab.SPEED_HYPOTHESES)
-    )
+    kept = kept.select("avg_dist", "avg_time")
+    if settle:
+        kept = settled(kept)
+    speeds = {h: speed_kmh(F.col("avg_dist"), F.col("avg_time"), h) for h in vocab.SPEED_HYPOTHESES}
+    measures = {h: F.when((v > 0) & (v < 1000), v) for h, v in speeds.items()}
+    q = stats.measured_quantiles(kept, [], measures, [0.25, 0.5, 0.75], max_groups=1, settle=False)
     return q.select(
-        "hypothesis", "p25", "p50", "p75", F.col("p50").between(10, 50).alias("plausible")
+        F.col("measure").alias("hypothesis"), "p25", "p50", "p75", F.col("p50").between(10, 50).alias("plausible")
     )
 
 
-def unit_verdicts(same_area_median: DataFrame, ratio_median: DataFrame, bands: DataFrame) -> DataFrame:
+def unit_medians(od: DataFrame, centroids: DataFrame, minimum: float = 100, settle: bool = True) -> DataFrame:
+    """The facts of `unit_verdicts` in one run over the trips: the median distance within areas
+    (same_p50), the median ratio of crossing trips (ratio_p50) and the coefficient of variation of
+    its medians by distance band (ratio_cv)."""
+    points = small(centroids, ["admdong_cd", "ctr_x", "ctr_y"])
+    placed = (
+        od.filter(F.col("avg_dist") > 0)
+        .join(points.toDF("o_admdong_cd", "o_x", "o_y"), "o_admdong_cd", "left")
+        .join(points.toDF("d_admdong_cd", "d_x", "d_y"), "d_admdong_cd", "left")
+    )
+    same = F.col("o_admdong_cd") == F.col("d_admdong_cd")
+    straight = straight_distance(F.col("o_x"), F.col("o_y"), F.col("d_x"), F.col("d_y"))
+    trips = placed.select(
+        "avg_dist", same.alias("same"), F.when(~same & (straight > minimum), straight).alias("straight")
+    ).filter(F.col("same") | F.col("straight").isNotNull())
+    if settle:
+        trips = settled(trips)
+    quotient = ratio(F.col("avg_dist"), F.col("straight"))
+    band = distance_band(F.col("straight"))
+    bands = {label: F.when(band == label, quotient) for _, label in vocab.DISTANCE_BANDS}
+    measures = {"same": F.when(F.col("same"), F.col("avg_dist")), "ratio": quotient, **bands}
+    q = stats.measured_quantiles(trips, [], measures, [0.5], max_groups=1, settle=False)
+    of_band = F.when(F.col("measure").isin(list(bands)), F.col("p50"))
+    return q.agg(
+        F.max(F.when(F.col("measure") == "same", F.col("p50"))).alias("same_p50"),
+        F.max(F.when(F.col("measure") == "ratio", F.col("p50"))).alias("ratio_p50"),
+        ratio(F.stddev(of_band), F.avg(of_band)).alias("ratio_cv"),
+    )
+
+
+def unit_verdicts(facts: DataFrame) -> DataFrame:
     """What the same-area median, the ratio median and the bands say about the distance unit."""
     same = F.col("same_p50")
-    ratio_p50 = ratio_median.select("p50").scalar()
-    facts = same_area_median.select(
-        F.col("p50").alias("same_p50"),
-        ratio_p50.alias("ratio_p50"),
-        band_verdict(bands).select("ratio_cv").scalar().alias("ratio_cv"),
-    )
     return facts.select(
-        "*",
+        "same_p50",
+        "ratio_p50",
+        "ratio_cv",
         F.when(same.between(100, 2000), "m").when(same.between(1, 20), "100m").otherwise("other").alias(
             "same_verdict"
         ),

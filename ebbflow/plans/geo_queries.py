@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.operators import geo, stats
+from ebbflow.operators import geo
 from ebbflow.plans.bindings import LOT_M, Inputs
 from ebbflow.plans.catalog import query, rounded
 
@@ -13,11 +13,6 @@ def _straight(i: Inputs) -> DataFrame:
     return geo.with_straight_distance(i.od, geo.measure(i.area_polygons, "admdong_cd"))
 
 
-def _same_median(i: Inputs) -> DataFrame:
-    same = i.od.filter((F.col("o_admdong_cd") == F.col("d_admdong_cd")) & (F.col("avg_dist") > 0))
-    return stats.exact_quantiles(same, [], "avg_dist", [0.5], max_groups=1)
-
-
 BANDS_SQL = """
     SELECT dist_bin, round(quantile_cont(ratio, 0.25), 6) AS ratio_p25, round(median(ratio), 6) AS ratio_p50,
       round(quantile_cont(ratio, 0.75), 6) AS ratio_p75, round(median(avg_dist), 6) AS avg_dist_p50,
@@ -69,10 +64,8 @@ def speed_table(i: Inputs) -> DataFrame:
           (SELECT median(ratio) FROM straight) AS ratio_p50, {CV} AS ratio_cv)""",
 )
 def unit_verdicts(i: Inputs) -> DataFrame:
-    trips = _straight(i)
-    ratios = stats.exact_quantiles(trips, [], "ratio", [0.5], max_groups=1)
-    out = geo.unit_verdicts(_same_median(i), ratios, geo.band_consistency(trips))
-    return rounded(out, "same_p50", "ratio_p50", "ratio_cv")
+    facts = geo.unit_medians(i.od, geo.measure(i.area_polygons, "admdong_cd"))
+    return rounded(geo.unit_verdicts(facts), "same_p50", "ratio_p50", "ratio_cv")
 
 
 @query(

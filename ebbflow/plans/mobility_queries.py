@@ -175,10 +175,11 @@ def age_hour_profile(i: Inputs) -> DataFrame:
 
 @query(
     "a34_log_histogram",
-    """SELECT bin, round(10 ** (lo + bin * (hi - lo) / 59), 4) AS "left", sum(total) AS count FROM (
+    """SELECT b.bin, round(10 ** (any_value(lo) + b.bin * (any_value(hi) - any_value(lo)) / 59), 4) AS "left",
+         coalesce(sum(total) FILTER (x.bin = b.bin), 0) AS count FROM (SELECT unnest(range(59))::INTEGER AS bin) b, (
          SELECT *, least(coalesce(floor((t - lo) / nullif((hi - lo) / 59, 0)), 0), 58)::INTEGER AS bin FROM (
            SELECT total, log10(avg_dist) AS t, (SELECT log10(greatest(min(avg_dist), 1e-3)) FROM od WHERE avg_dist > 0) AS lo,
-             (SELECT log10(max(avg_dist)) FROM od WHERE avg_dist > 0) AS hi FROM od WHERE avg_dist > 0) WHERE t >= lo) GROUP BY bin, lo, hi""",
+             (SELECT log10(max(avg_dist)) FROM od WHERE avg_dist > 0) AS hi FROM od WHERE avg_dist > 0) WHERE t >= lo) x GROUP BY b.bin""",
 )
 def log_histogram(i: Inputs) -> DataFrame:
     out = stats.histogram(i.od, "avg_dist", 59, weight="total", scale="log10", floor=1e-3)
@@ -187,10 +188,12 @@ def log_histogram(i: Inputs) -> DataFrame:
 
 @query(
     "a35_histogram",
-    """SELECT grp, bin, round(lo + bin * (hi - lo) / 40, 6) AS "left", round(lo + (bin + 1) * (hi - lo) / 40, 6) AS "right", count(*) AS count FROM (
+    """SELECT grp, b.bin, round(any_value(lo) + b.bin * (any_value(hi) - any_value(lo)) / 40, 6) AS "left",
+         round(any_value(lo) + (b.bin + 1) * (any_value(hi) - any_value(lo)) / 40, 6) AS "right",
+         count(*) FILTER (x.bin = b.bin) AS count FROM (SELECT unnest(range(40))::INTEGER AS bin) b, (
          SELECT *, least(floor((avg_dist - lo) / ((hi - lo) / 40)), 39)::INTEGER AS bin FROM (
            SELECT CASE WHEN age_10 >= 70 THEN 'old' ELSE 'other' END AS grp, avg_dist,
-             min(avg_dist) OVER () AS lo, max(avg_dist) OVER () AS hi FROM od WHERE avg_dist > 0 AND avg_dist < 20000)) GROUP BY grp, bin, lo, hi""",
+             min(avg_dist) OVER () AS lo, max(avg_dist) OVER () AS hi FROM od WHERE avg_dist > 0 AND avg_dist < 20000)) x GROUP BY grp, b.bin""",
 )
 def plain_histogram(i: Inputs) -> DataFrame:
     grp = F.when(F.col("age_10") >= 70, "old").otherwise("other")

@@ -6,6 +6,7 @@ from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from ebbflow.operators import stats
+from ebbflow.session import shared_dir
 
 PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.9, 0.99, 1.0]
 
@@ -84,7 +85,7 @@ def test_histogram_equals_numpy(spark):
     df = spark.createDataFrame([(float(v), 2.0) for v in values], "v double, w double")
     counts, edges = np.histogram(values, bins=20)
     got = {r.bin: r for r in stats.histogram(df, "v", 20).collect()}
-    assert [got[b]["count"] if b in got else 0 for b in range(20)] == list(counts)
+    assert [got[b]["count"] for b in range(20)] == list(counts) and 0 in counts
     assert all(math.isclose(got[b].left, edges[b]) for b in got)
     dense = stats.histogram(df, "v", 20, density=True).collect()
     assert math.isclose(sum(r.density * (r.right - r.left) for r in dense), 1.0)
@@ -106,7 +107,18 @@ def test_fixed_range_and_open_interval(spark):
 
 def test_single_value_histogram(spark):
     df = spark.createDataFrame([(3.0,), (3.0,)], "v double")
-    assert [(r.bin, r["count"]) for r in stats.histogram(df, "v", 5).collect()] == [(0, 2)]
+    assert sorted((r.bin, r["count"]) for r in stats.histogram(df, "v", 5).collect()) == [
+        (0, 2), (1, 0), (2, 0), (3, 0), (4, 0)]
+
+
+def test_histogram_has_every_bin_of_every_group(spark):
+    rows = [("a", 0.0), ("a", 10.0), ("b", 4.9)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    got = stats.histogram(df, "v", 4, keys=["g"], density=True).orderBy("g", "bin").collect()
+    assert [(r.g, r.bin, r["count"]) for r in got] == [
+        ("a", 0, 1), ("a", 1, 0), ("a", 2, 0), ("a", 3, 1), ("b", 0, 0), ("b", 1, 1), ("b", 2, 0), ("b", 3, 0)]
+    assert [(r.left, r.right) for r in got[:4]] == [(0.0, 2.5), (2.5, 5.0), (5.0, 7.5), (7.5, 10.0)]
+    assert stats.histogram(df.limit(0), "v", 4).count() == 0
 
 
 def test_shares_sum_to_one_and_zero_group_is_null(spark):
@@ -155,3 +167,63 @@ def test_tiny_and_huge_weights_keep_their_ranks(spark):
         df = spark.createDataFrame([("a", float(v), unit) for v in range(10)], "k string, v double, w double")
         got = stats.exact_quantiles(df, ["k"], "v", [0.5], method="weighted", weight="w").first()
         assert 4.0 in got.asDict().values()
+
+
+def test_a_weight_that_would_vanish_fails(spark):
+    df = spark.createDataFrame([(1.0, 1.0), (2.0, 1e-30)], "v double, w double")
+    with pytest.raises(Exception, match="below 1e-18"):
+        stats.exact_quantiles(df, [], "v", [0.5], method="weighted", weight="w").collect()
+
+
+def test_crowded_corners_are_cut_again(spark, monkeypatch):
+    """20,000 tiny values and an outlier, then values that differ in their last bits only."""
+    cuts, cut = [], stats._cut
+
+    def counting(hit, *args):
+        out = cut(hit, *args)
+        cuts.append(hit.count())
+        return out
+
+    monkeypatch.setattr(stats, "_cut", counting)
+    tiny = [1e-8 + k * 5e-13 for k in range(20_000)] + [9e-4]
+    close = list(1e6 + np.arange(4000) * 1e-9) + [1e6 + 900.0]
+    for values, few in ((tiny, 10), (close, 20), ([-v for v in tiny] + [0.0, 5e-324], 10)):
+        cuts.clear()
+        df = spark.createDataFrame([(float(v),) for v in values], "v double").repartition(4)
+        row = stats.exact_quantiles(df, [], "v", PROBS, max_groups=1, few=few).first()
+        for q in PROBS:
+            assert math.isclose(row[stats.quantile_name(q)], np.quantile(values, q), rel_tol=1e-9, abs_tol=1e-300)
+        assert cuts, few
+
+
+def test_several_measures_of_each_row(spark, skewed):
+    df = make(spark, skewed).withColumn("u", -F.col("v") / 7)
+    measures = {"v": F.col("v"), "u": F.col("u"), "few": F.when(F.col("v") > 100, F.col("v"))}
+    got = stats.measured_quantiles(df, ["g"], measures, PROBS, max_groups=4)
+    found = {(r.g, r.measure): r for r in got.collect()}
+    for g, (v, _) in grouped(skewed).items():
+        for name, x in {"v": v, "u": -v / 7, "few": v[v > 100]}.items():
+            if not len(x):
+                assert (g, name) not in found
+                continue
+            row = found[g, name]
+            assert row.n == len(x) and row.min == x.min() and row.max == x.max()
+            for q in PROBS:
+                assert math.isclose(row[stats.quantile_name(q)], np.quantile(x, q), rel_tol=1e-9, abs_tol=1e-9)
+    with pytest.raises(ValueError):
+        stats.measured_quantiles(df, [], measures, [0.5], method="weighted")
+
+
+def test_a_stored_table_is_read_twice(spark, skewed):
+    """Counted by the tasks that read it, whatever the number of measures."""
+    path = shared_dir(spark)
+    make(spark, skewed).write.parquet(path)
+    reads = spark.sparkContext.accumulator(0)
+    seen = F.udf(lambda x: reads.add(1) or x, "double").asNondeterministic()
+    df = spark.read.parquet(path)
+    watched = df.withColumn("v", seen("v"))
+    measures = {"a": F.col("v"), "b": F.col("v") * 2, "c": F.col("v") * 3}
+    out = stats.measured_quantiles(watched, ["g"], measures, [0.5], max_groups=4, settle=False)
+    out.collect()
+    out.collect()
+    assert reads.value == 2 * df.count()
