@@ -23,12 +23,15 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.llm.tokens import GROUP, LEARN, WORDS, WordMemo, slices
+from ebbflow.llm.tokens import GROUP, LEARN, WordMemo, slices
 from ebbflow.session import settled
 
+WORDS = 300_000  # words kept per Python worker, about 90 MB
 LANE = 256  # tokens of A in a lane, or a few more
 FREQUENT = 1_000_000  # pairs of ids whose counts every task holds, 17 MB
 HELD = 1 << 20  # links that a task counts at a time
+TEXT_BYTES = 1 << 20  # text that is aligned at a time: its tokens take about 60 MB
+LINK_BYTES = 2 << 20  # links of A that are counted or looked up at a time
 SPACE = "▁"
 ALIGNED = (
     "row long, doc_id long, n_a long, n_b long, n_groups long, links_a binary, links_b binary, groups string"
@@ -265,7 +268,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, digest: bool = False
     hexadecimal digits. A text that is null or empty, or that one of the tokenizers does not give
     back byte by byte, has no tokens: zeros and empty columns. Names of special tokens are plain
     text. Only doc_id and text are read; repeated rows are aligned each; an empty table gives no
-    rows. One pass over whole texts, a few megabytes at a time, no shuffle.
+    rows. One pass over whole texts, about a megabyte at a time, no shuffle.
     """
 
     def work(batches):
@@ -275,7 +278,7 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, digest: bool = False
         aligner = Aligner(byte_path, piece_path)
         kinds = [pa.int64()] * 3 + [pa.binary()] * 2 + [pa.string()]
         names = [f.split()[0] for f in ALIGNED.split(", ")]
-        for batch in (part for whole in batches for part in slices(whole)):
+        for batch in (part for whole in batches for part in slices(whole, limit=TEXT_BYTES)):
             columns = aligner.align(batch.column(1).to_pylist(), digest)
             row = pa.array(np.arange(number, number + batch.num_rows))
             number += batch.num_rows
@@ -286,15 +289,19 @@ def align(docs: DataFrame, byte_path: str, piece_path: str, digest: bool = False
 
 
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of all rows of a column of u32 bytes, and how many each row has."""
-    parts = column.to_pylist()
-    sizes = np.array([len(p) // 4 for p in parts], dtype=np.int64)
-    return np.frombuffer(b"".join(parts), dtype="<u4").astype(np.int64), sizes
+    """The numbers of all rows of a column of u32 bytes, as they lie, and how many each row has."""
+    _, offsets, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    ends = np.frombuffer(offsets, dtype=kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    if data is None or not len(column):
+        return np.zeros(0, np.uint32), np.zeros(len(column), np.int64)
+    size = (ends[-1] - ends[0]) // 4
+    return np.frombuffer(data, dtype="<u4", count=size, offset=ends[0]), np.diff(ends) // 4
 
 
 def _keys(batch: pa.RecordBatch, first: int) -> tuple[np.ndarray, np.ndarray]:
     a, sizes = _flat(batch.column(first))
-    return (a << 32) | _flat(batch.column(first + 1))[0], sizes
+    return (a.astype(np.int64) << 32) | _flat(batch.column(first + 1))[0], sizes
 
 
 def pair_counts(aligned: DataFrame) -> DataFrame:
@@ -311,7 +318,7 @@ def pair_counts(aligned: DataFrame) -> DataFrame:
                 names=["a", "b", "links"],
             )
 
-        for batch in batches:
+        for batch in (part for whole in batches for part in slices(whole, 0, LINK_BYTES)):
             keys, _ = _keys(batch, 0)
             held.append(keys)
             size += len(keys)
@@ -358,7 +365,7 @@ def scored(aligned: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> D
 
     def sums(batches):
         _, links, best = table.value
-        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, limit=LINK_BYTES)):
             pairs, n, at, found = looked_up(batch)
             owner = np.repeat(np.arange(len(n)), n)
             counted = np.zeros(len(pairs), np.int64)
@@ -382,7 +389,7 @@ def scored(aligned: DataFrame, counts: DataFrame, frequent: int = FREQUENT) -> D
         return first
 
     def others(batches):
-        for batch in (part for whole in batches for part in slices(whole, limit=16 << 20)):
+        for batch in (part for whole in batches for part in slices(whole, limit=LINK_BYTES)):
             pairs, n, _, found = looked_up(batch)
             owner = np.repeat(np.arange(len(n)), n)[~found]
             both, times = np.unique(np.stack([owner, pairs[~found]], axis=1), axis=0, return_counts=True)

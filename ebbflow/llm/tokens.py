@@ -1,14 +1,14 @@
 """Token ids of whole texts by public tokenizers, with a bounded memory of words.
 
-A text is cut at its single spaces into parts that are coded one by one, so a part met before
-need not be coded again. That gives the tokenizer's own ids where no token reaches over such a
-cut: always for a tokenizer that drops white space, and for a byte-level one without normaliser
-where the space stands between two visible characters. Texts with other spacing next to a space
-(runs of spaces, a space beside a line end, one at either end) are then coded whole.
+A text is cut into parts that are coded one by one, so a part met before need not be coded
+again. That gives the tokenizer's own ids where no token reaches over a cut: at white space for a
+tokenizer that drops it, and for a byte-level one without normaliser before each single space or
+line feed between two visible characters. Texts with other spacing beside those (runs of spaces,
+a space at a line end, one at the end) are then coded whole.
 
 New parts are coded many at a time as one text; where each ends is told by the ids themselves,
-by the space that begins a byte-level word or by the mark that ends a word. If the count is not
-that of the parts, they are coded one by one.
+by the space or line feed that begins a byte-level part or by the mark that ends a word. If the
+count is not that of the parts, they are coded one by one.
 """
 
 from __future__ import annotations
@@ -22,11 +22,12 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-WORDS = 400_000  # parts kept per Python worker, about 80 MB
+WORDS = 1_000_000  # parts kept per Python worker, about 200 MB
 GROUP = 256  # texts whose new words are coded in one call
 LEARN = 2_000  # new words coded as one text
 SLICE_BYTES = 4 << 20  # text that is turned into ids at a time
 UNSAFE = b"?"  # no ids: their bytes come in fours
+SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")  # white space to str.split, not to tokenizers
 
 _memos: dict[tuple[str, bool, int], "WordMemo"] = {}
 
@@ -79,6 +80,7 @@ class WordMemo:
         self.by_words = self.spaced or bool(suffix) and self._drops_spaces()
         if self.spaced:
             self.bounds = np.array([n.startswith("Ġ") for n in names])
+            self.feeds = np.array([n.startswith("Ċ") for n in names])
         else:
             self.bounds = np.array([bool(suffix) and n.endswith(suffix) for n in names])
         self.limit = limit
@@ -103,9 +105,11 @@ class WordMemo:
 
     def _learn(self, words: set[str]) -> None:
         """Ids of new words; UNSAFE where a space before the word is no safe cut."""
-        known, stems, odd = self.known, {}, []
+        known, stems, odd, lines = self.known, {}, [], []
         for word in words:
-            if self.spaced and (not word or word[0].isspace() or word[-1].isspace()):
+            if self.spaced and word[:1] == "\n" and word[1:] and not word[1].isspace() and not word[-1].isspace():
+                lines.append(word)
+            elif self.spaced and (not word or word[0].isspace() or word[-1].isspace()):
                 known[word], self.unsafe = UNSAFE, True
             elif word and word[-1] in self.marks and self._plain(word[:-1]):
                 # a last full stop or comma after letters is a part of its own
@@ -123,11 +127,18 @@ class WordMemo:
             if word is not stem:
                 known[word] = known[stem] + self.marks[word[-1]]
         known.update(zip(odd, self.encode([space + w for w in odd])))
+        for at in range(0, len(lines), LEARN):
+            some = lines[at : at + LEARN]
+            known.update(zip(some, self._apart("".join(some), some, self.feeds) or self.encode(some)))
 
     def _together(self, words: list[str]) -> list[bytes] | None:
-        """Ids of the words from one text of them all, if each of them can be told apart."""
-        data = self.encode([" " + " ".join(words)])[0]
-        at = np.flatnonzero(self.bounds[np.frombuffer(data, dtype="<u4")])
+        """Ids of the words, a space before each, from one text of them all."""
+        return self._apart(" " + " ".join(words), words, self.bounds)
+
+    def _apart(self, text: str, words: list[str], bounds: np.ndarray) -> list[bytes] | None:
+        """Ids of the words of a text, if each of them can be told from the next."""
+        data = self.encode([text])[0]
+        at = np.flatnonzero(bounds[np.frombuffer(data, dtype="<u4")])
         if len(at) != len(words):
             return None
         ends = [*at[1:].tolist(), len(data) // 4] if self.spaced else (at + 1).tolist()
@@ -149,7 +160,10 @@ class WordMemo:
             return self.encode(texts)
         if len(self.known) > self.limit:
             self.known.clear()
-        parts = [t.split(" ") for t in texts]
+        if self.spaced:
+            parts = [t.replace("\n", " \n").split(" ") for t in texts]
+        else:
+            parts = [t.split() if SEPARATORS.isdisjoint(t) else t.split(" ") for t in texts]
         heads = [p.pop(0) for p in parts] if self.spaced else []  # no space stands before these
         first = self.encode(heads)
         found = [list(map(self.known.get, p)) for p in parts]
@@ -162,7 +176,7 @@ class WordMemo:
                 f = [known[w] if ids is None else ids for w, ids in zip(p, f)]
             if not self.spaced:
                 out.append(b"".join(f))
-            elif f and (not heads[i] or heads[i][-1].isspace()) or self.unsafe and UNSAFE in f:
+            elif f and heads[i] and heads[i][-1].isspace() or self.unsafe and UNSAFE in f:
                 whole[i] = texts[i]
                 out.append(b"")
             else:

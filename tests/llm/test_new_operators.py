@@ -184,12 +184,13 @@ def brute_alignment(texts):
         ends_a = np.cumsum([len(memo.a_bytes[i]) for i in a]).tolist()
         ends_b = np.cumsum([len(memo.b_bytes[i]) for i in b]).tolist()
         both = sorted(set(ends_a) & set(ends_b))
-        links = [(a[ends_a.index(e)], b[ends_b.index(e)]) for e in both]
-        groups, low = [], 0
+        place_a, place_b = ({e: i for i, e in enumerate(ends)} for ends in (ends_a, ends_b))
+        links = [(a[place_a[e]], b[place_b[e]]) for e in both]
+        groups, i, j = [], 0, 0
         for e in both:
-            inside = lambda ids, ends: ",".join(str(i) for i, x in zip(ids, ends) if low < x <= e)
-            groups.append(f"{inside(a, ends_a)}|{inside(b, ends_b)}")
-            low = e
+            one, other = a[i : place_a[e] + 1], b[j : place_b[e] + 1]
+            groups.append(f"{','.join(map(str, one))}|{','.join(map(str, other))}")
+            i, j = place_a[e] + 1, place_b[e] + 1
         out.append((a, b, groups, links))
     return out
 

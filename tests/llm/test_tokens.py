@@ -34,7 +34,7 @@ SPECIALS = WordMemo(default_tokenizer(), limit=50, plain_specials=True)
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.text(alphabet="ab ,.\n\tÉİſ́가Σ's1 \u0085-", max_size=40), max_size=5), st.booleans())
+@given(st.lists(st.text(alphabet="ab ,.\n\n\r\t\x1cÉİſ́가Σ's1 \u0085-", max_size=40), max_size=5), st.booleans())
 def test_memo_of_other_tokenizers(texts, marked):
     texts = [t + " <|endoftext|> a<|endoftext|>b" if marked else t for t in texts]
     for memo in (WORD_ENDS, SPECIALS):
@@ -50,6 +50,8 @@ def test_new_words_are_coded_together():
         got = memo._together(words)
         assert got == memo.encode([" " + w if memo.spaced else w for w in words])
         assert memo._together(["a b"]) is None
+    lines = ["\n" + w for w in words]
+    assert MEMO._apart("".join(lines), lines, MEMO.feeds) == MEMO.encode(lines)
 
 
 def test_slices_cover_a_batch():
