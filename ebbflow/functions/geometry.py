@@ -8,14 +8,18 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 
-def _over_edges(ring: Column, start: Column, step) -> Column:
-    """Fold `step(total, x1, y1, x2, y2)` over the ring's edges."""
-    edges = F.zip_with(
+def edges(ring: Column) -> Column:
+    """The ring's edges x1, y1, x2, y2, the closing one included."""
+    return F.zip_with(
         ring,
         F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)),
         lambda a, b: F.struct(a.x.alias("x1"), a.y.alias("y1"), b.x.alias("x2"), b.y.alias("y2")),
     )
-    return F.aggregate(edges, start, lambda t, e: step(t, e.x1, e.y1, e.x2, e.y2))
+
+
+def _over_edges(ring: Column, start: Column, step) -> Column:
+    """Fold `step(total, x1, y1, x2, y2)` over the ring's edges."""
+    return F.aggregate(edges(ring), start, lambda t, e: step(t, e.x1, e.y1, e.x2, e.y2))
 
 
 def signed_area(ring: Column) -> Column:
@@ -52,6 +56,38 @@ def contains(ring: Column, px: Column, py: Column) -> Column:
     return _over_edges(ring, F.lit(False), step)
 
 
+def inside_edges(edges: Column, px: Column, py: Column) -> Column:
+    """Even-odd rule over an array of edges, as `contains` has it for a ring."""
+
+    def step(inside, e):
+        spans = (e.y1 > py) != (e.y2 > py)
+        at = e.x1 + F.try_divide((py - e.y1) * (e.x2 - e.x1), e.y2 - e.y1)
+        return inside != (spans & (px < at))
+
+    return F.aggregate(edges, F.lit(False), step)
+
+
+def inside_from(edges: Column, known: Column, x0: Column, y0: Column, px: Column, py: Column) -> Column:
+    """Is a point inside, when it is known whether (x0, y0) is? The edges that the way between the
+    two meets are counted, first upright at x0, then level at py: so only edges that touch the box
+    of the two points matter. Like `contains`, which takes a point to lie a little to the right
+    of itself and, by far less, above: so a point on a rising edge is below it on the upright leg.
+    """
+
+    def step(met, e):
+        over = (e.x1 > x0) != (e.x2 > x0)
+        height = e.y1 + F.try_divide((x0 - e.x1) * (e.y2 - e.y1), e.x2 - e.x1)
+        rises = (e.y1 != e.y2) & ((e.y2 > e.y1) == (e.x2 > e.x1))
+        below = lambda y: F.when((y < height) | ((y == height) & rises), 1).otherwise(0)
+        spans = (e.y1 > py) != (e.y2 > py)
+        at = e.x1 + F.try_divide((py - e.y1) * (e.x2 - e.x1), e.y2 - e.y1)
+        left = lambda x: F.when(x < at, 1).otherwise(0)
+        upright = F.when(over, below(y0) + below(py)).otherwise(0)
+        return met + upright + F.when(spans, left(x0) + left(px)).otherwise(0)
+
+    return known != (F.aggregate(edges, F.lit(0), step) % 2 == 1)
+
+
 def shape_area(shape: Column) -> Column:
     """Area of all parts less the holes."""
     return F.aggregate(

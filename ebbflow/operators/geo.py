@@ -11,11 +11,12 @@ from ebbflow.joins import same_rows, small
 from ebbflow.operators import stats
 from ebbflow.session import settled
 
-# Polygon tiles carry their vertices, 16 bytes each: both bounds must hold for a broadcast.
-MAX_POLYGON_TILES = 50_000
-MAX_TILE_VERTICES = 2_000_000
-# Tiles of one polygon; more means that the tile is too small for the data.
-MAX_TILES_EACH = 1_000_000
+# Cover cells carry edges, 32 bytes each: both bounds must hold for a broadcast.
+MAX_COVER_CELLS = 50_000
+MAX_COVER_EDGES = 1_000_000
+# A cell with no more edges is not split further; a split makes SPLIT x SPLIT cells.
+FEW_EDGES = 32
+SPLIT = 4
 
 
 def measure(polygons: DataFrame, key: str) -> DataFrame:
@@ -186,46 +187,116 @@ def region_report(polygons: DataFrame) -> DataFrame:
     return counts.withColumn("crs_agrees", n_crs == 1)
 
 
+def cover(polygons: DataFrame, key: str, tile: float, few: int = FEW_EDGES) -> DataFrame:
+    """Square cells that cover each polygon: key, level, cx, cy, inside, edges.
+
+    A cell of level n has a side of tile * 4^n and is the one numbered cx, cy of its level. It
+    starts as the smallest that spans the polygon (or its neighbours on the grid) and is split
+    while more than `few` edges come near it, down to `tile`. Edges go only to the cells whose box
+    they meet. A cell that no edge meets lies wholly inside, and carries none, or is dropped. So
+    the number of cells follows the number of edges, not the area. `inside` is true if the cell's
+    lower left corner is. Polygons have `vertices` (one open ring) or `shape` (parts and holes).
+    """
+    if "shape" in polygons.columns:
+        every = F.flatten(F.transform("shape", lambda part: geometry.edges(part.ring)))
+    else:
+        every = geometry.edges(F.col("vertices"))
+    low = lambda *of: F.array_min(F.flatten(F.transform("edges", lambda e: F.array(*[e[c] for c in of]))))
+    high = lambda *of: F.array_max(F.flatten(F.transform("edges", lambda e: F.array(*[e[c] for c in of]))))
+    boxes = polygons.select(key, every.alias("edges")).filter(F.size("edges") > 0).select(
+        key,
+        "edges",
+        low("x1").alias("x0"),
+        high("x1").alias("x1"),
+        low("y1").alias("y0"),
+        high("y1").alias("y1"),
+    )
+    extent = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"), F.lit(float(tile)))
+    level = F.ceil(F.log(extent / tile) / F.log(F.lit(float(SPLIT)))).cast("int")
+    side = _side(F.col("level"), tile)
+    span = lambda c: F.sequence(F.floor(F.col(f"{c}0") / side), F.floor(F.col(f"{c}1") / side))
+    roots = (
+        boxes.withColumn("level", level)
+        .withColumn("cx", F.explode(span("x")))
+        .withColumn("cy", F.explode(span("y")))
+    )
+    corner = geometry.inside_edges(F.col("edges"), F.col("cx") * side, F.col("cy") * side)
+    cells = _near(roots.select(key, "level", "cx", "cy", corner.alias("inside"), "edges"), tile)
+    open_ = (F.size("edges") > few) & (F.col("level") > 0)
+    done = cells.filter(~open_)
+    left = settled(cells.filter(open_))
+    while left.count():  # from the footers; a round for each level at most
+        parts = _near(_split(left, key, tile), tile)
+        stored = settled(parts)
+        done = done.unionByName(stored.filter(~open_))
+        left = stored.filter(open_)
+    return done.filter(F.col("inside") | (F.size("edges") > 0))
+
+
+def _side(level, tile: float):
+    return F.pow(F.lit(float(SPLIT)), level) * tile
+
+
+def _near(cells: DataFrame, tile: float) -> DataFrame:
+    """The cells with only those of their edges whose box meets theirs."""
+    side = _side(F.col("level"), tile)
+    x0, y0 = F.col("cx") * side, F.col("cy") * side
+    boxed = cells.withColumn("_b", F.struct(x0.alias("x0"), y0.alias("y0"), (x0 + side).alias("x1"), (y0 + side).alias("y1")))
+    meets = lambda e: (
+        (F.least(e.x1, e.x2) <= F.col("_b.x1"))
+        & (F.greatest(e.x1, e.x2) >= F.col("_b.x0"))
+        & (F.least(e.y1, e.y2) <= F.col("_b.y1"))
+        & (F.greatest(e.y1, e.y2) >= F.col("_b.y0"))
+    )
+    return boxed.withColumn("edges", F.filter("edges", meets)).drop("_b")
+
+
+def _split(cells: DataFrame, key: str, tile: float) -> DataFrame:
+    """The cells of the next lower level, each with the edges of the one it is part of."""
+    numbers = F.array(*[F.lit(n) for n in range(SPLIT)])
+    parts = cells.withColumn("_i", F.explode(numbers)).withColumn("_j", F.explode(numbers))
+    side = _side(F.col("level"), tile)
+    x0, y0, step = F.col("cx") * side, F.col("cy") * side, side / SPLIT
+    inside = geometry.inside_from(
+        F.col("edges"), F.col("inside"), x0, y0, x0 + F.col("_i") * step, y0 + F.col("_j") * step
+    )
+    # Apart from the new cx and cy: a lambda would take these for the ones it names.
+    return parts.withColumn("_inside", inside).select(
+        key,
+        (F.col("level") - 1).alias("level"),
+        (F.col("cx") * SPLIT + F.col("_i")).alias("cx"),
+        (F.col("cy") * SPLIT + F.col("_j")).alias("cy"),
+        F.col("_inside").alias("inside"),
+        "edges",
+    )
+
+
 def assign_points(
     points: DataFrame, polygons: DataFrame, key: str, tile: float, x: str = "x", y: str = "y"
 ) -> DataFrame:
     """Points with the key of the polygon that contains them (inner).
 
-    Both sides are put on a square grid of `tile` metres; a polygon is repeated for each
-    tile of its bounding box. Points and polygons meet on the tile, then the exact test
-    runs. Few polygon tiles with few vertices are broadcast after a count, so no point is
-    shuffled. With many, a crowded tile is one skewed join partition, which adaptive execution
-    splits. Polygons have `vertices` (one open ring) or `shape` (parts and holes); one that
-    would take more than MAX_TILES_EACH tiles fails.
+    Points meet the cells of each polygon's `cover` by equi-join: in a cell wholly inside nothing
+    is tested, in another the few edges near it decide. A cover of few cells with few edges is
+    broadcast after a count, so no point is shuffled. With many, a crowded cell is one skewed
+    join partition, which adaptive execution splits. `tile` is the side of the smallest cells.
     """
-    at = lambda c: F.floor(c / tile).cast("int")
-    if "shape" in polygons.columns:
-        form = "shape"
-        corners = F.flatten(F.transform("shape", lambda part: part.ring))
-        inside = geometry.shape_contains(F.col("shape"), F.col(x), F.col(y))
-    else:
-        form, corners = "vertices", F.col("vertices")
-        inside = geometry.contains(F.col("vertices"), F.col(x), F.col(y))
-    xs, ys = F.transform(corners, lambda v: v.x), F.transform(corners, lambda v: v.y)
-    boxes = polygons.select(
-        key,
-        form,
-        F.size(corners).alias("_n"),
-        at(F.array_min(xs)).alias("_x0"),
-        at(F.array_max(xs)).alias("_x1"),
-        at(F.array_min(ys)).alias("_y0"),
-        at(F.array_max(ys)).alias("_y1"),
-    )
-    tiles = (F.col("_x1").cast("long") - F.col("_x0") + 1) * (F.col("_y1").cast("long") - F.col("_y0") + 1)
-    last = F.when(tiles <= MAX_TILES_EACH, F.col("_x1")).otherwise(
-        F.raise_error(F.lit(f"a polygon has more than {MAX_TILES_EACH} tiles: take a larger tile")).cast("int")
-    )
-    tiled = boxes.select("*", F.explode(F.sequence("_x0", last)).alias("_tx")).select(
-        key, form, "_n", "_tx", F.explode(F.sequence("_y0", "_y1")).alias("_ty")
-    )
-    n_tiles, n_vertices = tiled.agg(F.count("*"), F.sum("_n")).first()
-    tiled = tiled.drop("_n")
-    if n_tiles <= MAX_POLYGON_TILES and (n_vertices or 0) <= MAX_TILE_VERTICES:
-        tiled = F.broadcast(tiled)
-    placed = points.withColumns({"_tx": at(F.col(x)), "_ty": at(F.col(y))})
-    return placed.join(tiled, ["_tx", "_ty"]).filter(inside).select(*points.columns, key)
+    cells = settled(cover(polygons, key, tile)).select(
+        F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in ("level", "cx", "cy", "inside", "edges")]
+    )
+    facts = cells.agg(
+        F.count("*").alias("n"), F.sum(F.size("_edges")).alias("edges"), F.collect_set("_level").alias("levels")
+    ).first()  # a level for each power of four of the extent
+    if facts.n <= MAX_COVER_CELLS and (facts.edges or 0) <= MAX_COVER_EDGES:
+        cells = F.broadcast(cells)
+    levels = F.array(*[F.lit(n) for n in sorted(facts.levels)]).cast("array<int>")
+    placed = points.withColumn("_level", F.explode(levels))
+    side = _side(F.col("_level"), tile)
+    at = lambda c: F.floor(F.col(c) / side)
+    placed = placed.withColumns({"_cx": at(x), "_cy": at(y)})
+    met = placed.join(cells, ["_level", "_cx", "_cy"])
+    decided = geometry.inside_from(
+        F.col("_edges"), F.col("_inside"), F.col("_cx") * side, F.col("_cy") * side, F.col(x), F.col(y)
+    )
+    found = met.filter(F.when(F.size("_edges") == 0, F.lit(True)).otherwise(decided))
+    return found.select(*points.columns, F.col("_key").alias(key))

@@ -1,3 +1,4 @@
+import functools
 import math
 
 import pytest
@@ -5,6 +6,7 @@ from support import rows
 from pyspark.sql import functions as F
 
 from ebbflow.operators import geo
+from ebbflow.session import settled
 
 RING = "zone string, vertices array<struct<x:double,y:double>>"
 L = [(0, 0), (4, 0), (4, 2), (2, 2), (2, 4), (0, 4)]
@@ -88,8 +90,43 @@ def test_holes_and_islands(spark):
         assert sorted(map(tuple, found)) == [(1, "z"), (2, "hole"), (3, "z")]
 
 
-def test_too_small_a_tile_fails(spark):
+def test_a_large_polygon_takes_small_tiles(spark):
     df = spark.createDataFrame([("z", box(0, 0, 1e7))], RING)
+    points = spark.createDataFrame([(1, 1.0, 1.0), (2, 5e6, 9.9e6), (3, -1.0, 5.0)], "id int, x double, y double")
+    assert geo.cover(df, "zone", 1.0).count() <= 4
+    assert sorted(r.id for r in geo.assign_points(points, df, "zone", 1.0).collect()) == [1, 2]
+
+
+def test_cells_inside_need_no_edges(spark):
+    """A coast of 100,000 vertices: few edges near any cell, and none within."""
+    n = 100_000
+    radius = lambda k: 1000 + 3 * math.sin(k * 0.037) + 0.05 * math.sin(k * 1.7)
+    coast = [(radius(k) * math.cos(2 * math.pi * k / n), radius(k) * math.sin(2 * math.pi * k / n)) for k in range(n)]
+    df = spark.createDataFrame([("z", ring(coast))], RING)
+    cells = settled(geo.cover(df, "zone", 2.0)).selectExpr("size(edges) AS n", "inside", "level").collect()
+    assert len(cells) < n / 4 and sum(c.n for c in cells) < 4 * n
+    whole = [c for c in cells if not c.n]
+    assert whole and all(c.inside for c in whole) and max(c.level for c in whole) > min(c.level for c in cells)
+    spots = [(i, (i * 37 % 211 - 105) * 10.03, (i * 91 % 223 - 111) * 9.71) for i in range(60)]
+    spots += [(100 + i, 1010 * math.cos(i), 1010 * math.sin(i)) for i in range(20)]
+    points = spark.createDataFrame(spots, "id int, x double, y double")
+    got = sorted(r.id for r in geo.assign_points(points, df, "zone", 2.0).collect())
+    assert got == [i for i, x, y in spots if inside(coast, x, y)] and len(got) > 20
+
+
+@pytest.mark.parametrize("few", [1, 3])
+def test_split_cells_agree_with_the_whole_ring(spark, few, monkeypatch):
+    """Vertices and points on the lines of the grid, a hole, and cells split to the end."""
+    monkeypatch.setattr(geo, "cover", functools.partial(geo.cover, few=few))
+    star = [(0, 0), (8, 0), (8, 2), (4, 4), (8, 6), (8, 8), (5, 8), (4, 5), (3, 8), (0, 8), (2, 4)]
+    hole = [(4, 1), (6, 1), (5, 2)]
+    df = spark.createDataFrame([("s", [(False, ring(star)), (True, ring(hole))])], SHAPE)
+    spots = [(i, (i % 41) / 4 - 1, (i // 41) / 4 - 1) for i in range(41 * 41)]
+    points = spark.createDataFrame(spots, "id int, x double, y double").repartition(3)
+    got = sorted(r.id for r in geo.assign_points(points, df, "zone", 0.5).collect())
+    assert got == [i for i, x, y in spots if inside(star, x, y) != inside(hole, x, y)]
+
+
+def test_no_polygons(spark):
     points = spark.createDataFrame([(1, 1.0, 1.0)], "id int, x double, y double")
-    with pytest.raises(Exception, match="larger tile"):
-        geo.assign_points(points, df, "zone", 1.0).collect()
+    assert geo.assign_points(points, spark.createDataFrame([], RING), "zone", 1.0).count() == 0
