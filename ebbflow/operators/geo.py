@@ -195,7 +195,7 @@ def cover(polygons: DataFrame, key: str, tile: float, few: int = FEW_EDGES) -> D
     while more than `few` edges come near it, down to `tile`. Edges go only to the cells whose box
     they meet. A cell that no edge meets lies wholly inside, and carries none, or is dropped. So
     the number of cells follows the number of edges, not the area. `inside` is true if the cell's
-    lower left corner is. Polygons have `vertices` (one open ring) or `shape` (parts and holes).
+    lower left corner is. The cells are stored in the shared folder. Polygons have `vertices` (one open ring) or `shape` (parts and holes).
     """
     if "shape" in polygons.columns:
         every = F.flatten(F.transform("shape", lambda part: geometry.edges(part.ring)))
@@ -221,15 +221,12 @@ def cover(polygons: DataFrame, key: str, tile: float, few: int = FEW_EDGES) -> D
         .withColumn("cy", F.explode(span("y")))
     )
     corner = geometry.inside_edges(F.col("edges"), F.col("cx") * side, F.col("cy") * side)
-    cells = _near(roots.select(key, "level", "cx", "cy", corner.alias("inside"), "edges"), tile)
+    cells = settled(_near(roots.select(key, "level", "cx", "cy", corner.alias("inside"), "edges"), tile))
     open_ = (F.size("edges") > few) & (F.col("level") > 0)
-    done = cells.filter(~open_)
-    left = settled(cells.filter(open_))
-    while left.count():  # from the footers; a round for each level at most
-        parts = _near(_split(left, key, tile), tile)
-        stored = settled(parts)
-        done = done.unionByName(stored.filter(~open_))
-        left = stored.filter(open_)
+    done, left = cells.filter(~open_), cells.filter(open_)
+    while not left.isEmpty():  # a round for each level at most
+        cells = settled(_near(_split(left, key, tile), tile))
+        done, left = done.unionByName(cells.filter(~open_)), cells.filter(open_)
     return done.filter(F.col("inside") | (F.size("edges") > 0))
 
 
@@ -281,7 +278,7 @@ def assign_points(
     broadcast after a count, so no point is shuffled. With many, a crowded cell is one skewed
     join partition, which adaptive execution splits. `tile` is the side of the smallest cells.
     """
-    cells = settled(cover(polygons, key, tile)).select(
+    cells = cover(polygons, key, tile).select(
         F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in ("level", "cx", "cy", "inside", "edges")]
     )
     facts = cells.agg(

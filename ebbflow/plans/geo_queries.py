@@ -70,7 +70,9 @@ def unit_verdicts(i: Inputs) -> DataFrame:
 
 @query(
     "a63_bounding_box",
-    "SELECT min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, count(*) AS n_rows, 'unknown' AS crs_guess FROM points",
+    """SELECT *, CASE WHEN x_min BETWEEN 700000 AND 1200000 AND y_min BETWEEN 1500000 AND 2100000 THEN 'EPSG:5179'
+         WHEN x_min BETWEEN 100000 AND 300000 AND y_min BETWEEN 400000 AND 700000 THEN 'EPSG:5186' ELSE 'unknown' END AS crs_guess
+       FROM (SELECT min(x) AS x_min, max(x) AS x_max, min(y) AS y_min, max(y) AS y_max, count(*) AS n_rows FROM points)""",
 )
 def bounding_box(i: Inputs) -> DataFrame:
     return geo.bounding_box(i.points, "x", "y")

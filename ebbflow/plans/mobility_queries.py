@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow.functions import calendar
 from ebbflow.functions.columns import kind_of, ratio
-from ebbflow.operators import blending, population, mobility, series, stats
+from ebbflow.operators import blending, flows, mobility, population, series, stats
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
+from ebbflow.session import shared_dir
 
 
 @query("a01_od_month", "SELECT * FROM od")
@@ -37,6 +38,16 @@ def daily_flow_all_days(i: Inputs) -> DataFrame:
     )
 
 
+@query("a08_flow_by_months", "SELECT * FROM pi")
+def flow_by_months(i: Inputs) -> DataFrame:
+    """The trips come in two deliveries of months, the mean flow from their parts."""
+    table = flows.FlowTable(i.spark, shared_dir(i.spark))
+    late = F.col("date") >= 19950101
+    for trips in (i.od.filter(~late), i.od.filter(late)):
+        table.add(trips)
+    return table.flow()
+
+
 @query(
     "a09_flow_marginals",
     """SELECT CASE WHEN grouping(age_7) = 0 THEN 'age' WHEN grouping(hour) = 0 THEN 'hour'

@@ -111,8 +111,7 @@ def cardinalities(i: Inputs) -> DataFrame:
 def value_gaps(i: Inputs) -> DataFrame:
     """Hours are expected as 1 to 24 here, so hour 0 is extra and hour 24 missing."""
     expected = {"hour": range(1, 25), "age_10": range(0, 90, 10), "date": range(20240101, 20240132)}
-    found = [quality.value_gaps(i.lp, c, v) for c, v in expected.items()]
-    return found[0].unionByName(found[1]).unionByName(found[2])
+    return quality.value_gaps(i.lp, expected)
 
 
 @query(

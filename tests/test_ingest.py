@@ -225,6 +225,12 @@ def test_quality_report(spark):
                    "max hour": (25.0, "FAIL"), "distinct hour": (2.0, "PASS")}
 
 
+def test_value_gaps_of_several_columns(spark):
+    df = spark.createDataFrame([(1, "a"), (2, "b"), (2, None)], "n int, c string")
+    got = rows(quality.value_gaps(df, {"n": [1, 3], "c": ["a"]}))
+    assert got == [("c", "b", "extra"), ("c", None, "extra"), ("n", "2", "extra"), ("n", "3", "missing")]
+
+
 def test_code_sets(spark):
     left, right = spark.createDataFrame([("a",), ("b",), ("b",)], "k string"), spark.createDataFrame([("b",), ("c",)], "k string")
     r = quality.code_sets(left, right, "k").first()

@@ -5,7 +5,10 @@ from support import rows
 from pyspark.sql import functions as F
 
 from ebbflow import joins
-from ebbflow.operators import blending, mobility
+from ebbflow.operators import blending, flows, mobility
+from ebbflow.session import shared_dir
+from ebbflow.sources import sinks
+from ebbflow.sources.published import MonthTable
 
 RAW = "ETL_YMD int, TIME_CD string, O_CELL_ID string, D_CELL_ID string, SEX_CD string, AGE_CD string, PURPOSE tinyint, TOTAL double, AVG_DIST double, AVG_TIME double"
 
@@ -125,3 +128,33 @@ def test_static_flows_stay_at_home(inputs):
 def test_missing_column_is_reported(spark, cells):
     with pytest.raises(ValueError, match="TIME_CD"):
         mobility.refine(spark.range(1), cells)
+
+
+def test_flows_of_months_equal_the_full_run(spark, raw, cells):
+    path = shared_dir(spark)
+    more = raw.withColumn("ETL_YMD", F.col("ETL_YMD") + 100).withColumn("TOTAL", F.col("TOTAL") * 3)
+    january, february = mobility.refine(raw, cells), mobility.refine(more, cells)
+    sinks.write_months(january, f"{path}/od", ["hour"])
+    table = flows.FlowTable(spark, f"{path}/flows")
+    assert table.add(spark.read.parquet(f"{path}/od/yyyymm=202301")) == ["202301"]
+    first = {f for f in MonthTable(spark, table.root).read().inputFiles()}
+    # February is added by its own trips alone: January's parts stay the files they were
+    assert table.add(february) == ["202302"]
+    assert first < set(MonthTable(spark, table.root).read().inputFiles())
+    both = january.unionByName(february)
+    for daytype in ("weekday", "weekend", "all"):
+        assert rows(table.flow(daytype=daytype)) == rows(mobility.daily_flow(both, daytype))
+        if daytype != "weekend":  # February has none
+            assert rows(table.flow("202302", "202302", daytype)) == rows(mobility.daily_flow(february, daytype))
+    assert rows(table.flow("202301", "202301")) == rows(mobility.daily_flow(january))
+    index = spark.createDataFrame([("A", 0)], "admdong_cd string, area_idx int")
+    assert rows(table.flow(index=index)) == rows(mobility.daily_flow(both, index=index))
+    # a corrected month takes the place of what it had
+    assert table.add(mobility.refine(more.filter("TOTAL > 9"), cells)) == ["202302"]
+    assert rows(table.flow("202302")) == rows(mobility.daily_flow(mobility.refine(more.filter("TOTAL > 9"), cells)))
+    table.drop(["202302"])
+    assert rows(table.flow()) == rows(mobility.daily_flow(january))
+    with pytest.raises(Exception, match="no weekday dates"):
+        table.flow("209901").collect()
+    with pytest.raises(ValueError):
+        table.flow(daytype="sunday")
