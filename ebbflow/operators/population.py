@@ -11,6 +11,7 @@ from ebbflow.functions import calendar
 from ebbflow.functions.columns import age5_of, age10_of, month_key, ratio
 from ebbflow.joins import small
 from ebbflow.operators import stats
+from ebbflow.session import settled
 
 NIGHT_HOURS = [3, 4, 5]
 
@@ -137,8 +138,12 @@ def outlier_areas(
 def day_night(pop: DataFrame, day: int = 13, night: int = 4, noise: float = 10) -> DataFrame:
     """Mean at a day hour over mean at a night hour, per area and age, in one aggregation."""
     at = lambda h: F.avg(F.when(F.col("hour") == h, F.col("pop")))
+    return _day_night(pop, at, day, night, noise)
+
+
+def _day_night(cells: DataFrame, at, day: int = 13, night: int = 4, noise: float = 10) -> DataFrame:
     return (
-        pop.filter(F.col("hour").isin(day, night))
+        cells.filter(F.col("hour").isin(day, night))
         .groupBy("admdong_cd", "age_10")
         .agg(at(day).alias("day_avg"), at(night).alias("night_avg"))
         .filter(F.col("night_avg") > noise)
@@ -177,20 +182,31 @@ def colour_bounds(df: DataFrame, value: str) -> DataFrame:
 
 
 def indicators(pop: DataFrame, od: DataFrame) -> DataFrame:
-    """Per age: mean population, moves per head, hourly variation and day/night median."""
-    avg_pop = mean_population_by_age(pop)
-    moves = od.groupBy("age_10").agg(F.sum("total").alias("total_moves"))
+    """Per age: mean population, moves per head, hourly variation and day/night median.
+
+    Each feed is read once. Of population the sums by area, age and hour and the dates present
+    come from one aggregation and are stored: a row for each area, age and hour, whatever the days.
+    """
+    cells = ["admdong_cd", "age_10", "hour"]
+    parts = settled(
+        pop.groupingSets([[F.col(c) for c in cells], [F.col("date")]], *cells, "date").agg(
+            F.grouping("date").alias("_cell"), F.sum("pop").alias("_sum"), F.count("pop").alias("_n")
+        )
+    )
+    n_days = parts.filter("_cell = 0").agg(F.count("date")).scalar()
+    sums = parts.filter("_cell = 1")
     cv = lambda value: ratio(F.stddev(value), F.avg(value))
-    pop_cv = hourly_totals(pop, "pop", "age_10", alias="_x").groupBy("age_10").agg(
-        cv("_x").alias("pop_hourly_cv")
+    hours = sums.groupBy("age_10", "hour").agg(F.sum("_sum").alias("_x"))
+    people = hours.groupBy("age_10").agg(
+        ratio(F.sum("_x"), n_days * 24).alias("avg_pop_total"), cv("_x").alias("pop_hourly_cv")
     )
-    move_cv = hourly_totals(od, "total", "age_10", alias="_x").groupBy("age_10").agg(
-        cv("_x").alias("move_hourly_cv")
+    moves = hourly_totals(od, "total", "age_10", alias="_x").groupBy("age_10").agg(
+        F.sum("_x").alias("total_moves"), cv("_x").alias("move_hourly_cv")
     )
-    dn = stats.summary(day_night(pop), ["age_10"], "day_night_ratio", {"_dn": 0.5})
-    joined = avg_pop.join(moves, "age_10")
-    for part in (pop_cv, move_cv, dn):
-        joined = joined.join(part, "age_10")
+    of = lambda c, h: F.sum(F.when(F.col("hour") == h, F.col(c)))
+    ratios = _day_night(sums, lambda h: ratio(of("_sum", h), of("_n", h)))
+    dn = stats.summary(ratios, ["age_10"], "day_night_ratio", {"_dn": 0.5})
+    joined = people.join(moves, "age_10").join(dn, "age_10")
     return joined.select(
         "age_10",
         F.round("avg_pop_total", 0).alias("avg_pop"),

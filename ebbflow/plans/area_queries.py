@@ -10,7 +10,8 @@ from ebbflow.operators import census, employment, geo, population, mobility, qua
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
 from ebbflow.plans.source_queries import _written_od
-from ebbflow.sources import readers
+from ebbflow.session import shared_dir
+from ebbflow.sources import readers, sinks
 
 
 @query(
@@ -82,8 +83,23 @@ def with_centroids(i: Inputs) -> DataFrame:
 @query("j08_file_sizes", "SELECT yyyymm, n_rows, total, true AS has_file FROM months")
 def file_sizes(i: Inputs) -> DataFrame:
     """Monthly series met by the sizes of the files the month was written to."""
+    return _with_files(i, _written_od(i))
+
+
+@query(
+    "j08_months_without_file",
+    "SELECT yyyymm, n_rows, total, yyyymm::INTEGER % 4 <> 0 AS has_file FROM months",
+)
+def months_without_file(i: Inputs) -> DataFrame:
+    """The same where every fourth month was not written."""
+    path = shared_dir(i.spark)
+    sinks.write_months(i.od.filter(F.floor(F.col("date") / 100) % 4 != 0), path, ["date", "hour"])
+    return _with_files(i, path)
+
+
+def _with_files(i: Inputs, path: str) -> DataFrame:
     sizes = (
-        readers.files(i.spark, _written_od(i), "*.parquet")
+        readers.files(i.spark, path, "*.parquet")
         .groupBy("yyyymm")
         .agg(F.sum("bytes").alias("bytes"))
     )

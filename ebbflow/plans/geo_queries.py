@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from ebbflow.operators import geo
 from ebbflow.plans.bindings import LOT_M, Inputs
 from ebbflow.plans.catalog import query, rounded
+from ebbflow.session import shared_dir
+from ebbflow.sources import agreement, readers, sinks
 
 
 def _straight(i: Inputs) -> DataFrame:
@@ -83,6 +85,56 @@ def region_report(i: Inputs) -> DataFrame:
     return geo.region_report(i.zones)
 
 
+@query(
+    "a64_mixed_systems",
+    """SELECT part, region, geom_type, count(*) AS n_polygons, any_value(n) = 1 AS crs_agrees FROM (
+         SELECT *, count(DISTINCT crs) OVER (PARTITION BY part) AS n FROM (
+           SELECT 'all' AS part, region, geom_type, CASE WHEN region = '2' THEN 'EPSG:5186' ELSE 'EPSG:5179' END AS crs FROM zones
+           UNION ALL SELECT 'without 2', region, geom_type, 'EPSG:5179' FROM zones WHERE region <> '2'))
+       GROUP BY part, region, geom_type""",
+)
+def mixed_systems(i: Inputs) -> DataFrame:
+    """One region in another reference system; without it the others agree."""
+    mixed = i.zones.withColumn("crs", F.when(F.col("region") == "2", "EPSG:5186").otherwise(F.col("crs")))
+    reports = [("all", mixed), ("without 2", mixed.filter(F.col("region") != "2"))]
+    first, second = [geo.region_report(df).withColumn("part", F.lit(name)) for name, df in reports]
+    return first.unionByName(second)
+
+
+def _months_of_two_kinds(i: Inputs) -> DataFrame:
+    """Column lists of a movement table; every third month has the purpose, the others not."""
+    path, third = shared_dir(i.spark), F.floor(F.col("date") / 100) % 3 == 0
+    sinks.write_months(i.od_purpose.filter(third), path, ["date", "hour"])
+    sinks.write_months(i.od.filter(~third), path, ["date", "hour"])
+    return agreement.schema_table(i.spark, readers.month_schemas(i.spark, path))
+
+
+COLUMNS = """(VALUES ('date', 0), ('hour', 1), ('o_admdong_cd', 2), ('d_admdong_cd', 3), ('age_10', 4),
+    ('purpose', 5), ('total', 6), ('avg_dist', 7), ('avg_time', 8))"""
+KINDS = f"""
+    SELECT name, CASE WHEN yyyymm::INTEGER % 3 <> 0 AND p > 5 THEN p - 1 ELSE p END AS place
+    FROM {COLUMNS} c(name, p), months WHERE name <> 'purpose' OR yyyymm::INTEGER % 3 = 0"""
+
+
+@query(
+    "a64_column_agreement",
+    f"""SELECT name AS "column", count(*) AS n_files, 1::BIGINT AS n_types, count(DISTINCT place) AS n_places,
+          CASE WHEN count(*) < (SELECT count(*) FROM months) THEN 'missing' WHEN count(DISTINCT place) > 1 THEN 'order'
+            ELSE 'same' END AS verdict FROM ({KINDS}) GROUP BY name""",
+)
+def column_agreement(i: Inputs) -> DataFrame:
+    return agreement.column_agreement(_months_of_two_kinds(i))
+
+
+@query(
+    "a64_file_agreement",
+    """SELECT yyyymm AS file, CASE WHEN yyyymm::INTEGER % 3 = 0 THEN 9 ELSE 8 END::BIGINT AS n_columns,
+         yyyymm::INTEGER % 3 <> 0 AS agrees FROM months""",
+)
+def file_agreement(i: Inputs) -> DataFrame:
+    return agreement.file_agreement(_months_of_two_kinds(i)).select("file", "n_columns", "agrees")
+
+
 @query(
     "a65_area_centroid",
     f"""SELECT zone, CASE WHEN notched THEN 0.75 ELSE 1.0 END::DOUBLE AS area_km2,

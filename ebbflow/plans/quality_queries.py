@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame, functions as F
 
 from ebbflow import vocab
 from ebbflow.contracts import require_columns
-from ebbflow.operators import census, claims, quality, series
+from ebbflow.operators import census, claims, profile, quality, series
 from ebbflow.plans.bindings import Inputs
-from ebbflow.plans.catalog import query
+from ebbflow.plans.catalog import query, rounded
 from ebbflow.plans.source_queries import SPINE, _spine
+from ebbflow.session import shared_dir
 from ebbflow.sources import ingest
 
 OD_COLUMNS = ["date", "hour", "o_admdong_cd", "d_admdong_cd", "age_10", "total", "avg_dist", "avg_time"]
@@ -66,6 +67,76 @@ def value_ranges(i: Inputs) -> DataFrame:
     return quality.report(i.od_purpose, rules)
 
 
+NUMBERS = ["total", "avg_dist"]
+LISTED = ["hour", "age_10", "purpose", "o_admdong_cd"]
+
+
+def _profile(column: str, table: str) -> str:
+    number = "NULL::DOUBLE" if column.endswith("_cd") else f"{column}::DOUBLE"
+    value = f"{column}::VARCHAR" if column in LISTED else "NULL::VARCHAR"
+    # sums of unrounded means depend on the order of addition
+    total = f"round(sum({number}), 2)" if column == "avg_dist" else f"sum({number})"
+    return f"""SELECT (date // 100)::VARCHAR AS yyyymm, '{column}' AS "column", {value} AS value, count(*) AS n_rows,
+        count(*) FILTER ({column} IS NULL) AS n_nulls, count(*) FILTER (isnan({number})) AS n_nans,
+        count(*) FILTER ({number} < 0) AS n_negative, round(min({number}), 6) AS least, round(max({number}), 6) AS most,
+        {total} AS total FROM {table} GROUP BY ALL"""
+
+
+def _profiles(i: Inputs) -> DataFrame:
+    """Profiles published in two runs, even years and then odd ones, each from its own rows."""
+    table = profile.ProfileTable(i.spark, shared_dir(i.spark), tuple(NUMBERS), tuple(LISTED))
+    even = F.floor(F.col("date") / 10000) % 2 == 0
+    for part in (i.od_purpose.filter(even), i.od_purpose.filter(~even)):
+        table.add(part)
+    return table.read()
+
+
+@query("v02_month_profiles", " UNION ALL ".join(_profile(c, "od_purpose") for c in [*NUMBERS, *LISTED]))
+def month_profiles(i: Inputs) -> DataFrame:
+    """One row for each month, column and listed value, from one read of each month."""
+    exact = F.when(F.col("column") == "avg_dist", F.round("total", 2)).otherwise(F.col("total"))
+    return rounded(_profiles(i).withColumn("total", exact), "least", "most")
+
+
+MONTH_BOUNDS = [
+    ("total", "n_nulls", "count(*) FILTER (total IS NULL)", "0", "= 0", profile.no_nulls("total")),
+    ("total", "n_negative", "count(*) FILTER (total < 0)", "0", "= 0", profile.not_negative("total")),
+    ("hour", "most", "max(hour)", "<= 22", "<= 22", profile.at_most("hour", 22)),
+    ("age_10", "least", "min(age_10)", ">= 10", ">= 10", profile.at_least("age_10", 10)),
+    ("hour", "n_values", "count(DISTINCT hour)", "24", "= 24", profile.cardinality("hour", 24)),
+    ("purpose", "n_values", "count(DISTINCT purpose)", "7", "= 7", profile.cardinality("purpose", 7)),
+]
+
+
+@query(
+    "v05_month_report",
+    " UNION ALL ".join(
+        f"""SELECT (date // 100)::VARCHAR AS yyyymm, '{c}' AS "column", '{m}' AS metric, ({sql})::DOUBLE AS measured,
+              '{expected}' AS expected, CASE WHEN {sql} {test} THEN 'PASS' ELSE 'FAIL' END AS status FROM od_purpose GROUP BY ALL"""
+        for c, m, sql, expected, test, _ in MONTH_BOUNDS
+    ),
+)
+def month_report(i: Inputs) -> DataFrame:
+    """Checks of every month from the published profiles; the trips are not read for it."""
+    return profile.report(_profiles(i), [b[-1] for b in MONTH_BOUNDS], "yyyymm")
+
+
+@query(
+    "v06_month_gaps",
+    " UNION ALL ".join(
+        f"""SELECT coalesce(h.yyyymm, w.yyyymm) AS yyyymm, '{c}' AS "column", coalesce(h.v, w.v) AS value,
+              CASE WHEN h.v IS NULL THEN 'missing' ELSE 'extra' END AS gap
+            FROM (SELECT DISTINCT (date // 100)::VARCHAR AS yyyymm, {c}::VARCHAR AS v FROM od_purpose WHERE {c} IS NOT NULL) h
+            FULL JOIN (SELECT yyyymm, unnest(range({a}, {b}, {s}))::VARCHAR AS v FROM (SELECT DISTINCT (date // 100)::VARCHAR AS yyyymm FROM od_purpose)) w
+              ON h.yyyymm = w.yyyymm AND h.v = w.v WHERE h.v IS NULL OR w.v IS NULL"""
+        for c, (a, b, s) in {"hour": (1, 25, 1), "age_10": (0, 90, 10)}.items()
+    ),
+)
+def month_gaps(i: Inputs) -> DataFrame:
+    """Values that a month lacks or has beyond the list; hours are expected as 1 to 24 here."""
+    return profile.value_gaps(_profiles(i), {"hour": range(1, 25), "age_10": range(0, 90, 10)})
+
+
 @query("v03_value_list", "SELECT age_10 AS value, count(*) AS n_rows FROM od_purpose GROUP BY ALL")
 def value_list(i: Inputs) -> DataFrame:
     return quality.value_list(i.od_purpose, "age_10")

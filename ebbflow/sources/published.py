@@ -123,12 +123,13 @@ class MonthTable:
         return self.spark.read.schema(schema).parquet(f"{self.root}/data/run={run}")
 
     def measure(self, run: str, df: DataFrame, value: str) -> list[Row]:
-        """An entry for each month in a run's folder: rows, total, rows dated in another month
-        and bytes. Reads that folder only."""
+        """An entry for each month in a run's folder: rows, total, rows dated in another month (none
+        in a table without dates) and bytes. Reads that folder only."""
+        stray = month_key(F.col("date")) != F.col("yyyymm") if "date" in df.columns else F.lit(False)
         counts = self.staged(run, df).groupBy("yyyymm").agg(
             F.count("*").alias("output_rows"),
             F.sum(value).cast("double").alias("total_sum"),
-            F.count_if(month_key(F.col("date")) != F.col("yyyymm")).alias("stray_rows"),
+            F.count_if(stray).alias("stray_rows"),
         )
         sizes = readers.files(self.spark, f"{self.root}/data/run={run}", "*.parquet").groupBy("yyyymm").agg(
             F.sum("bytes").alias("output_bytes")
