@@ -45,17 +45,17 @@ class Tree:
         self.centres.append(None)
         if len(vectors) <= LEAF:
             return me
-        centres = vectors[draw.choice(len(vectors), BRANCHES, replace=False)]
+        centres = vectors[draw.choice(len(vectors), min(BRANCHES, len(vectors)), replace=False)]
         for _ in range(8):
             owner = (vectors @ centres.T).argmax(axis=1)
-            sums = np.stack([vectors[owner == k].sum(axis=0) for k in range(BRANCHES)])
+            sums = np.stack([vectors[owner == k].sum(axis=0) for k in range(len(centres))])
             norms = np.linalg.norm(sums, axis=1, keepdims=True)
             centres = np.where(norms > 0, sums / np.maximum(norms, 1e-30), centres)
         owner = (vectors @ centres.T).argmax(axis=1)
-        parts = [vectors[owner == k] for k in range(BRANCHES)]
+        parts = [vectors[owner == k] for k in range(len(centres))]
         if max(map(len, parts)) == len(vectors):  # nothing to tell apart
             return me
-        full = [k for k in range(BRANCHES) if len(parts[k])]
+        full = [k for k in range(len(centres)) if len(parts[k])]
         self.centres[me] = centres[full]
         self.children[me] = [self._grow(parts[k], draw) for k in full]
         return me
@@ -72,13 +72,17 @@ class Tree:
             open_ += [(c, rows[best == k]) for k, c in enumerate(self.children[node]) if (best == k).any()]
         return found
 
-    def leaves(self, query: np.ndarray, visits: int) -> list[int]:
-        """The first `visits` leaves, the best branch first."""
-        queue, found = [(0.0, 0)], []
-        while queue and len(found) < visits:
+    def leaves(
+        self, query: np.ndarray, visits: int, sizes: dict[int, int] | None = None, least: int = 0
+    ) -> list[int]:
+        """The first `visits` leaves, the best branch first, and more until `least` vectors are in
+        them by the `sizes` of the leaves, if so many there are."""
+        queue, found, held = [(0.0, 0)], [], 0
+        while queue and (len(found) < visits or held < least):
             _, node = heapq.heappop(queue)
             if not self.children[node]:
                 found.append(node)
+                held += sizes.get(node, 0) if sizes else 0
                 continue
             for child, near in zip(self.children[node], self.centres[node] @ query):
                 heapq.heappush(queue, (-float(near), child))
@@ -140,7 +144,7 @@ def cosine(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return value
 
 
-RESULT = "query_id long, vec_id long, score double"
+RESULT = "query_row long, query_id long, vec_id long, score double"
 
 
 def nearest(
@@ -156,10 +160,11 @@ def nearest(
     queries: a condition on the column `id` that says which rows ask. Nearness is the largest
     cosine in double precision, ties go to the smaller id. Rows with a null id and vectors that
     are null, empty, zero, of another length than most, or hold null or non-finite numbers take
-    no part. Rows with the query's own id are not candidates; of repeated query ids one row asks,
-    repeated candidates are found once each. An empty table gives no rows. The tree is fitted on
-    about `sample` vectors by the hash of the id; every vector is indexed. Crowded leaves are cut
-    into blocks, vectors and queries alike, so no task holds a whole leaf.
+    no part. Only the query's own row is no candidate: another row of its id is one, and each of
+    several rows of an asking id gives k rows of its own. An empty table gives no rows. The tree is
+    fitted on about `sample` vectors by the hash of the id; every vector is indexed. Leaves are
+    visited until they hold k + 1 vectors at least, or all. Crowded leaves are cut into blocks,
+    vectors and queries alike, so no task holds a whole leaf.
     """
     rows = usable(vectors, id_column, vector_column)
     sizes = rows.groupBy(F.size("v").alias("d")).agg(F.count("*").alias("n"))
@@ -176,27 +181,33 @@ def nearest(
     tree = Tree.fit(fitted)
     tree.calibrate(fitted, k)
 
-    def to_leaves(visits):
+    schema = f"leaf long, row long, id long, v {rows.schema['v'].dataType.simpleString()}"
+
+    def placed(df, leaves):
+        """A row for each leaf of each row, by `leaves`: (row number in the batch, leaf) of a matrix."""
+
         def work(batches):
             for batch in batches:
-                m = _unit(_matrix(batch.column(1))) if batch.num_rows else np.zeros((0, 1))
-                if visits == 1:
-                    leaf, row = tree.leaf_of(m), np.arange(len(m))
-                else:
-                    found = [tree.leaves(q, visits) for q in m]
-                    leaf = np.array([x for f in found for x in f], dtype=np.int64)
-                    row = np.repeat(np.arange(len(m)), [len(f) for f in found])
-                yield pa.record_batch(
-                    [pa.array(leaf), batch.column(0).take(pa.array(row)), batch.column(1).take(pa.array(row))],
-                    names=["leaf", "id", "v"],
-                )
-
-        return work
-
-    schema = f"leaf long, id long, v {rows.schema['v'].dataType.simpleString()}"
-    base = settled(rows.mapInArrow(to_leaves(1), schema))
-    asking = rows.where(queries).dropDuplicates(["id"])
-    asked = settled(asking.mapInArrow(to_leaves(max(2, tree.visits)), schema))
+                m = _unit(_matrix(batch.column(2))) if batch.num_rows else np.zeros((0, 1))
+                at, leaf = leaves(m)
+                taken = [batch.column(c).take(pa.array(at)) for c in range(3)]
+                yield pa.record_batch([pa.array(leaf), *taken], names=["leaf", "row", "id", "v"])
+
+        return settled(df.select("row", "id", "v").mapInArrow(work, schema))
+
+    # the number of a row is stored with it, so it stays the same however often it is read
+    base = placed(
+        rows.withColumn("row", F.monotonically_increasing_id()), lambda m: (np.arange(len(m)), tree.leaf_of(m))
+    )
+    held = dict(base.groupBy("leaf").count().collect())  # as many as the tree has leaves
+    visits = max(2, tree.visits)
+
+    def visited(m):
+        found = [tree.leaves(q, visits, held, k + 1) for q in m]
+        leaf = np.array([x for f in found for x in f], dtype=np.int64)
+        return np.repeat(np.arange(len(m)), [len(f) for f in found]), leaf
+
+    asked = placed(base.where(queries), visited)
 
     # One row for each leaf, as many as the tree has: how many blocks either side is cut into.
     def blocks(df, name):
@@ -205,33 +216,36 @@ def nearest(
     cut = F.broadcast(blocks(base, "b").join(blocks(asked, "q"), "leaf"))
 
     def dealt(df, own, other):
-        mine = F.pmod(F.xxhash64("id"), F.col(own)).cast("int")
+        mine = F.pmod(F.xxhash64("row"), F.col(own)).cast("int")
         every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
-        out = df.join(cut, "leaf").select("leaf", "id", "v", mine.alias(own), every.alias(other))
+        out = df.join(cut, "leaf").select("leaf", "row", "id", "v", mine.alias(own), every.alias(other))
         return out.groupBy("leaf", "b", "q")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         ask, have = _matrix(right.column("v")), _matrix(left.column("v"))
-        out_q, out_v, out_s = [], [], []
+        out_r, out_q, out_v, out_s = [], [], [], []
         if len(ask) and len(have):
             ids, keys = left.column("id").to_numpy(), right.column("id").to_numpy()
+            own, asks = left.column("row").to_numpy(), right.column("row").to_numpy()
             units = _unit(have)
             for at in range(0, len(ask), 256):
                 rough = _unit(ask[at : at + 256]) @ units.T
-                rough[keys[at : at + 256, None] == ids[None]] = -np.inf
+                rough[asks[at : at + 256, None] == own[None]] = -np.inf
                 for i, values in enumerate(rough):
                     n = min(k, len(values))
                     least = np.partition(values, len(values) - n)[len(values) - n] - 1e-9
                     chosen = np.flatnonzero((values >= least) & np.isfinite(values))
                     exact = cosine(np.repeat(ask[at + i][None], len(chosen), axis=0), have[chosen])
                     order = np.lexsort((ids[chosen], -exact))[:k]
+                    out_r.append(np.full(len(order), asks[at + i]))
                     out_q.append(np.full(len(order), keys[at + i]))
                     out_v.append(ids[chosen][order])
                     out_s.append(exact[order])
-        columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in ((out_q, np.int64), (out_v, np.int64), (out_s, np.float64))]
-        return pa.table(dict(zip(["query_id", "vec_id", "score"], columns)))
+        kinds = ((out_r, np.int64), (out_q, np.int64), (out_v, np.int64), (out_s, np.float64))
+        columns = [np.concatenate(c) if c else np.zeros(0, t) for c, t in kinds]
+        return pa.table(dict(zip(["query_row", "query_id", "vec_id", "score"], columns)))
 
     found = dealt(base, "b", "q").cogroup(dealt(asked, "q", "b")).applyInArrow(meet, RESULT)
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    order = Window.partitionBy("query_row").orderBy(F.desc("score"), "vec_id")
     ranked = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")

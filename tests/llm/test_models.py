@@ -59,6 +59,15 @@ def test_model_tells_random_strings_from_identifiers(spark):
     assert sum([(s.start, s.stop) for s in r.secrets] == [(0, 32)] for r in found) >= 45
 
 
+def test_pairs_with_characters_outside_the_alphabet_are_not_counted(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(secrets, "ratios", lambda counts: seen.update(counts) or [])
+    secrets.train(spark.createDataFrame([(1, "password=AB.CD.E abcdef")], "doc_id long, text string"))
+    at, size = secrets.ALPHABET.index, len(secrets.ALPHABET)
+    assert {p: n for (random, p), n in seen.items() if random} == {at(a) * size + at(b): 1 for a, b in ("AB", "CD")}
+    assert {p for (random, p) in seen if not random} >= {at(a) * size + at(b) for a, b in ("ab", "bc", "ef")}
+
+
 def fold(key, parts):
     import zlib
 
@@ -80,6 +89,11 @@ def test_language_of_odd_rows(spark, docs, none):
     assert all(got[k] == ("und", 1.0) for k in (3, 4, 5, 8))
     assert all(got[k][0] in ("en", "de") for k in (1, 7, 9, -3, None))
     assert language.identify(none, network).count() == 0
+    signs = spark.createDataFrame([(1, "\u00bd 12"), (2, "\u2167 \u0663"), (3, "\u00bd \u03b1"), (4, "_ 9")], "doc_id long, text string")
+    found = {r.doc_id: r.lang_pred for r in language.identify(signs, network).collect()}
+    assert found[1] == found[2] == found[4] == "und" and found[3] in ("en", "de")
+    common = language.train(docs.withColumn("lang", F.when(F.col("doc_id") == -3, "de").otherwise("en")), 5, most_languages=1)
+    assert common.languages == ["en"]
     unlabelled = language.train(none)
     assert {r.lang_pred for r in language.identify(docs, unlabelled).collect()} == {"und"}
 
@@ -130,6 +144,22 @@ def test_neighbours_of_vectors_recall_and_scores(spark):
     assert sorted(r.vec_id for r in few) == [1, 2]
 
 
+def test_neighbours_among_repeated_ids_and_tiny_leaves(spark, monkeypatch):
+    schema = "vec_id long, embedding array<float>"
+    df = spark.createDataFrame([(0, [1.0, 0.0]), (0, [0.9, 0.1]), (1, [0.0, 1.0])], schema)
+    got = nearest.nearest(df, F.col("id") == 0).collect()
+    # either row of id 0 finds the other and row 1
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 0), (0, 1, 0), (0, 2, 1), (0, 2, 1)]
+    # clusters of two vectors: the first leaves do not hold five neighbours
+    monkeypatch.setattr(nearest, "LEAF", 2)
+    monkeypatch.setattr(nearest.Tree, "calibrate", lambda tree, *a, **k: setattr(tree, "visits", 1))
+    draw = np.random.default_rng(3)
+    centres = draw.normal(size=(40, 8))
+    rows = [(i, (centres[i // 2] + draw.normal(size=8) * 1e-3).tolist()) for i in range(80)]
+    got = nearest.nearest(spark.createDataFrame(rows, schema), F.pmod("id", F.lit(10)) == 0).collect()
+    assert len(got) == 8 * 5 and all(r.vec_id == r.query_id + 1 for r in got if r["rank"] == 1)
+
+
 def test_toxicity_on_held_out_documents(spark):
     draw = random.Random(2)
     words = [f"word{i}" for i in range(800)]
