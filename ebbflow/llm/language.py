@@ -23,7 +23,7 @@ MAX_LANGUAGES = 200
 STEPS = 900  # of 64 windows each
 BATCH = 512
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
+MAYBE = re.compile(r"[^\W\d_]")  # letters, and numbers such as one half
 
 
 class ByteNetwork:
@@ -107,6 +107,11 @@ class ByteNetwork:
                 self.weights[k] -= (rate * mean[k] / (np.sqrt(square[k]) + 1e-8)).astype(np.float32)
 
 
+def has_letter(text: str | None) -> bool:
+    """Is any character a letter (general category L)? Signs for numbers are none."""
+    return any(m[0].isalpha() for m in MAYBE.finditer(text or ""))
+
+
 def windows_of(text: str) -> np.ndarray:
     """All bytes of the text in lower case, in rows of WINDOW, zeros at the end."""
     data = text.lower().encode("utf-8", "surrogatepass")
@@ -114,17 +119,21 @@ def windows_of(text: str) -> np.ndarray:
     return np.frombuffer(data.ljust(rows * WINDOW, b"\0"), dtype=np.uint8).reshape(rows, WINDOW)
 
 
-def train(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 7) -> ByteNetwork:
+def train(
+    docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 7, most_languages: int = MAX_LANGUAGES
+) -> ByteNetwork:
     """A network for the non-null values of `lang` in `docs` (doc_id, text, lang).
 
-    About `per_language` documents of each language, those with the least hashes of doc_id, give
-    one window each, at a place chosen by the hash: that is all the driver gets. Two languages
-    at least are needed for a choice; with one or none the network names that one or nothing.
+    About `per_language` documents of each language, those with the least hashes of doc_id and
+    text, give one window each, at a place chosen by the hash: that is all the driver gets, and
+    copies of a row give one. Only the `most_languages` most frequent values are learned. Two
+    languages at least are needed for a choice; with one or none the network names that one or
+    nothing.
     """
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
     counts = {
         r["lang"]: r["n"]
-        for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+        for r in labelled.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(most_languages).collect()
     }
     languages = sorted(counts)
     network = ByteNetwork(languages or [UNKNOWN], seed)
@@ -135,12 +144,13 @@ def train(docs: DataFrame, per_language: int = PER_LANGUAGE, seed: int = 7) -> B
         F.create_map(*[x for k, n in counts.items() for x in (F.lit(k), F.lit(int(unit * min(1.0, per_language / n))))]),
         F.col("lang"),
     )
-    hashed = F.pmod(F.xxhash64("doc_id"), F.lit(unit))
+    hashed = F.pmod(F.xxhash64("doc_id", "text"), F.lit(unit))
     start = F.pmod(F.xxhash64("doc_id", F.lit(1)), F.greatest(F.length("text") - WINDOW // 2, F.lit(1)))
     chosen = (
         labelled.where(F.col("lang").isin(languages))
         .where(hashed < least)
         .select("lang", F.col("text").substr((start + 1).cast("int"), F.lit(WINDOW)).alias("part"), hashed.alias("h"))
+        .distinct()
         .limit(2 * per_language * len(languages))
         .collect()
     )
@@ -184,7 +194,7 @@ def identify(docs: DataFrame, network: ByteNetwork) -> DataFrame:
             pending.clear()
 
         for row, t in enumerate(text):
-            if t is None or not LETTER.search(t):
+            if not has_letter(t):
                 continue
             w = windows_of(t)
             size = len(t.lower().encode("utf-8", "surrogatepass"))
