@@ -117,9 +117,13 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> list[float]:
     labelled = text.select(F.inline(let(random, labels)))
 
     def pairs(codes: Column) -> Column:
+        # -1 where either character is outside the alphabet, such as a full stop
         return F.transform(
             F.sequence(F.lit(0), F.size(codes) - 2),
-            lambda i: F.get(codes, i) * len(ALPHABET) + F.get(codes, i + 1),
+            lambda i: F.when(
+                (F.get(codes, i) >= 0) & (F.get(codes, i + 1) >= 0),
+                F.get(codes, i) * len(ALPHABET) + F.get(codes, i + 1),
+            ).otherwise(-1),
         )
 
     counted = labelled.groupBy("random", "token").agg(F.count("*").alias("n")).where(F.length("token") > 1)
