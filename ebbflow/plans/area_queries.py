@@ -9,8 +9,8 @@ from ebbflow.joins import small
 from ebbflow.operators import census, employment, geo, population, mobility, quality, series
 from ebbflow.plans.bindings import Inputs
 from ebbflow.plans.catalog import query, rounded
-from ebbflow.plans.source_queries import _written_od
-from ebbflow.session import shared_dir
+from ebbflow.plans.source_queries import MOVEMENT_ORDER
+from ebbflow.session import settled, shared_dir
 from ebbflow.sources import readers, sinks
 
 
@@ -83,7 +83,9 @@ def with_centroids(i: Inputs) -> DataFrame:
 @query("j08_file_sizes", "SELECT yyyymm, n_rows, total, true AS has_file FROM months")
 def file_sizes(i: Inputs) -> DataFrame:
     """Monthly series met by the sizes of the files the month was written to."""
-    return _with_files(i, _written_od(i))
+    path, od = shared_dir(i.spark), settled(i.od)
+    sinks.write_months(od, path, MOVEMENT_ORDER)
+    return _with_files(od, path)
 
 
 @query(
@@ -94,16 +96,16 @@ def months_without_file(i: Inputs) -> DataFrame:
     """The same where every fourth month was not written."""
     path = shared_dir(i.spark)
     sinks.write_months(i.od.filter(F.floor(F.col("date") / 100) % 4 != 0), path, ["date", "hour"])
-    return _with_files(i, path)
+    return _with_files(i.od, path)
 
 
-def _with_files(i: Inputs, path: str) -> DataFrame:
+def _with_files(od: DataFrame, path: str) -> DataFrame:
     sizes = (
-        readers.files(i.spark, path, "*.parquet")
+        readers.files(od.sparkSession, path, "*.parquet")
         .groupBy("yyyymm")
         .agg(F.sum("bytes").alias("bytes"))
     )
-    months = series.monthly_totals(i.od, "total").join(sizes, "yyyymm", "left")
+    months = series.monthly_totals(od, "total").join(sizes, "yyyymm", "left")
     return months.select(
         "yyyymm", "n_rows", "total", F.coalesce(F.col("bytes") > 0, F.lit(False)).alias("has_file")
     )

@@ -41,3 +41,9 @@ def test_top_k_is_trimmed_before_the_shuffle(spark):
     text = plan(entry.queries()["t03_top_pairs_by_hour"](spark, SMALL))
     assert "WindowGroupLimit" in text and "Partial" in text
     assert "TakeOrderedAndProject" in plan(entry.queries()["t02_top_pairs"](spark, SMALL))
+
+
+def test_months_beside_files_read_the_stored_movement(spark):
+    """The trips are placed and summed once, for the files and the series alike."""
+    text = plan(entry.queries()["j08_file_sizes"](spark, SMALL))
+    assert "l_shipdate" not in text and "o_admdong_cd" not in text
