@@ -94,12 +94,13 @@ def file_sizes(i: Inputs) -> DataFrame:
 )
 def months_without_file(i: Inputs) -> DataFrame:
     """The same where every fourth month was not written."""
-    path = shared_dir(i.spark)
-    sinks.write_months(i.od.filter(F.floor(F.col("date") / 100) % 4 != 0), path, ["date", "hour"])
-    return _with_files(i.od, path)
+    path, od = shared_dir(i.spark), settled(i.od)
+    sinks.write_months(od.filter(F.floor(F.col("date") / 100) % 4 != 0), path, ["date", "hour"])
+    return _with_files(od, path)
 
 
 def _with_files(od: DataFrame, path: str) -> DataFrame:
+    """`od` is a stored table: it is read for the files and again for the series."""
     sizes = (
         readers.files(od.sparkSession, path, "*.parquet")
         .groupBy("yyyymm")

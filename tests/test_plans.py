@@ -43,7 +43,8 @@ def test_top_k_is_trimmed_before_the_shuffle(spark):
     assert "TakeOrderedAndProject" in plan(entry.queries()["t02_top_pairs"](spark, SMALL))
 
 
-def test_months_beside_files_read_the_stored_movement(spark):
+@pytest.mark.parametrize("name", ["j08_file_sizes", "j08_months_without_file"])
+def test_months_beside_files_read_the_stored_movement(spark, name):
     """The trips are placed and summed once, for the files and the series alike."""
-    text = plan(entry.queries()["j08_file_sizes"](spark, SMALL))
+    text = plan(entry.queries()[name](spark, SMALL))
     assert "l_shipdate" not in text and "o_admdong_cd" not in text
