@@ -8,7 +8,9 @@ a space at a line end, one at the end) are then coded whole.
 
 New parts are coded many at a time as one text; where each ends is told by the ids themselves,
 by the space or line feed that begins a byte-level part or by the mark that ends a word. If the
-count is not that of the parts, they are coded one by one.
+count is not that of the parts, they are coded one by one. Byte-level words of Latin letters alone
+go to the tokenizer's model in its own alphabet and cut at their spaces, without its pattern, which
+would leave them whole.
 """
 
 from __future__ import annotations
@@ -22,11 +24,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+SPACE = "Ġ"  # a space in the alphabet of byte-level vocabularies
 WORDS = 1_000_000  # parts kept per Python worker, about 200 MB
 GROUP = 256  # texts whose new words are coded in one call
 LEARN = 2_000  # new words coded as one text
 SLICE_BYTES = 4 << 20  # text that is turned into ids at a time
-UNSAFE = b"?"  # no ids: their bytes come in fours
 SEPARATORS = frozenset("\x1c\x1d\x1e\x1f")  # white space to str.split, not to tokenizers
 
 _memos: dict[tuple[str, bool, int], "WordMemo"] = {}
@@ -66,7 +68,7 @@ class WordMemo:
 
     def __init__(self, path: str, limit: int = WORDS, plain_specials: bool = False):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        from tokenizers import Tokenizer, pre_tokenizers
+        from tokenizers import Tokenizer, models, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = plain_specials
@@ -79,13 +81,25 @@ class WordMemo:
         # parts without a space can be coded alone
         self.by_words = self.spaced or bool(suffix) and self._drops_spaces()
         if self.spaced:
-            self.bounds = np.array([n.startswith("Ġ") for n in names])
+            self.bounds = np.array([n.startswith(SPACE) for n in names])
             self.feeds = np.array([n.startswith("Ċ") for n in names])
         else:
             self.bounds = np.array([bool(suffix) and n.endswith(suffix) for n in names])
+        added = self.tokenizer.get_added_tokens_decoder().values()
+        self.letters = None  # codes words of letters, spelled in the vocabulary's alphabet
+        if (
+            self.spaced
+            and isinstance(self.tokenizer.model, models.BPE)
+            and not self.tokenizer.pre_tokenizer.add_prefix_space
+            and not any(a.content.isalpha() for a in added)
+        ):
+            self.letters = Tokenizer(self.tokenizer.model)
+            self.letters.pre_tokenizer = pre_tokenizers.Metaspace(SPACE, "never", True)
+        alphabet = {b: c for c, b in byte_alphabet().items()}
+        self.spelling = {c: "".join(alphabet[b] for b in chr(c).encode()) for c in range(256)}
         self.limit = limit
         self.known: dict[str, bytes] = {}
-        self.unsafe = False
+        self.unsafe: set[str] = set()  # parts beside which a space is no safe cut
         self.marks = dict(zip(".,", self.encode([".", ","])))
 
     def _drops_spaces(self) -> bool:
@@ -94,7 +108,11 @@ class WordMemo:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The tokenizer's own ids, without the memory of words."""
-        coded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return self._coded(self.tokenizer, texts)
+
+    @staticmethod
+    def _coded(tokenizer, texts: list[str]) -> list[bytes]:
+        coded = tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [array("I", x.ids).tobytes() for x in coded]
 
     def _plain(self, word: str) -> bool:
@@ -104,32 +122,56 @@ class WordMemo:
         return self.spaced or word.isascii() or unicodedata.normalize("NFC", word).lower().isalpha()
 
     def _learn(self, words: set[str]) -> None:
-        """Ids of new words; UNSAFE where a space before the word is no safe cut."""
-        known, stems, odd, lines = self.known, {}, [], []
+        """Ids of new words, unless a space before the word is no safe cut."""
+        known, marks, stems, alone, odd, lines = self.known, self.marks, set(), [], [], []
+        ended = []  # a last full stop or comma after letters is a part of its own
         for word in words:
-            if self.spaced and word[:1] == "\n" and word[1:] and not word[1].isspace() and not word[-1].isspace():
+            if self.spaced and word.isalpha():
+                stems.add(word)
+            elif word and word[-1] in marks and self._plain(word[:-1]):
+                ended.append(word)
+                stems.add(word[:-1])
+            elif not self.spaced:
+                if self._plain(word):
+                    stems.add(word)
+                else:
+                    odd.append(word)
+            elif word and not word[0].isspace() and not word[-1].isspace():
+                alone.append(word)
+            elif word[:1] == "\n" and word[1:] and not word[1].isspace() and not word[-1].isspace():
                 lines.append(word)
-            elif self.spaced and (not word or word[0].isspace() or word[-1].isspace()):
-                known[word], self.unsafe = UNSAFE, True
-            elif word and word[-1] in self.marks and self._plain(word[:-1]):
-                # a last full stop or comma after letters is a part of its own
-                stems[word] = word[:-1]
-            elif self.spaced or self._plain(word):
-                stems[word] = word
             else:
-                odd.append(word)
+                self.unsafe.add(word)
+        stems = stems.difference(known)
+        ascii = [s for s in stems if s.isascii()]
+        for some in ascii, list(stems.difference(ascii)), alone:
+            for new in chunks(some):
+                known.update(zip(new, self.coded_words(new)))
+        for word in ended:
+            known[word] = known[word[:-1]] + marks[word[-1]]
+        known.update(zip(odd, self.encode(odd)))
+        for new in chunks(lines):
+            known.update(zip(new, self._apart("".join(new), new, self.feeds) or self.encode(new)))
+
+    def coded_words(self, words: list[str]) -> list[bytes]:
+        """Ids of words, a space before each; quickest for words of Latin letters alone."""
         space = " " if self.spaced else ""
-        new = [s for s in set(stems.values()) if s not in known]
-        for at in range(0, len(new), LEARN):
-            some = new[at : at + LEARN]
-            known.update(zip(some, self._together(some) or self.encode([space + s for s in some])))
-        for word, stem in stems.items():
-            if word is not stem:
-                known[word] = known[stem] + self.marks[word[-1]]
-        known.update(zip(odd, self.encode([space + w for w in odd])))
-        for at in range(0, len(lines), LEARN):
-            some = lines[at : at + LEARN]
-            known.update(zip(some, self._apart("".join(some), some, self.feeds) or self.encode(some)))
+        return self._spelled(words) or self._together(words) or self.encode([space + w for w in words])
+
+    def _spelled(self, words: list[str]) -> list[bytes] | None:
+        """Ids of words of Latin letters, which the tokenizer's pattern leaves whole."""
+        if self.letters is None or not "".join(words).isalpha():
+            return None
+        text = " " + " ".join(words)
+        if text.isascii():
+            text = text.replace(" ", SPACE)
+        else:
+            try:
+                text.encode("latin-1")
+            except UnicodeEncodeError:
+                return None
+            text = text.translate(self.spelling)
+        return self._parted(self._coded(self.letters, [text])[0], words, self.bounds)
 
     def _together(self, words: list[str]) -> list[bytes] | None:
         """Ids of the words, a space before each, from one text of them all."""
@@ -137,7 +179,9 @@ class WordMemo:
 
     def _apart(self, text: str, words: list[str], bounds: np.ndarray) -> list[bytes] | None:
         """Ids of the words of a text, if each of them can be told from the next."""
-        data = self.encode([text])[0]
+        return self._parted(self.encode([text])[0], words, bounds)
+
+    def _parted(self, data: bytes, words: list[str], bounds: np.ndarray) -> list[bytes] | None:
         at = np.flatnonzero(bounds[np.frombuffer(data, dtype="<u4")])
         if len(at) != len(words):
             return None
@@ -158,29 +202,41 @@ class WordMemo:
     def _group(self, texts: list[str]) -> list[bytes]:
         if not self.by_words:
             return self.encode(texts)
-        if len(self.known) > self.limit:
+        if len(self.known) + len(self.unsafe) > self.limit:
             self.known.clear()
+            self.unsafe.clear()
         if self.spaced:
             parts = [t.replace("\n", " \n").split(" ") for t in texts]
         else:
             parts = [t.split() if SEPARATORS.isdisjoint(t) else t.split(" ") for t in texts]
         heads = [p.pop(0) for p in parts] if self.spaced else []  # no space stands before these
         first = self.encode(heads)
-        found = [list(map(self.known.get, p)) for p in parts]
-        new = {w for p, f in zip(parts, found) if None in f for w, ids in zip(p, f) if ids is None}
+        words = set().union(*parts)
+        new = words.difference(self.known) - self.unsafe
         if new:
             self._learn(new)
-        known, whole, out = self.known, {}, []
-        for i, (p, f) in enumerate(zip(parts, found)):
-            if None in f:
-                f = [known[w] if ids is None else ids for w, ids in zip(p, f)]
+        unsafe, coded = words & self.unsafe, self.known.__getitem__
+        whole, out = {}, []
+        for i, p in enumerate(parts):
             if not self.spaced:
-                out.append(b"".join(f))
-            elif f and heads[i] and heads[i][-1].isspace() or self.unsafe and UNSAFE in f:
+                out.append(b"".join(map(coded, p)))
+            elif p and heads[i] and heads[i][-1].isspace() or unsafe and not unsafe.isdisjoint(p):
                 whole[i] = texts[i]
                 out.append(b"")
             else:
-                out.append(first[i] + b"".join(f))
+                out.append(first[i] + b"".join(map(coded, p)))
         for i, ids in zip(whole, self.encode(list(whole.values()))):
             out[i] = ids
         return out
+
+
+def chunks(words: list[str], size: int = LEARN) -> Iterator[list[str]]:
+    return (words[at : at + size] for at in range(0, len(words), size))
+
+
+def byte_alphabet() -> dict[str, int]:
+    """The byte that each character of a byte-level vocabulary stands for: printable ones stand
+    for themselves, the others in order for the characters from 256 on."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in shown]
+    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}

@@ -54,6 +54,14 @@ def test_new_words_are_coded_together():
     assert MEMO._apart("".join(lines), lines, MEMO.feeds) == MEMO.encode(lines)
 
 
+def test_words_of_latin_letters_are_coded_without_the_pattern():
+    words = [f"{a}{b}ened" for a in "abcdéfgñ" for b in "stuvwßyZ"]
+    assert MEMO._spelled(words) == MEMO.encode([" " + w for w in words])
+    for other in ("don't", "a1", "словами", "x.", "ŋa"):
+        assert MEMO._spelled(["plain", other]) is None
+        assert MEMO.coded_words(["plain", other]) == MEMO.encode([" plain", " " + other])
+
+
 def test_slices_cover_a_batch():
     texts = ["a" * n for n in (5, 0, 30, 1, 1, 9)] + [None, "bb"]
     batch = pa.record_batch([pa.array(range(8)), pa.array(texts)], names=["doc_id", "text"])
