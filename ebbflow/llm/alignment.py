@@ -16,6 +16,7 @@ of the others, if there are any, by a join.
 
 from __future__ import annotations
 
+from array import array
 from hashlib import sha256
 from unicodedata import combining
 
@@ -23,7 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ebbflow.llm.tokens import GROUP, LEARN, WordMemo, slices
+from ebbflow.llm.tokens import GROUP, WordMemo, byte_alphabet, chunks, slices
 from ebbflow.session import settled
 
 WORDS = 300_000  # words kept per Python worker, about 90 MB
@@ -47,14 +48,6 @@ def pair_memo(byte_path: str, piece_path: str) -> "PairMemo":
     return _memos[byte_path, piece_path]
 
 
-def byte_alphabet() -> dict[str, int]:
-    """The byte that each character of a byte-level vocabulary stands for: printable ones stand
-    for themselves, the others in order for the characters from 256 on."""
-    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    hidden = [b for b in range(256) if b not in shown]
-    return {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(hidden)}
-
-
 class PairMemo:
     """Ids of both tokenizers, with a bounded memory of the words they were met in.
 
@@ -90,6 +83,21 @@ class PairMemo:
             for x, table in zip(ids, (self.a_bytes, self.b_bytes))
         )
 
+    def _all_same(self, coded: list[list[bytes]], words: list[str]) -> bool:
+        """Do both tokenizers give back every word, a space before each?
+
+        Told for all words at once: the bytes of all are those of the text they make, which has
+        a space for each word, and each word's bytes begin with a space.
+        """
+        want = (" " + " ".join(words)).encode("utf-8", "surrogatepass")
+        for parts, table in zip(coded, (self.a_bytes, self.b_bytes)):
+            ids = np.frombuffer(b"".join(parts), dtype="<u4").tolist()
+            if b"".join([table[i] for i in ids]) != want:
+                return False
+            if not all(x and table[int.from_bytes(x[:4], "little")][:1] == b" " for x in parts):
+                return False
+        return True
+
     def whole(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
         """Ids of whole texts; none where the bytes of either are not those of the text."""
         a = self.a.encode([" " + t for t in texts])
@@ -97,21 +105,26 @@ class PairMemo:
         return [ids if self._same(ids, t) else (b"", b"") for ids, t in zip(zip(a, b), texts)]
 
     def _pieces(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x, dtype="<u4").tobytes() for x in self.b.encode(texts, num_threads=1)]
+        return [array("I", x).tobytes() for x in self.b.encode(texts, num_threads=1)]
 
     def _learn(self, words: set[str]) -> None:
         """Ids of new words; None where the spaces beside the word are no safe cuts."""
-        safe = []
+        letters, marked, others = [], [], []
         for w in words:
-            if w and not w[0].isspace() and not w[-1].isspace() and not combining(w[0]):
-                safe.append(w)
+            if w.isascii() and w.isalpha():
+                letters.append(w)
+            elif w and not w[0].isspace() and not w[-1].isspace() and not combining(w[0]):
+                (marked if w.isascii() else others).append(w)
             else:
                 self.known[w] = None
-        for at in range(0, len(safe), LEARN):
-            some = safe[at : at + LEARN]
-            a = self.a._together(some) or self.a.encode([" " + w for w in some])
-            for w, ids in zip(some, zip(a, self._pieces(some))):
-                self.known[w] = ids if self._same(ids, w) else None
+        for safe in letters, marked, others:
+            for some in chunks(safe):
+                a, b = self.a.coded_words(some), self._pieces(some)
+                if self._all_same([a, b], some):
+                    self.known.update(zip(some, zip(a, b)))
+                    continue
+                for w, ids in zip(some, zip(a, b)):
+                    self.known[w] = ids if self._same(ids, w) else None
 
     def ids(self, texts: list[str | None]) -> list[tuple[bytes, bytes]]:
         """A's and B's ids of each text as little-endian unsigned 32-bit integers; none for a
@@ -127,7 +140,7 @@ class PairMemo:
             self.known.clear()
         parts = [t.split(" ") if t and self.by_words else [] for t in texts]
         get = self.known.get
-        new = {w for p in parts for w in p if get(w, False) is False}
+        new = set().union(*parts).difference(self.known)
         if new:
             self._learn(new)
         left = []

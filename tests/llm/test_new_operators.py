@@ -195,6 +195,20 @@ def brute_alignment(texts):
     return out
 
 
+def test_new_words_are_checked_many_at_a_time(monkeypatch):
+    words = [f"{a}{b}{c}" for a in "abcdé" for b in "stuvw" for c in ("ened", "ly.", "***")]
+    memo, single = alignment.PairMemo(A, B), []
+    same = memo._same
+    monkeypatch.setattr(memo, "_same", lambda ids, text: single.append(text) or same(ids, text))
+    expected = memo.whole(words)
+    single.clear()
+    memo._learn(set(words))
+    assert not single and [memo.known[w] for w in words] == expected
+    memo._learn({"plain", "e\u0301a", "½", "▁x", "ﬁn"})  # some that B does not give back
+    for w in ("plain", "e\u0301a", "½", "▁x", "ﬁn"):
+        assert (memo.known[w] or (b"", b"")) == memo.whole([w])[0]
+
+
 def brute_scores(found):
     counts, most = {}, {}
     for *_, links in found:
